@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is one-shot batch ETL; it has no watermark, window, state or
+late-data logic, so there is no streaming operator to rebuild.  Every
+pipeline in ``polidata.plans`` is a plain DataFrame function and can be
+applied to a ``readStream`` source where its operators are stream-safe.
+"""
