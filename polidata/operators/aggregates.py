@@ -45,6 +45,24 @@ def top2_wide(df: DataFrame, keys: list[str], rank: str, fields: list[str]) -> D
     return df.groupBy(*keys).agg(*aggs)
 
 
+def top2(df: DataFrame, keys: list[str], value: str, tiebreak: str, fields: list[str]) -> DataFrame:
+    """First and second row per group by ``value`` desc, ties by ``tiebreak`` asc.
+
+    Two partial aggregates (max of a struct) instead of a ranking window: a hot
+    group is reduced map-side and never sorted in one task.  Output:
+    keys + ``<f>_1``/``<f>_2`` for f in ``fields`` (NULL when there is no 2nd).
+    """
+    rec = F.struct(F.col(value).alias("_v"), (-F.col(tiebreak)).alias("_t"),
+                   *[F.col(f).alias(f) for f in fields])
+    first = df.groupBy(*keys).agg(F.max(rec).alias("_r1"))
+    rest = df.join(first, keys).filter(
+        (F.col(tiebreak) != F.col("_r1._t") * -1) | F.col(tiebreak).isNull())
+    second = rest.groupBy(*keys).agg(F.max(rec).alias("_r2"))
+    out = first.join(second, keys, "left")
+    return out.select(*keys, *[F.col(f"_r1.{f}").alias(f"{f}_1") for f in fields],
+                      *[F.col(f"_r2.{f}").alias(f"{f}_2") for f in fields])
+
+
 def crosstab(df: DataFrame, row: str, col: str, values: list) -> DataFrame:
     """Contingency counts; ``values`` fixes the pivot columns (no extra job)."""
     out = df.groupBy(row).pivot(col, values).count()

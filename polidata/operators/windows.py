@@ -113,15 +113,20 @@ def rank_first(df: DataFrame, partition: list, order: list, out: str = "rank") -
 
 
 def keep_group_max(df: DataFrame, partition: list, col: str) -> DataFrame:
-    """Rows equal to the group maximum of ``col`` (ties all kept)."""
-    m = F.max(col).over(Window.partitionBy(*_cols(partition)))
-    return df.withColumn("_m", m).filter(F.col(col) == F.col("_m")).drop("_m")
+    """Rows equal to the group maximum of ``col`` (ties all kept).
+
+    Computed as a partial aggregate joined back instead of a window, so a hot
+    group is reduced map-side and the join back can be split by AQE.
+    """
+    m = df.groupBy(*partition).agg(F.max(col).alias("_m"))
+    return df.join(m, list(partition)).filter(F.col(col) == F.col("_m")).drop("_m")
 
 
 def group_extremes(df: DataFrame, partition: list, col: str, lo: str = "lo",
                    hi: str = "hi") -> DataFrame:
-    w = Window.partitionBy(*_cols(partition))
-    return df.withColumns({lo: F.min(col).over(w), hi: F.max(col).over(w)})
+    """Group min / max attached to every row (aggregate + join back)."""
+    m = df.groupBy(*partition).agg(F.min(col).alias(lo), F.max(col).alias(hi))
+    return df.join(m, list(partition))
 
 
 def duplicate_rows(df: DataFrame, keys: list[str], out: str = "n_dup") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["emissions"]
+_MODULES = ["emissions", "q_shape"]
 
 
 def _load():
