@@ -26,38 +26,71 @@ def _w(partition, order):
     return Window.partitionBy(*_cols(partition)).orderBy(*_cols(order))
 
 
+def _scan_last(df: DataFrame, col: Column, partition: list, order: list,
+               chunk: Column | None) -> DataFrame:
+    """Add ``_gidx`` (1-based row number in the partition), ``_lv`` (last
+    non-NULL ``col`` up to the row) and ``_li`` (the ``_gidx`` of that value).
+
+    With ``chunk`` (non-decreasing along ``order``) the scan is two-level:
+    windows inside (partition, chunk) plus a per-chunk summary scanned over
+    the chunks of a key, joined back.  ``order`` must be a total order.
+    """
+    keys = list(partition)
+    d = df.withColumn("_val", col)
+    if chunk is None:
+        w = _w(keys, order)
+        wr = w.rowsBetween(_UNB, 0)
+        d = d.withColumn("_gidx", F.row_number().over(w))
+        return (d.withColumn("_lv", F.last("_val", ignorenulls=True).over(wr))
+                 .withColumn("_li", F.last(F.when(F.col("_val").isNotNull(), F.col("_gidx")),
+                                           ignorenulls=True).over(wr))
+                 .drop("_val"))
+    d = d.withColumn("_chunk", chunk)
+    w = _w(keys + ["_chunk"], order)
+    wr = w.rowsBetween(_UNB, 0)
+    d = d.withColumn("_lidx", F.row_number().over(w))
+    d = d.withColumn("_llv", F.last("_val", ignorenulls=True).over(wr)) \
+         .withColumn("_lli", F.last(F.when(F.col("_val").isNotNull(), F.col("_lidx")), ignorenulls=True).over(wr))
+    summ = d.groupBy(*keys, "_chunk").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max_by(F.struct(F.col("_val").alias("v"), F.col("_lidx").alias("i")),
+                 F.when(F.col("_val").isNotNull(), F.col("_lidx"))).alias("_last"))
+    wc = _w(keys, ["_chunk"])
+    prev = wc.rowsBetween(_UNB, -1)
+    summ = summ.withColumn("_off", F.coalesce(F.sum("_n").over(prev), F.lit(0)))
+    summ = summ.withColumn("_glast", F.when(F.col("_last").isNotNull(), F.struct(
+        F.col("_last.v").alias("v"), (F.col("_last.i") + F.col("_off")).alias("i"))))
+    summ = summ.withColumn("_carry", F.last("_glast", ignorenulls=True).over(prev))
+    d = d.join(summ.select(*keys, "_chunk", "_off", "_carry"), [*keys, "_chunk"], "left")
+    d = d.withColumn("_gidx", F.col("_lidx") + F.col("_off"))
+    has_local = F.col("_lli").isNotNull()
+    d = d.withColumn("_lv", F.when(has_local, F.col("_llv")).otherwise(F.col("_carry.v"))) \
+         .withColumn("_li", F.when(has_local, F.col("_lli") + F.col("_off")).otherwise(F.col("_carry.i")))
+    return d.drop("_val", "_chunk", "_lidx", "_llv", "_lli", "_off", "_carry")
+
+
 def fill_down(df: DataFrame, col: str, partition: list, order: list,
               chunk: Column | None = None, out: str | None = None) -> DataFrame:
     """Replace NULL by the last non-NULL value above it (within ``partition``)."""
     out = out or col
-    if chunk is None:
-        w = _w(partition, order).rowsBetween(_UNB, 0)
-        return df.withColumn(out, F.last(F.col(col), ignorenulls=True).over(w))
-    keys = list(partition)
-    d = df.withColumn("_chunk", chunk)
-    local = F.last(F.col(col), ignorenulls=True).over(
-        _w(keys + ["_chunk"], order).rowsBetween(_UNB, 0))
-    d = d.withColumn("_local", local)
-    # Per chunk: its last non-NULL value; carry = last such value of earlier chunks.
-    ordkey = F.struct(*_cols(order))
-    summ = d.groupBy(*keys, "_chunk").agg(
-        F.max_by(F.col(col), F.when(F.col(col).isNotNull(), ordkey)).alias("_last"))
-    wc = _w(keys, ["_chunk"]).rowsBetween(_UNB, -1)
-    carry = summ.withColumn("_carry", F.last("_last", ignorenulls=True).over(wc))
-    d = d.join(carry.select(*keys, "_chunk", "_carry"), [*keys, "_chunk"], "left")
-    return d.withColumn(out, F.coalesce("_local", "_carry")).drop("_local", "_carry", "_chunk")
+    d = _scan_last(df, F.col(col), partition, order, chunk)
+    return d.withColumn(out, F.col("_lv")).drop("_gidx", "_lv", "_li")
 
 
 def fill_increment(df: DataFrame, col: str, partition: list, order: list,
-                   out: str | None = None) -> DataFrame:
+                   chunk: Column | None = None, out: str | None = None) -> DataFrame:
     """NULL -> previous value + 1, chaining (session numbers within a congress)."""
     out = out or col
-    w = _w(partition, order)
-    wr = w.rowsBetween(_UNB, 0)
-    d = df.withColumn("_idx", F.row_number().over(w))
-    d = d.withColumn("_lv", F.last(F.col(col), ignorenulls=True).over(wr)) \
-         .withColumn("_li", F.last(F.when(F.col(col).isNotNull(), F.col("_idx")), ignorenulls=True).over(wr))
-    return d.withColumn(out, F.col("_lv") + (F.col("_idx") - F.col("_li"))).drop("_idx", "_lv", "_li")
+    d = _scan_last(df, F.col(col), partition, order, chunk)
+    return d.withColumn(out, F.col("_lv") + (F.col("_gidx") - F.col("_li"))).drop("_gidx", "_lv", "_li")
+
+
+def block_after_marker(df: DataFrame, partition: list, order: list, marker: Column,
+                       k: int, out: str = "offset", chunk: Column | None = None) -> DataFrame:
+    """Rows 0..k after the latest marker row (the marker row has offset 0)."""
+    d = _scan_last(df, F.when(marker, F.lit(1)), partition, order, chunk)
+    d = d.withColumn(out, F.col("_gidx") - F.col("_li"))
+    return d.filter(F.col(out).between(0, k)).drop("_gidx", "_lv", "_li")
 
 
 def islands(df: DataFrame, partition: list, order_col: str, gap: int = 1,
@@ -130,24 +163,13 @@ def group_extremes(df: DataFrame, partition: list, col: str, lo: str = "lo",
 
 
 def duplicate_rows(df: DataFrame, keys: list[str], out: str = "n_dup") -> DataFrame:
-    """Rows whose key occurs more than once, with the key's count."""
-    w = Window.partitionBy(*keys)
-    return df.withColumn(out, F.count(F.lit(1)).over(w)).filter(F.col(out) > 1)
-
-
-def block_after_marker(df: DataFrame, partition: list, order: list, marker: Column,
-                       k: int, out: str = "offset") -> DataFrame:
-    """Rows 0..k after the latest marker row (marker row itself has offset 0)."""
-    w = _w(partition, order)
-    d = df.withColumn("_idx", F.row_number().over(w))
-    d = d.withColumn("_mi", F.last(F.when(marker, F.col("_idx")), ignorenulls=True)
-                     .over(w.rowsBetween(_UNB, 0)))
-    d = d.withColumn(out, F.col("_idx") - F.col("_mi"))
-    return d.filter(F.col(out).between(0, k)).drop("_idx", "_mi")
+    """Rows whose key occurs more than once, with the key's count
+    (partial aggregate + join back, skew-safe)."""
+    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)).filter(F.col(out) > 1)
+    return df.join(dup, keys)
 
 
 def keep_flagged_twins(df: DataFrame, keys: list[str], flag: str) -> DataFrame:
     """Where a key has a flagged row, keep only flagged rows; else keep all."""
-    m = F.max(F.col(flag).cast("int")).over(Window.partitionBy(*keys))
-    return df.withColumn("_m", m).filter((F.col(flag).cast("int") == 1) | (F.col("_m") == 0)) \
-             .drop("_m")
+    m = df.groupBy(*keys).agg(F.max(F.col(flag).cast("int")).alias("_m"))
+    return df.join(m, keys).filter((F.col(flag).cast("int") == 1) | (F.col("_m") == 0)).drop("_m")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["emissions", "q_shape"]
+_MODULES = ["emissions", "q_shape", "q_window"]
 
 
 def _load():
