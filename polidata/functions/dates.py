@@ -34,9 +34,9 @@ def month_day_year(c) -> Column:
     """'Jan. 3, 1995' / 'January 3, 1995' -> DATE; anything else -> NULL."""
     s = F.regexp_replace(_c(c), r"^([^.]*)\.", "$1")   # first period only
     s = abbreviate_months(F.trim(s))
-    return F.try_to_date(s, F.lit("MMM d, yyyy"))
+    return F.try_to_date(s, "MMM d, yyyy")
 
 
 def compact_date(c) -> Column:
     """'20160229' -> DATE; invalid calendar dates (e.g. 20150229) -> NULL."""
-    return F.try_to_date(_c(c), F.lit("yyyyMMdd"))
+    return F.try_to_date(_c(c), "yyyyMMdd")

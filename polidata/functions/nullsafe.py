@@ -81,5 +81,7 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 
 
 def split_part(c: ColumnOrName, sep_regex: str, k: int) -> Column:
-    """k-th (1-based) piece of a split; missing piece is '' like ``simplify=T``."""
-    return F.coalesce(F.get(F.split(_c(c), sep_regex), k - 1), F.lit(""))
+    """k-th (1-based) piece of a split; a missing piece is '' like
+    ``simplify=T``; NULL input stays NULL."""
+    c = _c(c)
+    return F.when(c.isNotNull(), F.coalesce(F.get(F.split(c, sep_regex), k - 1), F.lit("")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["emissions", "q_shape", "q_window", "q_join"]
+_MODULES = ["emissions", "q_shape", "q_window", "q_join", "q_text"]
 
 
 def _load():
