@@ -14,7 +14,8 @@ from polidata.operators import windows as W
 from polidata.plans.tables import table
 
 ORDER = ["ts", "event_id"]
-DAY_CHUNK = F.to_date("ts")
+def day_chunk():
+    return F.to_date("ts")
 
 
 # -- W4 W5: fill down, fill with increment -----------------------------------
@@ -23,8 +24,8 @@ def q_fill_down(spark: SparkSession, sf: str) -> DataFrame:
         "event_id", "user_id", "ts",
         F.when(F.col("event_id") % 3 == 0, F.col("event_type")).alias("etype"),
         F.when(F.col("event_id") % 3 == 0, F.col("event_id")).alias("seq"))
-    e = W.fill_down(e, "etype", ["user_id"], ORDER, chunk=DAY_CHUNK, out="etype_filled")
-    e = W.fill_increment(e, "seq", ["user_id"], ORDER, chunk=DAY_CHUNK, out="seq_filled")
+    e = W.fill_down(e, "etype", ["user_id"], ORDER, chunk=day_chunk(), out="etype_filled")
+    e = W.fill_increment(e, "seq", ["user_id"], ORDER, chunk=day_chunk(), out="seq_filled")
     return e.select("event_id", "user_id", "etype_filled", "seq_filled")
 
 
@@ -71,7 +72,7 @@ FROM b
 def q_block_slice(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
     out = W.block_after_marker(e, ["user_id"], ORDER, F.col("event_type") == "error", 3,
-                               out="offset", chunk=DAY_CHUNK)
+                               out="offset", chunk=day_chunk())
     return out.select("event_id", "user_id", "event_type", "offset")
 
 

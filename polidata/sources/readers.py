@@ -29,7 +29,7 @@ def read_csv_after_preamble(spark: SparkSession, paths, schema, preamble: int, s
     Line positions need whole-file order, so each (small) report file is read
     as one value and split; every file keeps its own preamble and header.
     For large files use ``read_csv_dropping`` (order-free)."""
-    raw = spark.read.option("wholetext", True).text(paths) \
+    raw = spark.read.text(paths, wholetext=True) \
         .select(F.col("_metadata.file_path").alias("file_path"), "value")
     lines = raw.select("file_path", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
     first = preamble + (1 if header else 0)
