@@ -142,3 +142,11 @@ def pick_file(listing: DataFrame, name_regex: str | None = None) -> DataFrame:
     """The largest file, or the largest one whose name matches ``name_regex``."""
     lst = listing.filter(F.col("path").rlike(name_regex)) if name_regex else listing
     return lst.agg(F.max_by("path", F.struct("length", "path")).alias("path"), F.max("length").alias("length"))
+
+
+def html_table_rows(html: Column, k: int = 0) -> Column:
+    """Rows of the k-th ``<table>`` as an array of cell-text arrays."""
+    tables = F.regexp_extract_all(html, F.lit(r"(?s)<table[^>]*>(.*?)</table>"), 1)
+    rows = F.regexp_extract_all(F.coalesce(F.get(tables, k), F.lit("")), F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), 1)
+    return F.transform(rows, lambda r: F.transform(
+        F.regexp_extract_all(r, F.lit(r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"), 1), strip_tags))
