@@ -150,3 +150,42 @@ def html_table_rows(html: Column, k: int = 0) -> Column:
     rows = F.regexp_extract_all(F.coalesce(F.get(tables, k), F.lit("")), F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), 1)
     return F.transform(rows, lambda r: F.transform(
         F.regexp_extract_all(r, F.lit(r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"), 1), strip_tags))
+
+
+def read_lines(spark: SparkSession, paths) -> DataFrame:
+    """(file_path, line_no, line) for small report files, in file order."""
+    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    return raw.select("file_path", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
+
+
+def wide_text_to_long(lines: DataFrame, header_line: int, sep: str = "|", key: str = "key") -> DataFrame:
+    """Delimited text whose header names vary by file (dates as columns) ->
+    (file_path, key, name, value) without a fixed schema."""
+    import re as _re
+    s = _re.escape(sep)
+    hdr = lines.filter(F.col("line_no") == header_line).select("file_path", F.split("line", s).alias("names"))
+    body = lines.filter((F.col("line_no") > header_line) & (F.length(F.trim("line")) > 0)) \
+        .select("file_path", F.split("line", s).alias("vals"))
+    j = body.join(hdr, "file_path")
+    z = j.select("file_path", F.trim(F.get("vals", 0)).alias(key),
+                 F.explode(F.slice(F.arrays_zip(F.col("names").alias("n"), F.col("vals").alias("v")), 2, 100_000)).alias("z"))
+    return z.select("file_path", key, F.trim("z.n").alias("name"), F.trim("z.v").alias("value"))
+
+
+def read_csv_by_header(spark: SparkSession, paths, header_regex: str, columns: list[str], sep: str = ",",
+                       max_cols: int = 64) -> DataFrame:
+    """CSV files whose column sets differ: every file's values are mapped by
+    *its own* header line (found by content, so files stay line-parallel),
+    never by position.  Missing columns are NULL strings."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line"))
+    is_hdr = F.col("line").rlike(header_regex)
+    hdr = lines.filter(is_hdr).groupBy("file_path").agg(
+        F.first(F.transform(F.split("line", sep), lambda x: F.trim(x))).alias("names"))
+    ddl = ", ".join(f"c{i} string" for i in range(max_cols))
+    body = lines.filter(~is_hdr & (F.length(F.trim("line")) > 0)) \
+        .select("file_path", F.from_csv("line", ddl, {"sep": sep}).alias("r"))
+    body = body.select("file_path", F.array(*[F.col(f"r.c{i}") for i in range(max_cols)]).alias("vals"))
+    j = body.join(hdr, "file_path")
+    pick = {c: F.when(F.array_position("names", c) > 0, F.get("vals", (F.array_position("names", c) - 1).cast("int")))
+            for c in columns}
+    return j.select("file_path", *[v.alias(c) for c, v in pick.items()])
