@@ -227,3 +227,25 @@ ORACLE = {"q_full_outer": SQL_FULL_OUTER, "q_semi_anti": SQL_SEMI_ANTI, "q_band_
           "q_lookup_recode": SQL_LOOKUP_RECODE, "q_unmatched_values": SQL_UNMATCHED_VALUES,
           "q_corrections": SQL_CORRECTIONS, "q_union_fill": SQL_UNION_FILL, "q_union_pos": SQL_UNION_POS,
           "q_setops": SQL_SETOPS}
+
+
+# -- S19 F7 A7: SQL text over temporary views ---------------------------------
+def q_sql_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The SQL-text style of the reference (``dbGetQuery``): register views,
+    run DISTINCT / NOT IN / LEFT JOIN in Spark SQL - same Catalyst plan as the
+    DataFrame API."""
+    table(spark, sf, "customer").createOrReplaceTempView("pd_customer")
+    table(spark, sf, "nation").createOrReplaceTempView("pd_nation")
+    return spark.sql("""
+        SELECT DISTINCT c.c_nationkey, n.n_name, c.c_mktsegment
+        FROM pd_customer c LEFT JOIN pd_nation n ON c.c_nationkey = n.n_nationkey
+        WHERE c.c_mktsegment NOT IN ('AUTOMOBILE', 'HOUSEHOLD') AND c.c_acctbal IS NOT NULL""")
+
+
+SQL_SQL_TEXT = """
+SELECT DISTINCT c.c_nationkey, n.n_name, c.c_mktsegment
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE c.c_mktsegment NOT IN ('AUTOMOBILE', 'HOUSEHOLD') AND c.c_acctbal IS NOT NULL"""
+
+QUERIES["q_sql_text"] = q_sql_text
+ORACLE["q_sql_text"] = SQL_SQL_TEXT
