@@ -71,7 +71,7 @@ WITH l AS (SELECT DISTINCT c_custkey, c_nationkey, CAST(year(o_orderdate) AS INT
            FROM orders JOIN customer ON o_custkey = c_custkey),
 r AS (SELECT s_nationkey AS c_nationkey, CAST(year(l_shipdate) AS INTEGER) AS ship_year, COUNT(*) AS n_ship
       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL)
-SELECT c_custkey, y, COUNT(*) AS n_years, SUM(n_ship) AS n_ship
+SELECT c_custkey, y, COUNT(*) AS n_years, CAST(SUM(n_ship) AS BIGINT) AS n_ship
 FROM l JOIN r ON l.c_nationkey = r.c_nationkey AND r.ship_year BETWEEN l.y - 2 AND l.y + 2
 GROUP BY ALL
 """

@@ -60,7 +60,7 @@ WITH d AS (SELECT DISTINCT user_id, CAST(datediff('day', DATE '2024-01-01', CAST
 b AS (SELECT *, CASE WHEN day_num > lag(day_num) OVER (PARTITION BY user_id ORDER BY day_num) + 1 THEN 1 ELSE 0 END AS brk,
              row_number() OVER (PARTITION BY user_id ORDER BY day_num) AS idx FROM d)
 SELECT user_id, day_num, CAST(idx AS INTEGER) AS idx,
-  SUM(brk) OVER (PARTITION BY user_id ORDER BY day_num ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island,
+  CAST(SUM(brk) OVER (PARTITION BY user_id ORDER BY day_num ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS island,
   CASE WHEN SUM(brk) OVER (PARTITION BY user_id ORDER BY day_num ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 0
        THEN 'first' ELSE 'later' END AS label,
   CAST(floor((idx - 1) / 4) AS INTEGER) AS block4

@@ -129,7 +129,7 @@ def detect_header(cells: DataFrame, doc: list[str], idx: str, arr: str, label: s
     hits = cells.filter((F.col(idx) < within) & (pos > 0)) \
         .groupBy(*doc).agg(F.min_by(F.struct(F.col(idx).alias("i"), pos.alias("c")), F.col(idx)).alias("_h"))
     out = cells.join(hits, doc).filter(F.col(idx) > F.col("_h.i"))
-    return out.withColumns({"hdr_idx": F.col("_h.i"), "hdr_col": F.col("_h.c")}).drop("_h")
+    return out.withColumns({"hdr_idx": F.col("_h.i"), "hdr_col": F.col("_h.c").cast("int")}).drop("_h")
 
 
 def list_files(spark: SparkSession, directory: str, glob: str = "*") -> DataFrame:
