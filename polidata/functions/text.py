@@ -91,3 +91,12 @@ def last_name(c) -> Column:
     """Last whitespace token that is not a suffix such as Jr / II / III."""
     toks = F.filter(F.split(_c(c), " "), lambda t: ~t.isin(*NAME_SUFFIXES))
     return F.element_at(toks, -1)
+
+
+def contains_any(c, tokens) -> Column:
+    """Case-insensitive: does ``c`` contain any element of the array column
+    ``tokens`` as a substring?  (A pattern built from another column, as an
+    alternation, without building regex text per row.)"""
+    c = _c(c)
+    toks = _c(tokens)
+    return F.exists(toks, lambda t: (F.length(t) > 0) & F.lower(c).contains(F.lower(t)))

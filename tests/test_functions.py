@@ -112,3 +112,9 @@ def test_dates(spark):
     assert r[4].f == dt.date(1994, 12, 22)
     c = spark.createDataFrame([("20160229",), ("20150229",)], "s string").select(D.compact_date("s")).collect()
     assert c[0][0] == dt.date(2016, 2, 29) and c[1][0] is None
+
+
+def test_contains_any(spark):
+    df = spark.createDataFrame([("John Smithers", ["smith", "x"]), ("Ann Lee", ["Bo"]), ("Al", [""]), ("B", None)],
+                               "n string, t array<string>")
+    assert [r[0] for r in df.select(X.contains_any("n", "t")).collect()] == [True, False, False, None]

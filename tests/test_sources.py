@@ -85,3 +85,10 @@ def test_writers_roundtrip_and_pick(spark, tmp_path):
     assert listing.count() >= 3
     assert R.pick_file(listing).first().path.endswith(".parquet")
     assert Wr.scratch_dir(spark, "x").startswith(spark.sparkContext.getCheckpointDir())
+
+
+def test_save_bundle(spark, tmp_path):
+    a = spark.createDataFrame([(1,)], "x int")
+    Wr.save_bundle({"house_races": a, "senate_races": a.withColumn("y", F.lit(2))}, str(tmp_path / "b"))
+    assert spark.read.parquet(str(tmp_path / "b" / "senate_races")).columns == ["x", "y"]
+    assert os.path.isdir(tmp_path / "b" / "house_races")
