@@ -81,3 +81,10 @@ def zip_positional(df: DataFrame, left: str, right: str, pos: str = "pos") -> Da
     rest = [c for c in df.columns if c not in (left, right)]
     z = F.arrays_zip(F.col(left).alias(left), F.col(right).alias(right))
     return df.select(*rest, F.posexplode(z).alias(pos, "_z")).select(*rest, pos, f"_z.{left}", f"_z.{right}")
+
+
+def set_differences(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of ``a`` missing from ``b`` and vice versa (multiset, both ways),
+    tagged by side; an empty result means the two tables are equal."""
+    return (a.exceptAll(b).withColumn("side", F.lit("left_only"))
+             .unionByName(b.exceptAll(a).withColumn("side", F.lit("right_only"))))

@@ -173,3 +173,8 @@ def keep_flagged_twins(df: DataFrame, keys: list[str], flag: str) -> DataFrame:
     """Where a key has a flagged row, keep only flagged rows; else keep all."""
     m = df.groupBy(*keys).agg(F.max(F.col(flag).cast("int")).alias("_m"))
     return df.join(m, keys).filter((F.col(flag).cast("int") == 1) | (F.col("_m") == 0)).drop("_m")
+
+
+def rows_between(df: DataFrame, pos: str, first: int, last: int) -> DataFrame:
+    """Row-range slice by a position column (inclusive, fixed positions)."""
+    return df.filter(F.col(pos).between(first, last))

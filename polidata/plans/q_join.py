@@ -249,3 +249,21 @@ WHERE c.c_mktsegment NOT IN ('AUTOMOBILE', 'HOUSEHOLD') AND c.c_acctbal IS NOT N
 
 QUERIES["q_sql_text"] = q_sql_text
 ORACLE["q_sql_text"] = SQL_SQL_TEXT
+
+
+# -- U6: set equality as a difference report --------------------------------
+def q_set_equality(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("y"))
+    a = o.filter(F.col("y") == 1996).select("o_custkey").distinct()
+    b = o.filter(F.col("y") == 1997).select("o_custkey").distinct()
+    return S.set_differences(a, b)
+
+
+SQL_SET_EQUALITY = """
+WITH a AS (SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) = 1996),
+b AS (SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) = 1997)
+SELECT o_custkey, 'left_only' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+UNION ALL SELECT o_custkey, 'right_only' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)"""
+
+QUERIES["q_set_equality"] = q_set_equality
+ORACLE["q_set_equality"] = SQL_SET_EQUALITY

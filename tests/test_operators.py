@@ -164,3 +164,13 @@ def test_quality(spark):
     assert [r[0] for r in junk.select(Q.is_junk_label(F.col("n"))).collect()] == [True, False, True, True]
     rv = {r.rule: r.n_failed for r in Q.rule_violations(df, {"has_osid": F.col("osid").isNotNull()}).collect()}
     assert rv == {"has_osid": 1}
+
+
+def test_set_differences_and_rows_between(spark):
+    a = spark.createDataFrame([(1,), (2,), (2,)], "k int")
+    b = spark.createDataFrame([(2,), (3,)], "k int")
+    got = sorted(map(tuple, S.set_differences(a, b).collect()))
+    assert got == [(1, "left_only"), (2, "left_only"), (3, "right_only")]
+    assert S.set_differences(b, b).count() == 0
+    df = spark.createDataFrame([(i,) for i in range(10)], "pos int")
+    assert [r.pos for r in W.rows_between(df, "pos", 3, 5).collect()] == [3, 4, 5]
