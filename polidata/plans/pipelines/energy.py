@@ -5,12 +5,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polidata.functions.civics import congress_of_year, district_code, generation_mwh, repair_year
+from polidata.functions.civics import congress_of_year, generation_mwh, repair_year
 from polidata.functions.columns import columns_matching, normalise_names, schema_drift
-from polidata.functions.nullsafe import null_safe_on, row_sum
+from polidata.functions.nullsafe import row_sum
 from polidata.operators.aggregates import box_stats
 from polidata.operators.quality import attribute_drift
 from polidata.operators.shape import union_by_position, union_fill, unpivot
@@ -262,5 +262,3 @@ def fuel_master_monthly(spark: SparkSession, lines: DataFrame) -> DataFrame:
     d = decode(d, "fuel", FUEL, "fuel_label", "Water")
     return decode(d, "nerc", NERC, "nerc_label")
 
-
-_ = (Window, null_safe_on, district_code)

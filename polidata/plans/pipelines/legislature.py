@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -207,5 +205,3 @@ def scorecard(recent: DataFrame, scored: DataFrame) -> DataFrame:
     lcv = W.keep_flagged_twins(lcv, ["year", "rollnumber", "chamber"], "double_count")
     return lcv.withColumn("congress", congress_of_year(F.col("year")).cast("double")).drop("page_id", "idx")
 
-
-_ = reduce
