@@ -12,6 +12,7 @@ from polidata.functions.civics import congress_of_year, generation_mwh, repair_y
 from polidata.functions.columns import columns_matching, normalise_names, schema_drift
 from polidata.functions.nullsafe import row_sum
 from polidata.operators.aggregates import box_stats
+from polidata.operators.joins import bounded_broadcast
 from polidata.operators.quality import attribute_drift
 from polidata.operators.shape import union_by_position, union_fill, unpivot
 from polidata.operators.windows import block_label
@@ -152,7 +153,7 @@ def state_emissions(sheet: DataFrame, n_ids: int = 4) -> DataFrame:
 # -- D14 --------------------------------------------------------------------
 def district_list(members: DataFrame, states: DataFrame) -> DataFrame:
     """(fips, district_code) with at-large districts coded '00'."""
-    s = F.broadcast(states.select("state_code", "fips", "at_large"))
+    s = bounded_broadcast(states.select("state_code", "fips", "at_large"))
     d = members.select("state_code", "district_code").distinct().join(s, "state_code")
     code = F.when(F.col("at_large").isNull(), F.lit(None)).when(
         F.col("at_large"), F.lit("00")).otherwise(F.lpad(F.col("district_code").cast("string"), 2, "0"))
@@ -197,7 +198,7 @@ def co2_state_year(fuel: dict[int, DataFrame], factors: DataFrame, locations: Da
             d = d.filter(F.col("esource").isNotNull())
         tagged.append(d.withColumn("src", F.lit(src)))
     con = union_fill(tagged).groupBy("src", "year", "plant_id", "esource").agg(F.sum("con").alias("con"))
-    fac = F.broadcast(factors.select(F.col("esource").alias("_fe"), "kg_co2_per_mmbtu", "kg_co2_per_unit"))
+    fac = bounded_broadcast(factors.select(F.col("esource").alias("_fe"), "kg_co2_per_mmbtu", "kg_co2_per_unit"))
     e = con.join(fac, con.esource.eqNullSafe(fac._fe), "left").drop("_fe")
     factor = F.when(F.col("src").isin(*PER_UNIT_SOURCES), F.col("kg_co2_per_unit")).otherwise(F.col("kg_co2_per_mmbtu"))
     e = e.withColumn("co2", F.coalesce(F.col("con") * factor, F.lit(0.0)))
@@ -206,7 +207,7 @@ def co2_state_year(fuel: dict[int, DataFrame], factors: DataFrame, locations: Da
     loc = locations.select("plant_id", "congress", "fips")
     x1 = plants.join(loc, ["plant_id", "congress"], "left").filter(F.col("fips").isNotNull()) \
         .groupBy("year", "fips").agg((F.sum("co2") / 1e9).alias("co2"))
-    x1 = x1.join(F.broadcast(states.select("fips", "state_code", "state_name")), "fips", "left")
+    x1 = x1.join(bounded_broadcast(states.select("fips", "state_code", "state_name")), "fips", "left")
     y1 = sectors.filter((F.col("variable") == "Total") & (F.col("sector") == "electric power")) \
         .select("year", "state_name", "value")
     z = x1.join(y1, ["year", "state_name"], "left").select(

@@ -11,7 +11,7 @@ from polidata.functions.nullsafe import if_else, split_part
 from polidata.functions.text import drop_last_char, fold_accents, paren_text, remove_paren, strip_controls
 from polidata.operators import windows as W
 from polidata.operators.aggregates import collapse_repeated
-from polidata.operators.joins import apply_corrections
+from polidata.operators.joins import apply_corrections, bounded_broadcast
 from polidata.operators.match import band_last_name_match
 from polidata.operators.quality import key_violations
 from polidata.operators.shape import union_fill
@@ -141,7 +141,7 @@ def tidy_departures(dat: DataFrame, state_lookup: DataFrame, corrections: DataFr
             r = corrections.filter(F.col("column") == col).select("name_key", "congress", "new_value")
             d = d.withColumn("name_key", F.col("name"))
             d = apply_corrections(d, r, ["name_key", "congress"], col).drop("name_key")
-    lk = F.broadcast(state_lookup.select(F.col("spelling").alias("state"), "state_code"))
+    lk = bounded_broadcast(state_lookup.select(F.col("spelling").alias("state"), "state_code"))
     d = d.join(lk, "state", "left")
     unmatched = d.filter(F.col("state_code").isNull()).select("state").distinct()
     if "osid" not in d.columns:

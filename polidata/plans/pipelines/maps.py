@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from polidata.operators.geo import bboxes, nearest_polygon, point_in_polygon, poly_cells, polygon_edges
+from polidata.operators.joins import bounded_broadcast
 from polidata.operators.windows import keep_group_max
 
 POLY = ["congress", "state_name", "district"]
@@ -37,7 +38,7 @@ def plants_to_districts(plants: DataFrame, states: DataFrame, edges: DataFrame,
     """Every plant x every map version: containing district, else the nearest
     district of the plant's own state (distance in a plane whose x axis is
     scaled by the cosine of the state's mean latitude)."""
-    st = F.broadcast(states.select(F.col("state_code").alias("state"), "state_name", "fips"))
+    st = bounded_broadcast(states.select(F.col("state_code").alias("state"), "state_name", "fips"))
     p = plants.join(st, "state", "left").withColumn("x", F.col("longitude")).withColumn("y", F.col("latitude"))
     # per map version and state: the x-axis scale of the distance plane.  One
     # row per (congress, state) - 12 maps x ~50 states - so it is broadcast,

@@ -97,6 +97,7 @@ SELECT c.c_custkey, c.seg, s.seg_n, s.seg_avgbal FROM c LEFT JOIN s ON c.seg IS
 def q_inner_merge(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    # nation (25 rows) and region (5 rows) have a fixed size at every scale
     n = F.broadcast(table(spark, sf, "nation"))
     r = F.broadcast(table(spark, sf, "region"))
     nr = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
