@@ -164,15 +164,16 @@ def tidy_departures(dat: DataFrame, state_lookup: DataFrame, corrections: DataFr
 
 
 # -- D7 ---------------------------------------------------------------------
-def scorecard_votes(pages: DataFrame, detail: DataFrame, kind_class: str = "voteIssuesFULL",
+def scorecard_votes(pages: DataFrame, detail: DataFrame, base_url: str, kind_class: str = "voteIssuesFULL",
                     n_senate: int | None = None, drop_year: int | None = 1970) -> DataFrame:
     """Scorecard list page(s) (page_id, html) + detail pages (url, html) ->
-    one row per scored roll call with the pro-environment position."""
+    one row per scored roll call with the pro-environment position.
+    ``base_url`` is prefixed to the relative vote links (detail page urls)."""
     links = R.html_links(F.col("html"), "roll-call-vote")
     kinds = F.regexp_extract_all("html", F.lit(f"<span class=['\"]{kind_class}['\"]>(.*?)</span>"), 1)
     z = pages.select("page_id", F.posexplode(F.arrays_zip(links.alias("l"), kinds.alias("k"))).alias("idx", "z"))
     href = F.col("z.l.href")
-    full = F.concat(F.lit("http://scorecard.lcv.org/"), href)
+    full = F.concat(F.lit(base_url), href)
     d = z.select("page_id", "idx", full.alias("href"),
                  F.get(F.split(href, "-"), 3).try_cast("double").alias("rollnumber"),
                  F.get(F.split(F.get(F.split(full, "-"), 2), "/"), 1).try_cast("double").alias("year"),

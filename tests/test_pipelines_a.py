@@ -122,9 +122,9 @@ def test_d7_scorecard(spark):
         f'<span class="voteIssuesFULL">Lands,</span>' for y, n in
         [(2016, 1), (2016, 2), (2015, 3), (2016, 4), (2016, 7), (2015, 6), (1970, 9)])
     pages = spark.createDataFrame([(1, html)], "page_id int, html string")
-    detail = spark.createDataFrame([("http://scorecard.lcv.org/roll-call-vote/2016-1-x",
+    detail = spark.createDataFrame([("http://scores.example/roll-call-vote/2016-1-x",
                                      "<div id='roll-call-vote-pro-env-choice'>\n\tNo</div>")], "url string, html string")
-    sc = LG.scorecard_votes(pages, detail)
+    sc = LG.scorecard_votes(pages, detail, "http://scores.example/")
     got = sorted((r.year, r.rollnumber, r.chamber, r.lcv_vote, r.lcv_type) for r in sc.collect())
     assert (2016.0, 1.0, "Senate", 0.0, "Lands") in got and (2016.0, 4.0, "House", 1.0, "Lands") in got
     assert all(g[0] != 1970 for g in got)
