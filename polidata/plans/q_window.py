@@ -1,8 +1,9 @@
 """Catalogue: ordered-window queries (fill-down, islands, blocks, duplicates).
 
 Events are scanned per user in (ts, event_id) order; the running operators
-split every user into day chunks so a very active user is never processed by
-a single task (two-level scan, see ``operators.windows``).
+split every user into hour chunks so a very active user is never processed by
+a single task (two-level scan, see ``operators.windows``); the per-chunk
+summary has at most users x hours rows.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from polidata.plans.tables import table
 
 ORDER = ["ts", "event_id"]
 def day_chunk():
-    return F.to_date("ts")
+    """Chunk column for the two-level scans: the hour of the event."""
+    return F.date_trunc("hour", "ts")
 
 
 # -- W4 W5: fill down, fill with increment -----------------------------------
