@@ -174,3 +174,11 @@ def test_set_differences_and_rows_between(spark):
     assert S.set_differences(b, b).count() == 0
     df = spark.createDataFrame([(i,) for i in range(10)], "pos int")
     assert [r.pos for r in W.rows_between(df, "pos", 3, 5).collect()] == [3, 4, 5]
+
+
+def test_grain_report(spark):
+    a = spark.createDataFrame([(1, 2000), (1, 2000), (2, None)], "fips int, year int")
+    b = spark.createDataFrame([(1,)], "k int")
+    rep = {r.table: (r.n_rows, r.n_dup_keys, r.n_null_keys) for r in
+           Q.grain_report({"a": a, "b": b}, {"a": ["fips", "year"], "b": ["k"]}).collect()}
+    assert rep == {"a": (3, 1, 1), "b": (1, 0, 0)}
