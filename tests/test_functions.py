@@ -118,3 +118,12 @@ def test_contains_any(spark):
     df = spark.createDataFrame([("John Smithers", ["smith", "x"]), ("Ann Lee", ["Bo"]), ("Al", [""]), ("B", None)],
                                "n string, t array<string>")
     assert [r[0] for r in df.select(X.contains_any("n", "t")).collect()] == [True, False, False, None]
+
+
+def test_strict_min_max_cycle_inverse(spark):
+    from polidata.functions.nullsafe import strict_max, strict_min
+    df = spark.createDataFrame([("a", 1), ("a", None), ("b", 3), ("b", 5)], "k string, v int")
+    got = {r.k: (r.lo, r.hi) for r in df.groupBy("k").agg(strict_min("v").alias("lo"), strict_max("v").alias("hi")).collect()}
+    assert got == {"a": (None, None), "b": (3, 5)}
+    c = spark.createDataFrame([(1990,), (1992,)], "y int").select(C.congress_of_cycle(F.col("y"), "closing")).collect()
+    assert [r[0] for r in c] == [101, 102]

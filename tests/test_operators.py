@@ -182,3 +182,13 @@ def test_grain_report(spark):
     rep = {r.table: (r.n_rows, r.n_dup_keys, r.n_null_keys) for r in
            Q.grain_report({"a": a, "b": b}, {"a": ["fips", "year"], "b": ["k"]}).collect()}
     assert rep == {"a": (3, 1, 1), "b": (1, 0, 0)}
+
+
+def test_zip_unpivot_all_natural(spark):
+    df = spark.createDataFrame([(1, ["a", "b"], ["x", "y"])], "id int, l array<string>, r array<string>")
+    assert [tuple(r) for r in S.zip_positional(df, "l", "r").collect()] == [(1, 0, "a", "x"), (1, 1, "b", "y")]
+    w = spark.createDataFrame([("TX", 1.0, 2.0)], "st string, d20160101 double, d20160102 double")
+    assert S.unpivot_all_but(w, ["st"], "date", "v").count() == 2
+    a = spark.createDataFrame([(1, 2000, "x")], "plant_id int, year int, a string")
+    b = spark.createDataFrame([(1, 2000, 5.0), (1, 2001, 6.0)], "plant_id int, year int, v double")
+    assert [tuple(r) for r in J.natural_join(a, b).collect()] == [(1, 2000, "x", 5.0)]

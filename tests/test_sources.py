@@ -92,3 +92,9 @@ def test_save_bundle(spark, tmp_path):
     Wr.save_bundle({"house_races": a, "senate_races": a.withColumn("y", F.lit(2))}, str(tmp_path / "b"))
     assert spark.read.parquet(str(tmp_path / "b" / "senate_races")).columns == ["x", "y"]
     assert os.path.isdir(tmp_path / "b" / "house_races")
+
+
+def test_tag_from_path(spark, tmp_path):
+    _write(tmp_path / "hou_2014.csv", "a,b\nx,1\n")
+    df = R.read_csv(spark, str(tmp_path), SCHEMA, glob="*.csv")
+    assert R.tag_from_path(df, r"\d{4}", "raceYear", "int").first().raceYear == 2014
