@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 def collapse(df: DataFrame, keys: list[str], col: str, order: list[str] | None = None,
              sep: str = ",", out: str | None = None) -> DataFrame:
-    """Group values joined into one string in ``order`` (``str_c(collapse=)``)."""
+    """Group values joined into one string in ``order`` (``str_c(collapse=)``).
+
+    The values of one group are held by one task, so apply it to bounded
+    groups (e.g. after a ``distinct`` on (key, value))."""
     out = out or col
     order = order or [col]
     pairs = F.collect_list(F.struct(*[F.col(o) for o in order], F.col(col).cast("string").alias("_v")))

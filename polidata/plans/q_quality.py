@@ -156,3 +156,24 @@ SELECT c_custkey, name, regexp_matches(name, '{Q.JUNK_LABELS}') AS is_junk FROM
 ORACLE = {"q_key_violations": SQL_KEY_VIOLATIONS, "q_orphans": SQL_ORPHANS, "q_rule_violations": SQL_RULE_VIOLATIONS,
           "q_quarantine": SQL_QUARANTINE, "q_two_incumbents": SQL_TWO_INCUMBENTS, "q_low_percent": SQL_LOW_PERCENT,
           "q_attr_drift": SQL_ATTR_DRIFT, "q_junk": _junk_sql(), "q_id_format": SQL_ID_FORMAT}
+
+
+# -- Q1 on every table: declared grains of the warehouse ---------------------
+GRAINS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "customer": ["c_custkey"],
+          "part": ["p_partkey"], "supplier": ["s_suppkey"], "events": ["event_id"]}
+
+
+def q_grain_report(spark: SparkSession, sf: str) -> DataFrame:
+    outs = {t: table(spark, sf, t).select(*keys) for t, keys in GRAINS.items()}
+    return Q.grain_report(outs, GRAINS)
+
+
+SQL_GRAIN_REPORT = "\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS "table", CAST(COALESCE(SUM(c), 0) AS BIGINT) AS n_rows,
+  COUNT(*) FILTER (WHERE c > 1) AS n_dup_keys,
+  CAST(COALESCE(SUM(c) FILTER (WHERE {' OR '.join(f'{k} IS NULL' for k in keys)}), 0) AS BIGINT) AS n_null_keys
+FROM (SELECT {', '.join(keys)}, COUNT(*) AS c FROM {t} GROUP BY {', '.join(keys)})"""
+    for t, keys in GRAINS.items())
+
+QUERIES["q_grain_report"] = q_grain_report
+ORACLE["q_grain_report"] = SQL_GRAIN_REPORT
