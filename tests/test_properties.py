@@ -58,3 +58,44 @@ def test_unpivot_conserves(spark, n_rows, n_cols):
     assert long.count() == n_rows * n_cols
     total = sum(v for r in rows for v in r[1:] if v is not None)
     assert (long.agg(F.sum("value")).first()[0] or 0.0) == pytest.approx(total)
+
+
+@SETTINGS
+@given(left=st.lists(st.tuples(st.integers(0, 2), st.integers(1990, 2000)), min_size=1, max_size=30),
+       right=st.lists(st.tuples(st.integers(0, 2), st.integers(1990, 2000), st.integers(0, 9)), min_size=1, max_size=30),
+       width=st.integers(0, 3))
+def test_band_join_equals_nested_loop(spark, left, right, width):
+    from polidata.operators.joins import band_join
+    ldf = spark.createDataFrame(left, "k int, y int")
+    rdf = spark.createDataFrame(right, "k int, cyc int, v int")
+    got = sorted(map(tuple, band_join(ldf, rdf, ["k"], "y", "cyc", width).select("k", "y", "cyc", "v").collect()))
+    want = sorted((k, y, c, v) for k, y in left for k2, c, v in right if k == k2 and abs(y - c) <= width)
+    assert got == want
+
+
+POLY = [(0.0, 0.0), (4.0, 0.0), (4.0, 3.0), (2.5, 3.0), (2.5, 1.0), (1.5, 1.0), (1.5, 3.0), (0.0, 3.0)]
+HOLE = [(0.3, 0.3), (1.0, 0.3), (1.0, 0.8), (0.3, 0.8)]
+
+
+def _inside(px, py, rings):
+    k = 0
+    for ring in rings:
+        for i, (x1, y1) in enumerate(ring):
+            x2, y2 = ring[(i + 1) % len(ring)]
+            if (y1 > py) != (y2 > py) and px < (x2 - x1) * (py - y1) / (y2 - y1) + x1:
+                k += 1
+    return k % 2 == 1
+
+
+@SETTINGS
+@given(pts=st.lists(st.tuples(st.floats(-1, 5, allow_nan=False), st.floats(-1, 4, allow_nan=False)),
+                    min_size=1, max_size=40),
+       cell=st.sampled_from([0.3, 1.0, 7.0]))
+def test_point_in_polygon_equals_brute_force(spark, pts, cell):
+    from polidata.operators.geo import point_in_polygon, polygon_edges
+    verts = [(1, r, i, x, y) for r, ring in enumerate([POLY, HOLE]) for i, (x, y) in enumerate(ring)]
+    edges = polygon_edges(spark.createDataFrame(verts, "poly int, ring int, seq int, x double, y double"), ["poly"])
+    p = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(pts)], "pid int, x double, y double")
+    got = {r.pid for r in point_in_polygon(p, edges, ["poly"], cell).collect()}
+    want = {i for i, (x, y) in enumerate(pts) if _inside(x, y, [POLY, HOLE])}
+    assert got == want
