@@ -99,3 +99,21 @@ def test_point_in_polygon_equals_brute_force(spark, pts, cell):
     got = {r.pid for r in point_in_polygon(p, edges, ["poly"], cell).collect()}
     want = {i for i, (x, y) in enumerate(pts) if _inside(x, y, [POLY, HOLE])}
     assert got == want
+
+
+NAME_PART = st.text(alphabet="abAB", min_size=1, max_size=5)
+
+
+@SETTINGS
+@given(cands=st.lists(st.tuples(st.integers(0, 1), NAME_PART, NAME_PART), min_size=1, max_size=12),
+       recs=st.lists(st.tuples(st.integers(0, 1), NAME_PART, NAME_PART), min_size=1, max_size=8))
+def test_blocked_match_equals_row_at_a_time(spark, cands, recs):
+    from tests.test_geo_match import _brute_match
+    from polidata.operators.match import blocked_match
+    c = [(100 + i, b, f"{f} {l}") for i, (b, f, l) in enumerate(cands)]
+    r = [(i, b, f"{l}, {f}") for i, (b, f, l) in enumerate(recs)]
+    cdf = spark.createDataFrame(c, "cand_id int, blk int, cname string")
+    rdf = spark.createDataFrame(r, "rec_id int, blk int, name string")
+    got = {x.rec_id: (x.cand_id, x.last_name, x.matches) for x in
+           blocked_match(rdf, "rec_id", "name", cdf, "cand_id", "cname", ["blk"], cut=0.2).collect()}
+    assert got == _brute_match(r, c, 0.2)
