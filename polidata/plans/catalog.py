@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["emissions", "q_shape", "q_window", "q_join", "q_text", "q_sources", "q_geo", "q_match", "q_quality"]
+_MODULES = ["emissions", "q_shape", "q_window", "q_join", "q_text", "q_sources", "q_geo", "q_match", "q_quality", "q_pipelines"]
 
 
 def _load():
