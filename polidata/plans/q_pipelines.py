@@ -132,3 +132,45 @@ FROM s WHERE fips <> 72 GROUP BY fips, year
 
 QUERIES = {"q_bea_gsp": q_bea_gsp, "q_bea_income": q_bea_income, "q_bls_unemployment": q_bls_unemployment}
 ORACLE = {"q_bea_gsp": SQL_BEA_GSP, "q_bea_income": SQL_BEA_INCOME, "q_bls_unemployment": SQL_BLS_UNEMPLOYMENT}
+
+
+# -- D16: degree days by district from grid cells ------------------------------
+def q_dd_district(spark: SparkSession, sf: str) -> DataFrame:
+    from polidata.plans.pipelines.weather import degree_days_by_district
+    from polidata.plans.q_geo import CELL, map_edges
+    e = table(spark, sf, "embeddings")
+    cells = e.select((F.element_at("embedding", 1).cast("double") * 10).alias("x"),
+                     (F.element_at("embedding", 2).cast("double") * 10).alias("y"),
+                     F.date_add(F.lit("1994-12-27").cast("date"), F.col("label")).alias("date"),
+                     (F.element_at("embedding", 3).cast("double") * 100).alias("tmean"))
+    # map version 1 serves the 103rd congress (1993-94), version 2 the 104th (1995-96)
+    edges = map_edges(spark).select((F.col("map_id") + 102).alias("congress"), F.col("state").alias("fips"),
+                                    F.col("poly_id").alias("district"), "ring", "seq", "x1", "y1", "x2", "y2")
+    out = degree_days_by_district(cells, edges, CELL)
+    return out.select("fips", "district", F.col("date").cast("string").alias("date"),
+                      F.round("tmean", 6).alias("tmean"), "cdd", "hdd")
+
+
+def _sql_dd_district():
+    from polidata.plans.q_geo import _edges_sql
+    return f"""WITH {_edges_sql()},
+cells AS (SELECT CAST(embedding[1] AS DOUBLE) * 10 AS x, CAST(embedding[2] AS DOUBLE) * 10 AS y,
+                 CAST(DATE '1994-12-27' + label AS DATE) AS date, CAST(embedding[3] AS DOUBLE) * 100 AS tmean
+          FROM embeddings),
+pts AS (SELECT DISTINCT x, y FROM cells),
+inside AS (SELECT p.x, p.y, e.map_id + 102 AS congress, e.state AS fips, e.poly_id AS district
+  FROM pts p CROSS JOIN edges e GROUP BY p.x, p.y, e.map_id, e.state, e.poly_id
+  HAVING SUM(CASE WHEN ((e.y1 > p.y) <> (e.y2 > p.y)) AND p.x < (e.x2 - e.x1) * (p.y - e.y1) / (e.y2 - e.y1) + e.x1
+                  THEN 1 ELSE 0 END) % 2 = 1),
+v AS (SELECT c.*, CAST(floor((year(c.date) - 1787) / 2) AS INTEGER) AS congress FROM cells c),
+m AS (SELECT i.fips, i.district, v.date, AVG(v.tmean) AS tmean FROM v JOIN inside i
+      ON v.x = i.x AND v.y = i.y AND v.congress = i.congress GROUP BY ALL),
+d AS (SELECT *, tmean * 9 / 5 + 32 - 65 AS dd FROM m)
+SELECT fips, district, CAST(date AS VARCHAR) AS date, round(tmean, 6) AS tmean,
+  CASE WHEN dd IS NULL THEN NULL WHEN dd >= 0 THEN round_even(abs(dd), 0) ELSE 0.0 END AS cdd,
+  CASE WHEN dd IS NULL THEN NULL WHEN dd <= 0 THEN round_even(abs(dd), 0) ELSE 0.0 END AS hdd
+FROM d"""
+
+
+QUERIES["q_dd_district"] = q_dd_district
+ORACLE["q_dd_district"] = _sql_dd_district()
