@@ -174,3 +174,83 @@ FROM d"""
 
 QUERIES["q_dd_district"] = q_dd_district
 ORACLE["q_dd_district"] = _sql_dd_district()
+
+
+# -- D20: the 410-character monthly fuel master, built from lineitem -----------
+def master_410(spark: SparkSession, sf: str) -> DataFrame:
+    """One record per (supplier, fuel code, year) in the documented layout:
+    codes and names in positions 1-82, 12 monthly groups of generation (10),
+    consumption (8) and stocks (8) in 83-394, plant/NERC/company codes and
+    descriptions in 395-410."""
+    li = table(spark, sf, "lineitem")
+    fuel = F.when(F.col("l_returnflag") == "A", "4").when(F.col("l_returnflag") == "N", "9").otherwise(F.lit(None))
+    m = li.groupBy("l_suppkey", fuel.alias("fuel"), (F.year("l_shipdate") - 1910).alias("yy"),
+                   F.month("l_shipdate").alias("month")).agg(
+        (F.sum("l_quantity") * 1000 - 25000).cast("long").alias("gen"),
+        F.sum(F.col("l_quantity") * F.col("l_linenumber")).cast("long").alias("con"),
+        F.count(F.lit(1)).alias("stk"))
+    months = list(range(1, 13))
+    w = m.groupBy("l_suppkey", "fuel", "yy").pivot("month", months).agg(
+        F.first("gen").alias("g"), F.first("con").alias("c"), F.first("stk").alias("s"))
+
+    def num(c, width):
+        return F.coalesce(F.lpad(F.col(c).cast("string"), width, " "), F.lit(" " * width))
+
+    k = F.col("l_suppkey")
+    parts = [F.lpad((k % 90 + 10).cast("string"), 2, "0"), F.lpad((k % 50 + 1).cast("string"), 2, "0"),
+             F.when(k % 6 == 0, F.lit(" ")).otherwise((k % 9 + 1).cast("string")), (k % 8 + 1).cast("string"),
+             F.coalesce(F.col("fuel"), F.lit(" ")), F.lpad((k % 1000).cast("string"), 3, "0"),
+             F.lpad((k % 997).cast("string"), 3, "0"),
+             F.rpad(F.concat(F.lit("Company "), k.cast("string")), 25, " "),
+             F.rpad(F.concat(F.lit("P"), k.cast("string")), 11, " "), F.lit(" " * 7), F.rpad(F.lit("FUEL"), 9, " "),
+             F.lpad(k.cast("string"), 5, "0"), F.lit(" "), F.lit("M"), F.lit("0188"), F.lit(" "), F.lit("   "),
+             F.lpad(F.col("yy").cast("string"), 2, "0")]
+    for mo in months:
+        parts += [num(f"{mo}_g", 10), num(f"{mo}_c", 8), num(f"{mo}_s", 8)]
+    parts += [F.lpad((k % 10000).cast("string"), 4, "0"), F.lpad((k % 11 + 1).cast("string"), 2, "0"),
+              F.lpad(k.cast("string"), 5, "0"), F.lit("BIT"), F.lit("ST")]
+    return w.select(F.concat(*parts).alias("value"))
+
+
+def q_fuel_master(spark: SparkSession, sf: str) -> DataFrame:
+    from polidata.plans.pipelines.energy import fuel_master_monthly
+    out = fuel_master_monthly(spark, master_410(spark, sf))
+    return out.select("plant_code", "company_code", "fuel", "fuel_label", "ownership_label", "prime_mover_label",
+                      "nerc_label", "year", "month", "generation", F.round("generation_mwh", 6).alias("generation_mwh"),
+                      "consumption", "stocks")
+
+
+def _sql_fuel_master():
+    from polidata.plans.pipelines.energy import FUEL, NERC, OWNERSHIP, PRIME_MOVER
+
+    def values(rows):
+        return ", ".join(f"('{a}', '{b}')" for a, b in rows)
+    return f"""
+WITH m AS (SELECT l_suppkey AS k, CASE l_returnflag WHEN 'A' THEN '4' WHEN 'N' THEN '9' END AS fuel,
+                  CAST(year(l_shipdate) AS INTEGER) - 10 AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
+                  CAST(SUM(l_quantity) * 1000 - 25000 AS DOUBLE) AS generation,
+                  CAST(SUM(l_quantity * l_linenumber) AS DOUBLE) AS consumption, CAST(COUNT(*) AS DOUBLE) AS stocks
+           FROM lineitem GROUP BY ALL),
+g AS (SELECT DISTINCT k, fuel, year FROM m),
+grid AS (SELECT g.*, CAST(mm AS INTEGER) AS month FROM g, range(1, 13) t(mm)),
+own(code, label) AS (VALUES {values(OWNERSHIP)}),
+pm(code, label) AS (VALUES {values(PRIME_MOVER)}),
+fu(code, label) AS (VALUES {values(FUEL)}),
+ne(code, label) AS (VALUES {values(NERC)})
+SELECT CAST(grid.k % 997 AS INTEGER) AS plant_code, CAST(grid.k % 1000 AS INTEGER) AS company_code, grid.fuel,
+  CASE WHEN grid.fuel IS NULL THEN 'Water' ELSE fu.label END AS fuel_label,
+  CASE WHEN grid.k % 6 = 0 THEN 'Industrial' ELSE own.label END AS ownership_label,
+  pm.label AS prime_mover_label, ne.label AS nerc_label, grid.year, grid.month, m.generation,
+  round(CASE WHEN grid.year < 1990 THEN m.generation / 1000 ELSE m.generation END, 6) AS generation_mwh,
+  m.consumption, m.stocks
+FROM grid LEFT JOIN m ON m.k = grid.k AND m.fuel IS NOT DISTINCT FROM grid.fuel AND m.year = grid.year
+  AND m.month = grid.month
+LEFT JOIN own ON own.code = CAST(grid.k % 9 + 1 AS VARCHAR) AND grid.k % 6 <> 0
+LEFT JOIN pm ON pm.code = CAST(grid.k % 8 + 1 AS VARCHAR)
+LEFT JOIN fu ON fu.code = grid.fuel
+LEFT JOIN ne ON ne.code = lpad(CAST(grid.k % 11 + 1 AS VARCHAR), 2, '0')
+"""
+
+
+QUERIES["q_fuel_master"] = q_fuel_master
+ORACLE["q_fuel_master"] = _sql_fuel_master()
