@@ -254,3 +254,69 @@ LEFT JOIN ne ON ne.code = lpad(CAST(grid.k % 11 + 1 AS VARCHAR), 2, '0')
 
 QUERIES["q_fuel_master"] = q_fuel_master
 ORACLE["q_fuel_master"] = _sql_fuel_master()
+
+
+# -- D8: race results from order-derived race rows ----------------------------
+def race_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """One House race per order: the customer, the priority and a third
+    candidate compete; vote counts arrive as text with thousands separators
+    ('N/A' for every 11th third-party line), percentages as text."""
+    from polidata.plans.q_text import _votes_text
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    o = o.join(c, "o_custkey")
+    dv = F.floor(F.col("o_totalprice"))
+    rv = F.floor(F.col("o_totalprice") * 0.8 + (F.col("o_orderkey") % 7) * 1000)
+    tv = F.floor(F.col("o_totalprice") / 9)
+    third_na = F.col("o_orderkey") % 11 == 0
+    pct = {"DemVotesMajorPercent": dv * 100 / (dv + rv), "RepVotesMajorPercent": rv * 100 / (dv + rv),
+           "ThirdVotesTotalPercent": F.when(third_na, F.lit(None)).otherwise(tv * 100 / (dv + rv + tv))}
+    return o.select(
+        F.lit("House").alias("Office"), F.concat(F.lit("State "), F.col("c_nationkey").cast("string")).alias("State"),
+        F.concat(F.lit("District "), F.col("o_orderkey").cast("string")).alias("Area"),
+        F.year("o_orderdate").cast("string").alias("raceYear"),
+        F.concat(F.lit("Cust, "), F.col("o_custkey").cast("string")).alias("DemCandidate"),
+        F.when(F.col("o_orderstatus") == "F", "Incumbent").otherwise("Challenger").alias("DemStatus"),
+        _votes_text(dv).alias("DemVotes"),
+        F.col("o_orderpriority").alias("RepCandidate"),
+        F.when(F.col("o_orderstatus") == "O", "Incumbent").otherwise("Challenger").alias("RepStatus"),
+        _votes_text(rv).alias("RepVotes"),
+        F.lit("Other, Party").alias("ThirdCandidate"), F.lit("Challenger").alias("ThirdStatus"),
+        F.when(third_na, F.lit("N/A")).otherwise(_votes_text(tv)).alias("ThirdVotes"),
+        *[v.cast("string").alias(k) for k, v in pct.items()])
+
+
+def q_races(spark: SparkSession, sf: str) -> DataFrame:
+    from polidata.plans.pipelines.elections import races
+    r = races(race_rows(spark, sf), "House")["races"]
+    return r.select("raceYear", "State", "Area", "AllVotes", "Candidate_1", "Candidate_2", "Status_1", "Status_2",
+                    F.round("VotesMajorPercent_1", 6).alias("pct_1"), F.round("VotesMajorPercent_2", 6).alias("pct_2"),
+                    F.round("margin", 6).alias("margin"))
+
+
+SQL_RACES = """
+WITH o AS (SELECT o.*, c.c_nationkey, floor(o_totalprice) AS dv,
+                  floor(o_totalprice * 0.8 + (o_orderkey % 7) * 1000) AS rv, floor(o_totalprice / 9) AS tv
+           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+cand AS (
+  SELECT o_orderkey, c_nationkey, o_orderdate, dv + rv + CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE tv END AS all_votes,
+         'Cust, ' || CAST(o_custkey AS VARCHAR) AS name,
+         CASE WHEN o_orderstatus = 'F' THEN 'Incumbent' ELSE 'Challenger' END AS status,
+         dv * 100 / (dv + rv) AS pct, 1 AS party_order FROM o
+  UNION ALL
+  SELECT o_orderkey, c_nationkey, o_orderdate, dv + rv + CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE tv END,
+         o_orderpriority, CASE WHEN o_orderstatus = 'O' THEN 'Incumbent' ELSE 'Challenger' END,
+         rv * 100 / (dv + rv), 2 FROM o
+  UNION ALL
+  SELECT o_orderkey, c_nationkey, o_orderdate, dv + rv + CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE tv END,
+         'Other, Party', 'Challenger', CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE tv * 100 / (dv + rv + tv) END, 3 FROM o),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY pct DESC NULLS LAST, party_order) AS rk FROM cand)
+SELECT CAST(year(r1.o_orderdate) AS INTEGER) AS "raceYear", 'State ' || CAST(r1.c_nationkey AS VARCHAR) AS "State",
+       'District ' || CAST(r1.o_orderkey AS VARCHAR) AS "Area", CAST(r1.all_votes AS DOUBLE) AS "AllVotes",
+       r1.name AS "Candidate_1", r2.name AS "Candidate_2", r1.status AS "Status_1", r2.status AS "Status_2",
+       round(r1.pct, 6) AS pct_1, round(r2.pct, 6) AS pct_2, round(COALESCE((r1.pct - r2.pct) / 100, 1.0), 6) AS margin
+FROM r r1 LEFT JOIN r r2 ON r1.o_orderkey = r2.o_orderkey AND r2.rk = 2 WHERE r1.rk = 1
+"""
+
+QUERIES["q_races"] = q_races
+ORACLE["q_races"] = SQL_RACES
