@@ -320,3 +320,46 @@ FROM r r1 LEFT JOIN r r2 ON r1.o_orderkey = r2.o_orderkey AND r2.rk = 2 WHERE r1
 
 QUERIES["q_races"] = q_races
 ORACLE["q_races"] = SQL_RACES
+
+
+# -- D17: yearly spending files whose columns differ, read back by header -------
+def q_spending(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders are published as one spending CSV folder per year ('95CFFIND',
+    ...), several files per folder; odd years omit the POP column.  The files are
+    read back with each file's own header (never by position) and summed."""
+    import os
+    from polidata.plans.pipelines.spending import read_spending
+    from polidata.sources.writers import scratch_dir
+    base = scratch_dir(spark, "cffr")
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    rows = o.join(c, "o_custkey").select(
+        F.concat(F.lpad((F.year("o_orderdate") % 100).cast("string"), 2, "0"), F.lit("CFFIND")).alias("folder"),
+        F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0").alias("FIPSST"),
+        F.lpad((F.col("o_custkey") % 1000).cast("string"), 3, "0").alias("FIPSCO"),
+        F.concat(F.lit("ST"), F.col("c_nationkey").cast("string")).alias("STATE"),
+        (F.col("o_custkey") % 5000).alias("POP"),
+        F.substring("o_orderpriority", 1, 1).alias("PROG_ID"), F.col("o_orderstatus").alias("AGENCY"),
+        F.col("o_totalprice").alias("AMOUNT"), (F.year("o_orderdate") % 2).alias("_odd"))
+    even = rows.filter(F.col("_odd") == 0).drop("_odd")
+    odd = rows.filter(F.col("_odd") == 1).drop("_odd", "POP").select("folder", "STATE", "FIPSST", "AMOUNT", "AGENCY",
+                                                                     "PROG_ID", "FIPSCO")   # other column order too
+    for part in (even, odd):
+        # one folder per year; every writing task emits its own file (with header)
+        part.write.mode("append").option("header", True).partitionBy("folder").csv(base)
+    df = read_spending(spark, os.path.join(base, "*", "*.csv"))
+    return df.groupBy("YEAR", "FIPSST", "AGENCY").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("AMOUNT"), 2).alias("amount"), F.sum("POP").alias("pop"))
+
+
+SQL_SPENDING = """
+WITH j AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS y, lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS st,
+                  o_orderstatus AS ag, o_totalprice, o_custkey % 5000 AS pop
+           FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT y AS "YEAR", st AS "FIPSST", ag AS "AGENCY", COUNT(*) AS n, round(SUM(o_totalprice), 2) AS amount,
+       CASE WHEN y % 2 = 0 THEN CAST(SUM(pop) AS BIGINT) END AS pop
+FROM j GROUP BY y, st, ag
+"""
+
+QUERIES["q_spending"] = q_spending
+ORACLE["q_spending"] = SQL_SPENDING
