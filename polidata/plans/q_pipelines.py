@@ -363,3 +363,61 @@ FROM j GROUP BY y, st, ag
 
 QUERIES["q_spending"] = q_spending
 ORACLE["q_spending"] = SQL_SPENDING
+
+
+# -- D15: degree-day report files (one column per date), read back -------------
+N_BUCKETS = 16
+
+
+def q_dd_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily click / view counts per user are published like the degree-day
+    reports: pipe-delimited, three preamble lines, a 'Region|yyyymmdd|...'
+    header, one row per region (user).  Files are bucketed by user so each
+    stays small; every file carries its own preamble and header.  The
+    pipeline reads them back and full-outer-joins the two kinds."""
+    import os
+    from polidata.plans.pipelines.weather import degree_days_by_state
+    from polidata.sources.readers import read_lines
+    from polidata.sources.writers import scratch_dir
+    base = scratch_dir(spark, "degree-days")
+    e = table(spark, sf, "events").select("user_id", F.date_format("ts", "yyyyMMdd").alias("d"), "event_type")
+    for kind, etype in (("Cooling", "click"), ("Heating", "view")):
+        counts = e.filter(F.col("event_type") == etype).groupBy("user_id").pivot("d").agg(F.count(F.lit(1)))
+        dates = [c for c in counts.columns if c != "user_id"]
+        region = F.concat(F.lit("U"), F.col("user_id").cast("string"))
+        body = counts.select((F.col("user_id") % N_BUCKETS).alias("bucket"), F.lit(3).alias("line_no"),
+                             F.concat_ws("|", region, *[F.coalesce(F.col(d).cast("string"), F.lit("")) for d in dates])
+                             .alias("value"))
+        head_lines = ["Degree days by region", f"{kind} degree days (derived)", "", "Region|" + "|".join(dates)]
+        heads = spark.range(N_BUCKETS).select(F.col("id").cast("int").alias("b")).select(
+            F.col("b").alias("bucket"),
+            F.explode(F.array(*[F.struct(F.lit(i - 4).alias("n"), F.lit(t).alias("t"))
+                                for i, t in enumerate(head_lines)])).alias("h")) \
+            .select("bucket", F.col("h.n").alias("line_no"), F.col("h.t").alias("value"))
+        # sorted by (bucket, line) so the partitioned writer keeps the line order
+        lines = body.unionByName(heads).repartition("bucket").sortWithinPartitions("bucket", "line_no")
+        lines.select("bucket", "value").write.mode("overwrite").partitionBy("bucket") \
+            .text(os.path.join(base, f"States.{kind}"))
+    out = degree_days_by_state(read_lines(spark, os.path.join(base, "*", "*", "*.txt")), preamble=3)
+    return out.select("statecode", F.col("date").cast("string").alias("date"), "cdd", "hdd")
+
+
+SQL_DD_STATE = """
+WITH e AS (SELECT user_id, CAST(ts AS DATE) AS d, event_type FROM events),
+c_users AS (SELECT DISTINCT user_id FROM e WHERE event_type = 'click'),
+c_days AS (SELECT DISTINCT d FROM e WHERE event_type = 'click'),
+c_cnt AS (SELECT user_id, d, COUNT(*) AS n FROM e WHERE event_type = 'click' GROUP BY ALL),
+c AS (SELECT u.user_id, y.d, CAST(n.n AS DOUBLE) AS cdd FROM c_users u, c_days y
+      LEFT JOIN c_cnt n ON n.user_id = u.user_id AND n.d = y.d),
+h_users AS (SELECT DISTINCT user_id FROM e WHERE event_type = 'view'),
+h_days AS (SELECT DISTINCT d FROM e WHERE event_type = 'view'),
+h_cnt AS (SELECT user_id, d, COUNT(*) AS n FROM e WHERE event_type = 'view' GROUP BY ALL),
+h AS (SELECT u.user_id, y.d, CAST(n.n AS DOUBLE) AS hdd FROM h_users u, h_days y
+      LEFT JOIN h_cnt n ON n.user_id = u.user_id AND n.d = y.d)
+SELECT 'U' || CAST(COALESCE(c.user_id, h.user_id) AS VARCHAR) AS statecode,
+       CAST(COALESCE(c.d, h.d) AS VARCHAR) AS date, c.cdd, h.hdd
+FROM c FULL OUTER JOIN h ON c.user_id = h.user_id AND c.d = h.d
+"""
+
+QUERIES["q_dd_state"] = q_dd_state
+ORACLE["q_dd_state"] = SQL_DD_STATE
