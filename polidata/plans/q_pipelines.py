@@ -421,3 +421,65 @@ FROM c FULL OUTER JOIN h ON c.user_id = h.user_id AND c.d = h.d
 
 QUERIES["q_dd_state"] = q_dd_state
 ORACLE["q_dd_state"] = SQL_DD_STATE
+
+
+# -- D5: legislator documents (nested name / ids / bio / terms) ----------------
+def _person_docs(spark: SparkSession, sf: str):
+    """Nested person documents from orders: repeated fec ids (all equal or
+    not), a birthday, two terms; even order keys are 'current', odd ones
+    'historical'."""
+    o = table(spark, sf, "orders")
+    d0 = F.to_date("o_orderdate")
+    k = F.col("o_orderkey")
+    fec = F.when(k % 3 == 0, F.array(F.concat(F.lit("F"), F.col("o_custkey").cast("string")),
+                                     F.concat(F.lit("G"), k.cast("string")))) \
+        .otherwise(F.array(F.concat(F.lit("F"), F.col("o_custkey").cast("string")),
+                           F.concat(F.lit("F"), F.col("o_custkey").cast("string"))))
+    term = F.struct(F.lit("rep").alias("type"), d0.cast("string").alias("start"),
+                    F.add_months(d0, 24).cast("string").alias("end"), F.lit("x").alias("party_affiliations"))
+    term2 = F.struct(F.when(F.col("o_orderstatus") == "F", "sen").otherwise("rep").alias("type"),
+                     F.add_months(d0, 24).cast("string").alias("start"),
+                     F.add_months(d0, 96).cast("string").alias("end"), F.lit(None).cast("string").alias("party_affiliations"))
+    docs = o.select(F.struct(F.concat(F.lit("Cust#"), F.col("o_custkey").cast("string")).alias("first"),
+                             F.col("o_orderpriority").alias("last")).alias("name"),
+                    F.struct(k.alias("govtrack"), fec.alias("fec")).alias("id"),
+                    F.struct(F.date_sub(d0, 20000).cast("string").alias("birthday")).alias("bio"),
+                    F.array(term, term2).alias("terms"), (k % 2).alias("_odd"))
+    return docs.filter(F.col("_odd") == 0).drop("_odd"), docs.filter(F.col("_odd") == 1).drop("_odd")
+
+
+def q_legislator_info(spark: SparkSession, sf: str) -> DataFrame:
+    from polidata.plans.pipelines.legislature import legislators
+    cur, hist = _person_docs(spark, sf)
+    return legislators(cur, hist)["govtrack_info"]
+
+
+SQL_LEGISLATOR_INFO = """
+SELECT 'Cust#' || CAST(o_custkey AS VARCHAR) AS name_first, o_orderpriority AS name_last, o_orderkey AS id_govtrack,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'F' || CAST(o_custkey AS VARCHAR) || ',G' || CAST(o_orderkey AS VARCHAR)
+            ELSE 'F' || CAST(o_custkey AS VARCHAR) END AS id_fec,
+       CAST(CAST(o_orderdate AS DATE) - 20000 AS VARCHAR) AS bio_birthday
+FROM orders
+"""
+
+
+def q_legislator_terms(spark: SparkSession, sf: str) -> DataFrame:
+    from polidata.plans.pipelines.legislature import legislators
+    cur, hist = _person_docs(spark, sf)
+    return legislators(cur, hist)["govtrack_term"]
+
+
+SQL_LEGISLATOR_TERMS = """
+WITH o AS (SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS d FROM orders)
+SELECT o_orderkey AS id_govtrack, 'rep' AS type, CAST(d AS VARCHAR) AS start,
+       CAST(CAST(d + INTERVAL 24 MONTH AS DATE) AS VARCHAR) AS "end", 'House' AS chamber FROM o
+UNION
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'sen' ELSE 'rep' END,
+       CAST(CAST(d + INTERVAL 24 MONTH AS DATE) AS VARCHAR), CAST(CAST(d + INTERVAL 96 MONTH AS DATE) AS VARCHAR),
+       CASE WHEN o_orderstatus = 'F' THEN 'Senate' ELSE 'House' END FROM o
+"""
+
+QUERIES["q_legislator_info"] = q_legislator_info
+QUERIES["q_legislator_terms"] = q_legislator_terms
+ORACLE["q_legislator_info"] = SQL_LEGISLATOR_INFO
+ORACLE["q_legislator_terms"] = SQL_LEGISLATOR_TERMS
