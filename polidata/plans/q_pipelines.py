@@ -483,3 +483,66 @@ QUERIES["q_legislator_info"] = q_legislator_info
 QUERIES["q_legislator_terms"] = q_legislator_terms
 ORACLE["q_legislator_info"] = SQL_LEGISLATOR_INFO
 ORACLE["q_legislator_terms"] = SQL_LEGISLATOR_TERMS
+
+
+# -- D10: statewide results with state codes (inner join drops non-states) -----
+def q_statewide(spark: SparkSession, sf: str) -> DataFrame:
+    from polidata.plans.pipelines.elections import statewide_races
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    n = table(spark, sf, "nation")
+    raw = o.join(c, "o_custkey").join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey).select(
+        F.when(F.col("o_orderpriority") == "1-URGENT", "Governor").otherwise("President").alias("Office"),
+        # every 10th nation key reports under a territory name that is not a state
+        F.when(F.col("c_nationkey") % 10 == 9, F.lit("Territory")).otherwise(F.col("n_name")).alias("Area"),
+        F.year("o_orderdate").alias("raceYear"), "o_orderkey", "o_totalprice")
+    states = n.select(F.col("n_name").alias("state_name"),
+                      F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("state_code"),
+                      (F.col("n_nationkey") + 1).alias("fips"))
+    return statewide_races(raw, "President", states).select("o_orderkey", "Area", "raceYear", "statecode", "fips")
+
+
+SQL_STATEWIDE = """
+SELECT o.o_orderkey, n.n_name AS "Area", CAST(year(o.o_orderdate) AS INTEGER) AS "raceYear",
+       'S' || CAST(n.n_nationkey AS VARCHAR) AS statecode, n.n_nationkey + 1 AS fips
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE o.o_orderpriority <> '1-URGENT' AND c.c_nationkey % 10 <> 9
+"""
+
+
+# -- D12: plant registry across yearly vintages ---------------------------------
+def _plant_vintages(spark: SparkSession, sf: str) -> dict:
+    li = table(spark, sf, "lineitem").select("l_suppkey", F.year("l_shipdate").alias("y"))
+    s = table(spark, sf, "supplier")
+    vint = {}
+    for y in range(1995, 2002):           # one frame per yearly file (a fixed list of years)
+        act = li.filter(F.col("y") == y).select(F.col("l_suppkey").alias("s_suppkey")).distinct()
+        v = s.join(act, "s_suppkey").select(
+            F.col("s_suppkey").alias("Plant Code"), F.col("s_name").alias("Plant Name"),
+            F.col("s_nationkey").alias("State"),
+            F.when((F.col("s_suppkey") % 13 == 0) & F.lit(y >= 1999), F.lit("Moved"))
+             .otherwise(F.concat(F.lit("C"), (F.col("s_suppkey") % 50).cast("string"))).alias("City"))
+        if y >= 1998:
+            v = v.withColumn("Sector", F.lit("electric"))
+        vint[y] = v
+    return vint
+
+
+def q_plant_registry(spark: SparkSession, sf: str) -> DataFrame:
+    from polidata.plans.pipelines.energy import plant_registry
+    out = plant_registry(_plant_vintages(spark, sf), base_year=1997)
+    return out["unstable_plants"]
+
+
+SQL_PLANT_REGISTRY = """
+WITH a AS (SELECT DISTINCT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS y FROM lineitem),
+v AS (SELECT DISTINCT s.s_suppkey AS plant_code, s.s_name, s.s_nationkey,
+        CASE WHEN s.s_suppkey % 13 = 0 AND a.y >= 1999 THEN 'Moved' ELSE 'C' || CAST(s.s_suppkey % 50 AS VARCHAR) END AS city
+      FROM supplier s JOIN a ON a.l_suppkey = s.s_suppkey)
+SELECT plant_code, COUNT(*) AS n_versions FROM v GROUP BY plant_code HAVING COUNT(*) > 1
+"""
+
+QUERIES["q_statewide"] = q_statewide
+QUERIES["q_plant_registry"] = q_plant_registry
+ORACLE["q_statewide"] = SQL_STATEWIDE
+ORACLE["q_plant_registry"] = SQL_PLANT_REGISTRY
