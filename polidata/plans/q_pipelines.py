@@ -546,3 +546,66 @@ QUERIES["q_statewide"] = q_statewide
 QUERIES["q_plant_registry"] = q_plant_registry
 ORACLE["q_statewide"] = SQL_STATEWIDE
 ORACLE["q_plant_registry"] = SQL_PLANT_REGISTRY
+
+
+# -- D11: utility forms with monthly columns, two-digit years ------------------
+def utility_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """Per supplier and ship year: con01..con12 / gen01..gen12 / stk01..stk12
+    columns; even suppliers report a two-digit year (through 2000); generation in month 12
+    is missing for every 7th supplier."""
+    li = table(spark, sf, "lineitem").select("l_suppkey", F.year("l_shipdate").alias("y"),
+                                             F.month("l_shipdate").alias("m"), "l_quantity", "l_linenumber")
+    months = list(range(1, 13))
+    w = li.groupBy("l_suppkey", "y").pivot("m", months).agg(
+        F.sum("l_quantity").alias("con"), F.sum("l_linenumber").cast("double").alias("gen"),
+        F.count(F.lit(1)).cast("double").alias("stk"))
+    # two-digit years only where the form used them (through 2000, which reads 0)
+    cols = [F.when((F.col("l_suppkey") % 2 == 0) & (F.col("y") <= 2000), F.col("y") % 100)
+             .otherwise(F.col("y")).alias("year"),
+            (F.col("l_suppkey") % 50 + 1).alias("fipst"), (F.col("l_suppkey") * 7).alias("utilcode"),
+            F.col("l_suppkey").alias("pcode")]
+    for kind in ("con", "gen", "stk"):
+        for mo in months:
+            c = F.col(f"{mo}_{kind}")
+            if kind == "gen" and mo == 12:
+                c = F.when(F.col("l_suppkey") % 7 == 0, F.lit(None)).otherwise(c)
+            cols.append(c.alias(f"{kind}{mo:02d}"))
+    return w.select(*cols)
+
+
+def q_utility_forms(spark: SparkSession, sf: str) -> DataFrame:
+    from polidata.plans.pipelines.energy import patch_utility_form
+    out = patch_utility_form(utility_forms(spark, sf))
+    return out.select("year", "pcode", "fipst", "utilcode", "ucode",
+                      F.round("consumptio", 4).alias("consumptio"), F.round("netgenerat", 4).alias("netgenerat"),
+                      F.round("stocks", 4).alias("stocks"))
+
+
+def _sql_utility_forms():
+    mo = range(1, 13)
+
+    sums = ",\n  ".join(
+        f"SUM(CASE WHEN m = {m} THEN l_quantity END) AS con{m:02d}, "
+        f"CAST(SUM(CASE WHEN m = {m} THEN l_linenumber END) AS DOUBLE) AS gen{m:02d}, "
+        f"CAST(COUNT(CASE WHEN m = {m} THEN 1 END) AS DOUBLE) AS stk{m:02d}" for m in mo)
+    gen12 = "CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE gen12 END"
+    con_t = " + ".join(f"con{m:02d}" for m in mo)
+    gen_t = " + ".join([f"gen{m:02d}" for m in range(1, 12)] + [gen12])
+    stk_t = " + ".join(f"stk{m:02d}" for m in mo)
+    return f"""
+WITH li AS (SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS y, CAST(month(l_shipdate) AS INTEGER) AS m,
+                   l_quantity, l_linenumber FROM lineitem),
+w AS (SELECT l_suppkey, y,
+  {sums}
+  FROM li GROUP BY l_suppkey, y)
+SELECT CAST(y AS INTEGER) AS year, l_suppkey AS pcode, CAST(l_suppkey % 50 + 1 AS DOUBLE) AS fipst,
+  CASE WHEN y BETWEEN 1970 AND 1984 OR y BETWEEN 1991 AND 1995 THEN NULL ELSE CAST(l_suppkey * 7 AS DOUBLE) END AS utilcode,
+  CASE WHEN y BETWEEN 1970 AND 1984 OR y BETWEEN 1991 AND 1995 THEN CAST(l_suppkey * 7 AS DOUBLE) END AS ucode,
+  CASE WHEN y <= 1995 THEN round({con_t}, 4) END AS consumptio,
+  CASE WHEN y <= 1995 THEN round({gen_t}, 4) END AS netgenerat,
+  CASE WHEN y <= 1995 THEN round({stk_t}, 4) END AS stocks
+FROM w"""
+
+
+QUERIES["q_utility_forms"] = q_utility_forms
+ORACLE["q_utility_forms"] = _sql_utility_forms()
