@@ -157,7 +157,8 @@ def district_list(members: DataFrame, states: DataFrame) -> DataFrame:
     d = members.select("state_code", "district_code").distinct().join(s, "state_code")
     code = F.when(F.col("at_large").isNull(), F.lit(None)).when(
         F.col("at_large"), F.lit("00")).otherwise(F.lpad(F.col("district_code").cast("string"), 2, "0"))
-    return d.select(F.lpad(F.col("fips").cast("string"), 2, "0").alias("fips"), code.alias("district_code"))
+    # distinct after the at-large recode: several member districts collapse to '00'
+    return d.select(F.lpad(F.col("fips").cast("string"), 2, "0").alias("fips"), code.alias("district_code")).distinct()
 
 
 def district_emissions(districts: DataFrame, pages: DataFrame, url_prefix: str) -> DataFrame:

@@ -609,3 +609,61 @@ FROM w"""
 
 QUERIES["q_utility_forms"] = q_utility_forms
 ORACLE["q_utility_forms"] = _sql_utility_forms()
+
+
+# -- D14: district emissions from detail pages (table 2 per district) ----------
+CARMA_PREFIX = "http://districts.example/detail/"
+
+
+def carma_inputs(spark: SparkSession, sf: str):
+    """members / states / detail pages derived from the warehouse: districts
+    are (customer nation, custkey % 7 + 1), every 5th nation is at large;
+    each district page holds a year x 7-measure table (comma thousands,
+    'yyyy:' labels, a 'Future' row) after an unrelated first table."""
+    from polidata.plans.q_text import _votes_text
+    c = table(spark, sf, "customer").select(
+        "c_custkey", "c_nationkey",
+        F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("state_code"),
+        (F.col("c_custkey") % 7 + 1).alias("district_code"))
+    members = c.select("state_code", "district_code")
+    n = table(spark, sf, "nation")
+    states = n.select(F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("state_code"),
+                      (F.col("n_nationkey") + 1).alias("fips"), (F.col("n_nationkey") % 5 == 0).alias("at_large"))
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.year("l_shipdate").alias("y"))
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
+    j = li.join(o, "l_orderkey").join(c, "c_custkey")
+    dcode = F.when(F.col("c_nationkey") % 5 == 0, F.lit("00")).otherwise(F.lpad(F.col("district_code").cast("string"), 2, "0"))
+    j = j.select(F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0").alias("fips"), dcode.alias("dc"), "y",
+                 F.least(F.col("l_linenumber"), F.lit(7)).alias("m"), "l_quantity")
+    cells = j.groupBy("fips", "dc", "y").pivot("m", list(range(1, 8))).agg(F.sum("l_quantity").cast("long"))
+    row = F.concat(F.lit("<tr><td>"), F.col("y").cast("string"), F.lit(":</td>"),
+                   *[F.concat(F.lit("<td>"), F.coalesce(_votes_text(F.col(str(i))), F.lit("0")), F.lit("</td>"))
+                     for i in range(1, 8)], F.lit("</tr>"))
+    rows = cells.select("fips", "dc", "y", row.alias("tr"))
+    # a page holds one row per year: a bounded collect per district
+    pages = rows.groupBy("fips", "dc").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("y", "tr"))), lambda s: s["tr"]), "").alias("body"))
+    head = "<tr><th>Year</th>" + "<th>m</th>" * 7 + "</tr>"
+    future = "<tr><td>Future:</td>" + "<td>9,999</td>" * 7 + "</tr>"
+    pages = pages.select(F.concat(F.lit(CARMA_PREFIX), "fips", "dc").alias("url"),
+                         F.concat(F.lit("<table><tr><td>menu</td></tr></table><table>" + head), "body",
+                                  F.lit(future + "</table>")).alias("html"))
+    return members, states, pages
+
+
+def q_carma(spark: SparkSession, sf: str) -> DataFrame:
+    from polidata.plans.pipelines.energy import district_emissions, district_list
+    members, states, pages = carma_inputs(spark, sf)
+    return district_emissions(district_list(members, states), pages, CARMA_PREFIX)
+
+
+SQL_CARMA = """
+SELECT CAST(year(l.l_shipdate) AS INTEGER) AS year, lpad(CAST(c.c_nationkey + 1 AS VARCHAR), 2, '0') AS fips,
+       CASE WHEN c.c_nationkey % 5 = 0 THEN '00' ELSE lpad(CAST(c.c_custkey % 7 + 1 AS VARCHAR), 2, '0') END AS district_code,
+       CAST(SUM(l.l_quantity) AS BIGINT) AS value, 'carbon dioxide' AS variable, 'tons' AS units
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+GROUP BY ALL
+"""
+
+QUERIES["q_carma"] = q_carma
+ORACLE["q_carma"] = SQL_CARMA
