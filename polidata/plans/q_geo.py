@@ -30,14 +30,11 @@ MAPS = [
 
 
 def map_edges(spark: SparkSession) -> DataFrame:
-    rows = []
-    for m, p, st, ring, pts in MAPS:
-        n = len(pts)
-        for i, (x1, y1) in enumerate(pts):
-            x2, y2 = pts[(i + 1) % n]
-            rows.append((m, p, st, ring, i, float(x1), float(y1), float(x2), float(y2)))
-    return F.broadcast(spark.createDataFrame(
-        rows, "map_id int, poly_id string, state string, ring int, seq int, x1 double, y1 double, x2 double, y2 double"))
+    """Vertex rows -> closed-ring edge table (the map-load step, D21)."""
+    verts = [(m, p, st, ring, i, float(x), float(y))
+             for m, p, st, ring, pts in MAPS for i, (x, y) in enumerate(pts)]
+    v = spark.createDataFrame(verts, "map_id int, poly_id string, state string, ring int, seq int, x double, y double")
+    return F.broadcast(G.polygon_edges(v, ["map_id", "poly_id", "state"]))
 
 
 def _edges_sql() -> str:
