@@ -667,3 +667,64 @@ GROUP BY ALL
 
 QUERIES["q_carma"] = q_carma
 ORACLE["q_carma"] = SQL_CARMA
+
+
+# -- D18: plants -> districts for every map version -------------------------------
+def q_plant_districts(spark: SparkSession, sf: str) -> DataFrame:
+    """Plant registry rows derived from the embeddings (position = first two
+    components x 10; 'DC' plants, missing longitudes and a 2014-only set
+    included), placed in each map version: containing district, else the
+    nearest district of the plant's own state."""
+    from polidata.plans.pipelines.maps import plant_set, plants_to_districts
+    from polidata.plans.q_geo import CELL, map_edges
+    e = table(spark, sf, "embeddings")
+    k = F.col("vec_id")
+    f860 = e.select(k.alias("plant_code"), F.concat(F.lit("A"), k.cast("string")).alias("street_address"),
+                    F.lit("C").alias("city"), F.lit("Z").alias("zip"),
+                    F.when(F.col("label") == 9, "DC").when(F.col("label") % 2 == 0, "S1").otherwise("S2").alias("state"),
+                    (F.element_at("embedding", 2).cast("double") * 10).alias("latitude"),
+                    F.when(k % 50 == 0, F.lit(None)).otherwise(F.element_at("embedding", 1).cast("double") * 10)
+                    .alias("longitude"), (k % 4 + 2012).cast("int").alias("year"))
+    states = spark.createDataFrame([("S1", "S1", 1), ("S2", "S2", 2), ("DC", "DC", 11)],
+                                   "state_code string, state_name string, fips int")
+    edges = map_edges(spark).select((F.col("map_id") + 102).alias("congress"), F.col("state").alias("state_name"),
+                                    F.col("poly_id").alias("district"), "ring", "seq", "x1", "y1", "x2", "y2")
+    out = plants_to_districts(plant_set(f860), states, edges, CELL)
+    return out.select("plant_code", "congress", "district_code", "match_method")
+
+
+def _sql_plant_districts():
+    from polidata.plans.q_geo import _edges_sql
+    return f"""WITH {_edges_sql()},
+e AS (SELECT map_id + 102 AS congress, state AS state_name, poly_id AS district, x1, y1, x2, y2 FROM edges),
+p AS (SELECT vec_id AS plant_code, CASE WHEN label = 9 THEN 'DC' WHEN label % 2 = 0 THEN 'S1' ELSE 'S2' END AS state,
+             CAST(embedding[2] AS DOUBLE) * 10 AS y,
+             CASE WHEN vec_id % 50 = 0 THEN NULL ELSE CAST(embedding[1] AS DOUBLE) * 10 END AS x,
+             vec_id % 4 + 2012 AS year FROM embeddings),
+plants AS (SELECT * FROM p WHERE state <> 'DC' AND x IS NOT NULL AND year <> 2014),
+sc AS (SELECT congress, state_name,
+              cos(radians((min(least(y1, y2)) + max(greatest(y1, y2))) / 2)) AS k FROM e GROUP BY ALL),
+pm AS (SELECT pl.*, sc.congress, sc.k FROM plants pl JOIN sc ON sc.state_name = pl.state),
+ins AS (SELECT pm.plant_code, pm.congress, e.state_name, e.district FROM pm JOIN e ON e.congress = pm.congress
+        GROUP BY pm.plant_code, pm.congress, e.state_name, e.district
+        HAVING SUM(CASE WHEN ((e.y1 > pm.y) <> (e.y2 > pm.y)) AND pm.x < (e.x2 - e.x1) * (pm.y - e.y1) / (e.y2 - e.y1) + e.x1
+                        THEN 1 ELSE 0 END) % 2 = 1),
+ins1 AS (SELECT plant_code, congress, arg_min(district, (state_name, district)) AS district FROM ins GROUP BY ALL),
+rest AS (SELECT pm.* FROM pm WHERE NOT EXISTS (SELECT 1 FROM ins1 i WHERE i.plant_code = pm.plant_code
+                                                 AND i.congress = pm.congress)),
+d AS (SELECT r.plant_code, r.congress, e.district, r.x * r.k AS px, r.y AS py, e.x1 * r.k AS x1, e.y1,
+             (e.x2 - e.x1) * r.k AS dx, e.y2 - e.y1 AS dy
+      FROM rest r JOIN e ON e.congress = r.congress AND e.state_name = r.state),
+t AS (SELECT *, dx * dx + dy * dy AS len2 FROM d),
+u AS (SELECT *, CASE WHEN len2 = 0 THEN 0.0 ELSE least(1.0, greatest(0.0, ((px - x1) * dx + (py - y1) * dy) / len2)) END AS tt
+      FROM t),
+v AS (SELECT plant_code, congress, district,
+             sqrt((px - (x1 + tt * dx)) * (px - (x1 + tt * dx)) + (py - (y1 + tt * dy)) * (py - (y1 + tt * dy))) AS dist FROM u),
+near AS (SELECT plant_code, congress, district FROM (
+  SELECT *, row_number() OVER (PARTITION BY plant_code, congress ORDER BY dist, district) AS rk FROM v) WHERE rk = 1)
+SELECT plant_code, CAST(congress AS INTEGER) AS congress, district AS district_code, 'inside' AS match_method FROM ins1
+UNION ALL SELECT plant_code, CAST(congress AS INTEGER), district, 'nearest' FROM near"""
+
+
+QUERIES["q_plant_districts"] = q_plant_districts
+ORACLE["q_plant_districts"] = _sql_plant_districts()
