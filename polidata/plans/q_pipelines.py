@@ -728,3 +728,52 @@ UNION ALL SELECT plant_code, CAST(congress AS INTEGER), district, 'nearest' FROM
 
 QUERIES["q_plant_districts"] = q_plant_districts
 ORACLE["q_plant_districts"] = _sql_plant_districts()
+
+
+# -- D13: state disposition sheets (marker rows, blocks of varying size) --------
+# Row labels of the derived sheet, in sheet order (index 4 is not part of any block).
+SHEET_ROWS = ["Net generation", "..Electric utilities", "..Independent producers", "..Combined heat and power",
+              "Unrelated row", "Combined heat and power, commercial", "..Commercial heat",
+              "Total net generation", "Total international imports", "Total international exports",
+              "Net interstate trade"]
+
+
+def disposition_sheet(spark: SparkSession, sf: str) -> DataFrame:
+    """One sheet per supplier nation: row i holds the quantities shipped on
+    line number (i mod 7) + 1, per year, as text; empty cells are NULL."""
+    li = table(spark, sf, "lineitem").select("l_suppkey", "l_linenumber", "l_quantity", F.year("l_shipdate").alias("y"))
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    j = li.join(s, "l_suppkey")
+    sums = j.groupBy("s_nationkey", "l_linenumber").pivot("y", YEARS).agg(F.sum("l_quantity").cast("long"))
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(SHEET_ROWS)], "idx int, category string")
+    rows = rows.withColumn("l_linenumber", F.col("idx") % 7 + 1)
+    sheet = F.broadcast(rows).join(sums, "l_linenumber")
+    return sheet.select(F.concat(F.lit("State "), F.col("s_nationkey").cast("string")).alias("state_name"), "idx",
+                        "category", *[F.col(str(y)).cast("string").alias(f"Year {y}") for y in YEARS])
+
+
+def q_disposition(spark: SparkSession, sf: str) -> DataFrame:
+    from polidata.plans.pipelines.energy import state_disposition
+    return state_disposition(disposition_sheet(spark, sf))
+
+
+def _sql_disposition():
+    labels = ", ".join(f"({i}, '{t}')" for i, t in enumerate(SHEET_ROWS))
+    return f"""
+WITH rows(idx, category) AS (VALUES {labels}),
+keep AS (SELECT * FROM rows WHERE idx IN (1, 2, 3, 5, 6, 7, 8, 9, 10)),
+li AS (SELECT s.s_nationkey, l.l_linenumber, CAST(year(l.l_shipdate) AS INTEGER) AS year, l.l_quantity
+       FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+nat AS (SELECT DISTINCT s_nationkey, l_linenumber FROM li),
+yrs AS (SELECT unnest({YEARS}) AS year),
+sums AS (SELECT s_nationkey, l_linenumber, year, CAST(SUM(l_quantity) AS BIGINT) AS v FROM li GROUP BY ALL)
+SELECT 'State ' || CAST(n.s_nationkey AS VARCHAR) AS state_name,
+       trim(lower(replace(k.category, '..', ''))) AS category, CAST(y.year AS INTEGER) AS year,
+       CAST(COALESCE(s.v, 0) AS DOUBLE) AS value, 'megawatthours' AS units
+FROM keep k JOIN nat n ON n.l_linenumber = k.idx % 7 + 1 CROSS JOIN yrs y
+LEFT JOIN sums s ON s.s_nationkey = n.s_nationkey AND s.l_linenumber = n.l_linenumber AND s.year = y.year
+"""
+
+
+QUERIES["q_disposition"] = q_disposition
+ORACLE["q_disposition"] = _sql_disposition()
