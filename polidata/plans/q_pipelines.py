@@ -777,3 +777,65 @@ LEFT JOIN sums s ON s.s_nationkey = n.s_nationkey AND s.l_linenumber = n.l_linen
 
 QUERIES["q_disposition"] = q_disposition
 ORACLE["q_disposition"] = _sql_disposition()
+
+
+# -- D4: session calendars (fill-down congress, increment session, text dates) --
+def session_tables(spark: SparkSession, sf: str):
+    """House and Senate session tables, one document per customer nation and
+    one row per order year: session start / end are the first / last order
+    date; the congress label appears only on the first session, the House
+    session number only on first sessions; the Senate marks 1998 as special
+    session 'S', has a blank row and footnote digits after the end year."""
+    o = table(spark, sf, "orders").select("o_custkey", F.to_date("o_orderdate").alias("d"))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    per = o.join(c, "o_custkey").groupBy("c_nationkey", F.year("d").alias("y")).agg(
+        F.min("d").alias("d0"), F.max("d").alias("d1"))
+    first = F.col("y") % 2 == 1
+    cong = F.floor((F.col("y") - 1787) / 2).cast("int")
+    idx = (F.col("y") - 1995).cast("int")
+    house = per.select(
+        F.col("c_nationkey").alias("doc"), idx.alias("idx"),
+        F.when(first, F.concat(cong.cast("string"), F.lit("th ("), F.col("y").cast("string"), F.lit("-"),
+                               (F.col("y") + 1).cast("string"), F.lit(")"))).alias("congress"),
+        F.when(first, F.lit("1")).alias("session"),
+        F.when(F.col("c_nationkey") % 2 == 0, F.date_format("d0", "MMMM d, yyyy"))
+         .otherwise(F.date_format("d0", "MMM. d, yyyy")).alias("session_start"),
+        F.date_format("d1", "MMM. d, yyyy").alias("session_end"))
+    senate = per.select(
+        (F.col("c_nationkey") + 100).alias("doc"), (idx * 2).alias("idx"),
+        F.when(first, cong.cast("string")).alias("congress"),
+        F.when(F.col("y") == 1998, F.lit("S")).when(first, F.lit("1")).otherwise(F.lit("2")).alias("session"),
+        F.date_format("d0", "MMM d, yyyy").alias("session_start"),
+        F.concat(F.date_format("d1", "MMM d, yyyy"), F.when(F.col("y") == 1999, F.lit("2")).otherwise(F.lit("")))
+         .alias("session_end"))
+    blank = per.select((F.col("c_nationkey") + 100).alias("doc"), (idx * 2 + 1).alias("idx"),
+                       F.lit(None).cast("string").alias("congress"), F.lit("").alias("session"),
+                       F.lit("").alias("session_start"), F.lit("").alias("session_end"))
+    return house, senate.unionByName(blank)
+
+
+def q_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    from polidata.plans.pipelines.legislature import session_calendar
+    house, senate = session_tables(spark, sf)
+    out = session_calendar(house, senate)
+    return out.select("chamber", "congress", "session", *[F.col(c).cast("string").alias(c) for c in
+                                                         ("session_start", "session_end", "start_date", "end_date")])
+
+
+SQL_SESSIONS = """
+WITH per AS (SELECT c.c_nationkey, CAST(year(o.o_orderdate) AS INTEGER) AS y, MIN(CAST(o.o_orderdate AS DATE)) AS d0,
+                    MAX(CAST(o.o_orderdate AS DATE)) AS d1
+             FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY ALL),
+h AS (SELECT 'House' AS chamber, CAST(floor((y - 1787) / 2) AS INTEGER) AS congress,
+             CASE WHEN y % 2 = 1 THEN 1 ELSE 2 END AS session, d0, d1 FROM per),
+s AS (SELECT 'Senate' AS chamber, CAST(floor((y - 1787) / 2) AS INTEGER) AS congress,
+             CASE WHEN y = 1998 THEN 9 WHEN y % 2 = 1 THEN 1 ELSE 2 END AS session, d0, d1 FROM per),
+a AS (SELECT * FROM h UNION ALL SELECT * FROM s)
+SELECT chamber, congress, session, CAST(d0 AS VARCHAR) AS session_start, CAST(d1 AS VARCHAR) AS session_end,
+       CAST(MIN(d0) OVER (PARTITION BY chamber, congress) AS VARCHAR) AS start_date,
+       CAST(MAX(d1) OVER (PARTITION BY chamber, congress) AS VARCHAR) AS end_date
+FROM a
+"""
+
+QUERIES["q_sessions"] = q_sessions
+ORACLE["q_sessions"] = SQL_SESSIONS
