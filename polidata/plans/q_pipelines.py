@@ -839,3 +839,56 @@ FROM a
 
 QUERIES["q_sessions"] = q_sessions
 ORACLE["q_sessions"] = SQL_SESSIONS
+
+
+# -- D6: departure lists (reason headers with counts + list items) -------------
+# Departure reason used for each market segment in the derived pages.
+SEGMENT_REASONS = [("AUTOMOBILE", "Retired"), ("BUILDING", "Resigned"), ("FURNITURE", "Defeated in primary"),
+                   ("HOUSEHOLD", "Running for Senate"), ("MACHINERY", "Died")]
+PAGE_SIZE = 50
+
+
+def departure_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of at most 50 customers of one nation: per reason (segment) an
+    h3 header 'Reason (n House; m Senate)' and, in the same order, list items
+    'First Last (P-Nation k), age, n terms' - House members first."""
+    from polidata.plans.q_match import people
+    p = people(spark, sf)
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    lk = spark.createDataFrame(SEGMENT_REASONS, "c_mktsegment string, reason string")
+    d = p.join(c, "c_custkey").join(F.broadcast(lk), "c_mktsegment")
+    d = d.withColumns({"page": F.col("c_nationkey") * 1000 + F.floor(F.col("c_custkey") / PAGE_SIZE),
+                       "senate": (F.col("c_custkey") % 3 == 0).cast("int")})
+    item = F.concat(F.lit("<li>"), F.col("first"), F.lit(" "), F.col("last"), F.lit(" ("),
+                    F.substring("c_mktsegment", 1, 1), F.lit("-Nation "), F.col("c_nationkey").cast("string"),
+                    F.lit("), 50, 3 terms</li>"))
+    items = d.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
+        F.struct("reason", "senate", "c_custkey", item.alias("li")))), lambda s: s["li"]), "").alias("lis"))
+    counts = d.groupBy("page", "reason").agg(F.sum(1 - F.col("senate")).alias("h"), F.sum("senate").alias("s"))
+    hdr = F.concat(F.lit("<h3>"), F.col("reason"), F.lit(" ("), F.col("h").cast("string"), F.lit(" House; "),
+                   F.col("s").cast("string"), F.lit(" Senate)</h3>"))
+    heads = counts.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
+        F.struct("reason", hdr.alias("x")))), lambda s: s["x"]), "").alias("hs"))
+    return heads.join(items, "page").select(F.col("page").alias("congress"),
+                                            F.concat("hs", F.lit("<ul><li>n/a</li>"), "lis", F.lit("</ul>")).alias("html"))
+
+
+def q_departures(spark: SparkSession, sf: str) -> DataFrame:
+    from polidata.plans.pipelines.legislature import departures_from_lists
+    return departures_from_lists(departure_pages(spark, sf))
+
+
+def _sql_departures():
+    from polidata.plans.q_match import _names_sql
+    head = _names_sql().split(",\ncands AS")[0]
+    reasons = ", ".join(f"('{a}', '{b}')" for a, b in SEGMENT_REASONS)
+    return f"""WITH {head},
+lk(c_mktsegment, reason) AS (VALUES {reasons})
+SELECT p.c_nationkey * 1000 + p.c_custkey // {PAGE_SIZE} AS congress, p.first || ' ' || p.last AS name,
+       substr(c.c_mktsegment, 1, 1) AS party, 'Nation ' || CAST(p.c_nationkey AS VARCHAR) AS state,
+       lk.reason, CASE WHEN p.c_custkey % 3 = 0 THEN 'Senate' ELSE 'House' END AS chamber
+FROM people p JOIN customer c ON c.c_custkey = p.c_custkey JOIN lk ON lk.c_mktsegment = c.c_mktsegment"""
+
+
+QUERIES["q_departures"] = q_departures
+ORACLE["q_departures"] = _sql_departures()
