@@ -892,3 +892,30 @@ FROM people p JOIN customer c ON c.c_custkey = p.c_custkey JOIN lk ON lk.c_mktse
 
 QUERIES["q_departures"] = q_departures
 ORACLE["q_departures"] = _sql_departures()
+
+
+# -- D3: member table of the roll-call family (duplicates, 'USA' codes) --------
+def q_voteview_members(spark: SparkSession, sf: str) -> DataFrame:
+    from polidata.plans.pipelines.legislature import voteview
+    c = table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    m = c.select((F.col("c_nationkey") % 12 + 103).alias("congress"),
+                 F.when(k % 2 == 0, "House").otherwise("Senate").alias("chamber"), k.alias("icpsr"),
+                 F.col("c_nationkey").alias("state_icpsr"),
+                 F.when(k % 17 == 0, F.lit("USA")).otherwise(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")))
+                 .alias("state_abbrev"), (k % 9).alias("district_code"))
+    # the yearly files repeat members: every 5th member appears twice
+    m = m.unionByName(m.filter(k % 5 == 0))
+    return voteview(m, m, m)["voteview_memb"]
+
+
+SQL_VOTEVIEW_MEMBERS = """
+SELECT DISTINCT c_nationkey % 12 + 103 AS congress, CASE WHEN c_custkey % 2 = 0 THEN 'House' ELSE 'Senate' END AS chamber,
+       c_custkey AS icpsr, c_nationkey AS icpsr_code,
+       CASE WHEN c_custkey % 17 = 0 THEN 'US' ELSE 'N' || CAST(c_nationkey AS VARCHAR) END AS state_code,
+       c_custkey % 9 AS district_code
+FROM customer
+"""
+
+QUERIES["q_voteview_members"] = q_voteview_members
+ORACLE["q_voteview_members"] = SQL_VOTEVIEW_MEMBERS
