@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polidata.functions.civics import parse_votes
 from polidata.operators import quality as Q
 from polidata.plans.q_match import people
 from polidata.plans.tables import table

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from polidata.plans.pipelines import economy as EC
 from polidata.plans.pipelines import legislature as LG
 

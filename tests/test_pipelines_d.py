@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from polidata.plans.pipelines import maps as MP
 from polidata.plans.pipelines import spending as SP
 from polidata.plans.pipelines import weather as WE
