@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import polidata
-from polidata.llm import bpe, jaccard, lm, quality, rules, secrets, toxicity, warc
+from polidata.llm import bpe, decontam, html_text, jaccard, lm, quality, rules, secrets, toxicity, warc
 from polidata.plans.tables import table
 
 #: The public vocabulary file that op5 encodes with.
@@ -43,6 +43,14 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(table(spark, sf_dir, "pages"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -81,4 +89,5 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
     return run
 
 
-QUERIES = {q.__name__: shipped(q) for q in (op1_warc, op4_secrets, op5_bpe, op6_jaccard, op7_quality, op8_toxicity, op9_lm, op10_rules)}
+QUERIES = {q.__name__: shipped(q) for q in (op1_warc, op2_decontamination, op3_html, op4_secrets, op5_bpe,
+                                           op6_jaccard, op7_quality, op8_toxicity, op9_lm, op10_rules)}
