@@ -7,8 +7,9 @@ signatures are its contents of every two parts of every partition, so similar se
 
 Signatures propose candidates, the texts decide.  Exact copies are one node.  Inside a bucket of equal
 signatures, members are first compared with its best connected member only, and buckets whose members
-are in one class by then are done; the others go on with more hubs each round until none is left.  So no
-link between different classes is lost, and no bucket is expanded into all its pairs.
+are in one class by then are done; the others go on with more hubs each round until none is left.  A sketch of each set bounds the
+difference of two from below, so that further hubs are only paired with members they may be linked to.
+So no link between different classes is lost, and no bucket is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from polidata.llm.common import WordHashes, lower_words, written
@@ -34,6 +35,9 @@ FIRST_HUBS, MORE_HUBS = 1, 8
 #: Up to so many rows (two longs each) a table of keys is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 1_000_000
 
+#: Numbers of 64 bits in the sketch that bounds the difference of two sets from below.
+SKETCH = 16
+
 U = np.uint64
 
 
@@ -121,6 +125,18 @@ def cell_sums(values: np.ndarray, cell: np.ndarray, cells: int) -> np.ndarray:
     return low + (high << U(32))
 
 
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """One bit per cell: whether an odd number of the elements fall there.  A differing bit shows a differing element."""
+    cells = SKETCH * 64
+    cell = (mix(elements + U(0xD1B54A32D192ED03)) % U(cells)).astype(np.int64)
+    return np.packbits((np.bincount(cell, minlength=cells) & 1).astype(np.uint8)).view(np.int64)
+
+
+def differing_bits(a: str, b: str) -> Column:
+    """How many bits of two sketch columns differ: no more than the sets' differing elements."""
+    return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH)), F.lit(0))
+
+
 # ---- Spark jobs -------------------------------------------------------------------------------------------------
 
 def signed_sets(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
@@ -131,22 +147,26 @@ def signed_sets(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
         for batch in batches:
-            nodes, sizes, signed = [], [], []
+            nodes, sizes, signed, sketches = [], [], [], []
             for text in batch.column("text"):
                 elements = shingle_hashes(text.as_py(), width, hashes)
                 node = set_key(elements) if len(elements) else None
                 signed.append(signatures(elements, bands) if node not in seen else np.empty(0, np.int64))
+                sketches.append(sketch(elements) if len(signed[-1]) else np.empty(0, np.int64))
                 seen.add(node)
                 nodes.append(node)
                 sizes.append(len(elements))
-            offsets = pa.array(np.cumsum([0] + [len(s) for s in signed]), pa.int32())
-            values = pa.array(np.concatenate(signed) if signed else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                                              pa.ListArray.from_arrays(offsets, values)], ["doc_id", "row_key", "node", "n_shingles", "signatures"])
+                                              lists(signed), lists(sketches)], ["doc_id", "row_key", "node", "n_shingles", "signatures", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
-    return rows.mapInArrow(run, f"doc_id {kind}, row_key long, node long, n_shingles long, signatures array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, row_key long, node long, n_shingles long, signatures array<long>, sketch array<long>")
+
+
+def lists(rows: list[np.ndarray]) -> pa.ListArray:
+    offsets = pa.array(np.cumsum([0] + [len(r) for r in rows]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64)))
 
 
 def bucket_members(sets: DataFrame) -> DataFrame:
@@ -214,13 +234,20 @@ def node_classes(docs: DataFrame, sets: DataFrame, width: int, num: int, den: in
     """(node, label) for the nodes that share a signature with another; label is the class."""
     left = written(bucket_members(sets), "members")
     classes = written(left.select("node").distinct().withColumn("label", F.col("node")), "classes")
+    sketches = sets.where(F.size("sketch") > 0).groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     hubs_each = FIRST_HUBS
     while not left.isEmpty():
-        labelled = written(left.join(classes, "node"), "labelled")
+        labelled = left.join(classes, "node")
+        may_link = F.lit(True)
+        if hubs_each > FIRST_HUBS:  # what the first hubs left may have many near misses
+            labelled = labelled.join(sketches, "node")
+            most = (den - num) * (F.col("n") + F.col("hub_n"))
+            may_link = (den + num) * differing_bits("sketch", "hub_sketch") <= most
+        labelled = written(labelled, "labelled")
         best = Window.partitionBy("signature").orderBy(F.desc("weight"), "node")
         hubs = labelled.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= hubs_each)
-        hub = hubs.select("signature", F.col("node").alias("hub"), F.col("label").alias("hub_label"))
-        pairs = (labelled.join(hub, "signature").where("label <> hub_label")
+        hub = hubs.drop("rank", "weight").withColumnsRenamed({"node": "hub", "label": "hub_label", "n": "hub_n", "sketch": "hub_sketch"})
+        pairs = (labelled.join(hub, "signature").where((F.col("label") != F.col("hub_label")) & may_link)
                  .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
         pairs = written(pairs, "pairs")
         classes = merge_classes(classes, written(linked_pairs(docs, sets, pairs, width, num, den), "links"))
