@@ -40,9 +40,9 @@ def sufficient_lookahead(merges: list[tuple[str, str]], length=len) -> int:
     """Symbols past a token's end that decide whether the merge list leaves the token as it is.
 
     A token can only be taken from the right by a merge (x, y) whose x ends where the token ends, i.e. x
-    is on the token's right spine, and only if y stands there by then.  Whether y stands is in turn
-    known some symbols past y's end, by merges earlier in the list.  reach[x] is the largest length of
-    y plus its own need over the merges (x, y) so far; going through the list in order settles it.
+    is on the token's right spine, and only if y stands there by then: it was formed, and nothing took it
+    from the right, by merges earlier in the list.  Both are known some symbols past y's end.  reach[x]
+    is the largest length of y plus that over the merges (x, y) so far; one pass in order settles it.
     """
     spine: dict[str, tuple[str, ...]] = {}
     need: dict[str, int] = {}
@@ -52,7 +52,7 @@ def sufficient_lookahead(merges: list[tuple[str, str]], length=len) -> int:
         known = max([need.get(y, 0), *(reach.get(t, 0) for t in right)])
         need[token] = max(need.get(token, 0), known)
         spine.setdefault(token, (token, *right))
-        reach[x] = max(reach.get(x, 0), length(y) + need.get(y, 0))
+        reach[x] = max(reach.get(x, 0), length(y) + known)
     return max(reach.values(), default=0)
 
 

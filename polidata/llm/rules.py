@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from polidata.llm.common import BLANKS, written
 
 SYMBOLS = "#*$%&|<>"
-ALPHA = 0.01
+ALPHA = 0.02
 DELTA = 0.05
 #: Lower ends of the strata, in words.
 BANDS = (0, 100, 300, 1000)
