@@ -9,7 +9,7 @@ and stays lazy: nothing is collected to the driver.  Sub-packages:
 * ``sources``    - readers and writers (CSV families, fixed width, JSON, HTML
                    pages, header detection) with explicit schemas
 * ``plans``      - the query catalogue and the composed pipelines
-* ``streaming``  - intentionally empty: the reference has no streaming work
+
 """
 
 from polidata.session import get_spark, checkpoint_dir  # noqa: F401

@@ -1,4 +1,4 @@
-"""Domain arithmetic: congress numbers, election cycles, vote text, degree days."""
+"""Domain arithmetic: assembly numbers, election cycles, vote text, degree days."""
 
 from __future__ import annotations
 
@@ -7,25 +7,25 @@ from pyspark.sql import functions as F
 
 from polidata.functions.nullsafe import _c
 
-# The 1st congress convened in 1789; each congress lasts two years.
-FIRST_CONGRESS_YEAR = 1789
+# The 1st assembly convened in 1789; each assembly lasts two years.
+FIRST_ASSEMBLY_YEAR = 1789
 
 
-def congress_of_year(year) -> Column:
-    """Congress in session during ``year`` (1970 -> 91, 1971 -> 92, 2016 -> 114).
+def assembly_of_year(year) -> Column:
+    """Assembly in session during ``year`` (1970 -> 91, 1971 -> 92, 2016 -> 114).
 
-    Closed form of the year/congress tables: a congress starts in each odd year.
+    Closed form of the year/assembly tables: a assembly starts in each odd year.
     """
-    return F.floor((_c(year) - F.lit(FIRST_CONGRESS_YEAR - 2)) / 2).cast("int")
+    return F.floor((_c(year) - F.lit(FIRST_ASSEMBLY_YEAR - 2)) / 2).cast("int")
 
 
-def cycle_of_congress(congress, convention: str = "closing") -> Column:
-    """Election cycle for a congress.
+def cycle_of_assembly(assembly, convention: str = "closing") -> Column:
+    """Election cycle for a assembly.
 
-    ``closing``: the election held at the end of the congress (101 -> 1990).
-    ``electing``: the election that chose the congress (103 -> 1992).
+    ``closing``: the election held at the end of the assembly (101 -> 1990).
+    ``electing``: the election that chose the assembly (103 -> 1992).
     """
-    c = _c(congress)
+    c = _c(assembly)
     if convention == "closing":
         return (c * 2 + 1788).cast("int")
     if convention == "electing":
@@ -33,7 +33,7 @@ def cycle_of_congress(congress, convention: str = "closing") -> Column:
     raise ValueError(f"unknown convention {convention!r}")
 
 
-def congress_of_cycle(cycle, convention: str = "closing") -> Column:
+def assembly_of_cycle(cycle, convention: str = "closing") -> Column:
     c = _c(cycle)
     off = 1788 if convention == "closing" else 1786
     if convention not in ("closing", "electing"):

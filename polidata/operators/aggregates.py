@@ -58,10 +58,12 @@ def top2(df: DataFrame, keys: list[str], value: str, tiebreak: str, fields: list
     rec = F.struct(F.col(value).alias("_v"), (-F.col(tiebreak)).alias("_t"),
                    *[F.col(f).alias(f) for f in fields])
     first = df.groupBy(*keys).agg(F.max(rec).alias("_r1"))
-    rest = df.join(first, keys).filter(
-        (F.col(tiebreak) != F.col("_r1._t") * -1) | F.col(tiebreak).isNull())
-    second = rest.groupBy(*keys).agg(F.max(rec).alias("_r2"))
-    out = first.join(second, keys, "left")
+    ranked = df.select(*keys, rec.alias("_r")).join(first, keys)
+    is_first = F.col("_r").eqNullSafe(F.col("_r1"))
+    out = ranked.groupBy(*keys).agg(F.first("_r1").alias("_r1"), F.count_if(is_first).alias("_n"),
+                                    F.max(F.when(~is_first, F.col("_r"))).alias("_r2"))
+    # a winner that occurs twice is its own runner-up
+    out = out.withColumn("_r2", F.when(F.col("_n") > 1, F.col("_r1")).otherwise(F.col("_r2")))
     return out.select(*keys, *[F.col(f"_r1.{f}").alias(f"{f}_1") for f in fields],
                       *[F.col(f"_r2.{f}").alias(f"{f}_2") for f in fields])
 

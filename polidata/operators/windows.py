@@ -79,7 +79,7 @@ def fill_down(df: DataFrame, col: str, partition: list, order: list,
 
 def fill_increment(df: DataFrame, col: str, partition: list, order: list,
                    chunk: Column | None = None, out: str | None = None) -> DataFrame:
-    """NULL -> previous value + 1, chaining (session numbers within a congress)."""
+    """NULL -> previous value + 1, chaining (session numbers within a assembly)."""
     out = out or col
     d = _scan_last(df, F.col(col), partition, order, chunk)
     return d.withColumn(out, F.col("_lv") + (F.col("_gidx") - F.col("_li"))).drop("_gidx", "_lv", "_li")

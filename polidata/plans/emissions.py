@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polidata.functions.civics import congress_of_year
+from polidata.functions.civics import assembly_of_year
 from polidata.operators.joins import inline_table
 from polidata.plans.tables import table
 
@@ -75,7 +75,7 @@ def q_state_emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
            .groupBy(F.year("o_orderdate").alias("year"), "region")
            .agg((F.sum("o_totalprice") / 1e6).alias("value")))
     z = x1.join(y1, ["year", "region"], "left")
-    return (z.select("year", "region", congress_of_year(F.col("year")).alias("congress"),
+    return (z.select("year", "region", assembly_of_year(F.col("year")).alias("assembly"),
                      F.round("co2", 9).alias("co2"), F.round("value", 9).alias("value"),
                      F.round(F.try_divide(F.col("co2"), F.col("value")), 9).alias("r"))
              .orderBy(F.desc_nulls_last("r"), "year"))
@@ -102,7 +102,7 @@ y1 AS (
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
   GROUP BY ALL)
-SELECT x1.year, x1.region, CAST(floor((x1.year - 1787) / 2) AS INTEGER) AS congress,
+SELECT x1.year, x1.region, CAST(floor((x1.year - 1787) / 2) AS INTEGER) AS assembly,
        round(x1.co2, 9) AS co2, round(y1.value, 9) AS value,
        round(x1.co2 / NULLIF(y1.value, 0), 9) AS r
 FROM x1 LEFT JOIN y1 USING (year, region)

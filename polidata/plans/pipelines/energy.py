@@ -8,11 +8,10 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polidata.functions.civics import congress_of_year, generation_mwh, repair_year
+from polidata.functions.civics import assembly_of_year, generation_mwh, repair_year
 from polidata.functions.columns import columns_matching, normalise_names, schema_drift
 from polidata.functions.nullsafe import row_sum
 from polidata.operators.aggregates import box_stats
-from polidata.operators.joins import bounded_broadcast
 from polidata.operators.quality import attribute_drift
 from polidata.operators.shape import union_by_position, union_fill, unpivot
 from polidata.operators.windows import block_label
@@ -64,8 +63,8 @@ def sheet_from_cells(cells: DataFrame, label: str = "plant id", within: int = 10
     body = R.detect_header(cells, ["doc"], "idx", "cells", label, within)
     hdr = cells.join(body.select("doc", "hdr_idx", "hdr_col").distinct(), "doc") \
         .filter(F.col("idx") == F.col("hdr_idx")) \
-        .select("doc", F.transform(F.slice("cells", F.col("hdr_col"), 10_000), lambda c: F.lower(F.trim(c))).alias("names"))
-    b = body.join(hdr, "doc").withColumn("vals", F.slice("cells", F.col("hdr_col"), 10_000))
+        .select("doc", F.transform(F.slice("cells", F.col("hdr_col"), F.size("cells")), lambda c: F.lower(F.trim(c))).alias("names"))
+    b = body.join(hdr, "doc").withColumn("vals", F.slice("cells", F.col("hdr_col"), F.size("cells")))
     z = b.select("doc", "idx", F.explode(F.arrays_zip(F.col("names").alias("column"), F.col("vals").alias("value"))).alias("z"))
     return z.select("doc", "idx", F.regexp_replace("z.column", r"\s+", "_").alias("column"), "z.value")
 
@@ -101,8 +100,8 @@ def plant_registry(vintages: dict[int, DataFrame], base_year: int = 2012) -> dic
 DISPOSITION_BLOCKS = [("Electric utilities", 3), ("Combined heat and power, commercial", 2),
                       ("Total net generation", 1), ("Total international imports", 1),
                       ("Total international exports", 1), ("Net interstate trade", 1)]
-# Sector order of the 4-row blocks (spelling as published by the source).
-SECTORS = ["residential", "commericial", "industrial", "transportation", "electric power"]
+# Sector order of the 4-row blocks (lower case).
+SECTORS = ["residential", "commercial", "industrial", "transportation", "electric power"]
 
 
 def _year_value(df: DataFrame, ids: list[str]) -> DataFrame:
@@ -153,7 +152,7 @@ def state_emissions(sheet: DataFrame, n_ids: int = 4) -> DataFrame:
 # -- D14 --------------------------------------------------------------------
 def district_list(members: DataFrame, states: DataFrame) -> DataFrame:
     """(fips, district_code) with at-large districts coded '00'."""
-    s = bounded_broadcast(states.select("state_code", "fips", "at_large"))
+    s = states.select("state_code", "fips", "at_large")
     d = members.select("state_code", "district_code").distinct().join(s, "state_code")
     code = F.when(F.col("at_large").isNull(), F.lit(None)).when(
         F.col("at_large"), F.lit("00")).otherwise(F.lpad(F.col("district_code").cast("string"), 2, "0"))
@@ -189,7 +188,7 @@ def co2_state_year(fuel: dict[int, DataFrame], factors: DataFrame, locations: Da
 
     ``fuel``: source number -> (year, plant_id, esource, con); sources 1 keeps
     a NULL fuel code (it then finds no factor), the others drop it.
-    ``locations``: (plant_id, congress, fips); ``states``: (fips, state_code,
+    ``locations``: (plant_id, assembly, fips); ``states``: (fips, state_code,
     state_name); ``sectors``: eia_sect (state_name, sector, variable, year, value).
     """
     tagged = []
@@ -199,16 +198,16 @@ def co2_state_year(fuel: dict[int, DataFrame], factors: DataFrame, locations: Da
             d = d.filter(F.col("esource").isNotNull())
         tagged.append(d.withColumn("src", F.lit(src)))
     con = union_fill(tagged).groupBy("src", "year", "plant_id", "esource").agg(F.sum("con").alias("con"))
-    fac = bounded_broadcast(factors.select(F.col("esource").alias("_fe"), "kg_co2_per_mmbtu", "kg_co2_per_unit"))
+    fac = factors.select(F.col("esource").alias("_fe"), "kg_co2_per_mmbtu", "kg_co2_per_unit")
     e = con.join(fac, con.esource.eqNullSafe(fac._fe), "left").drop("_fe")
     factor = F.when(F.col("src").isin(*PER_UNIT_SOURCES), F.col("kg_co2_per_unit")).otherwise(F.col("kg_co2_per_mmbtu"))
     e = e.withColumn("co2", F.coalesce(F.col("con") * factor, F.lit(0.0)))
     plants = e.groupBy("year", "plant_id").agg(F.sum("co2").alias("co2")) \
-        .withColumn("congress", congress_of_year(F.col("year")))
-    loc = locations.select("plant_id", "congress", "fips")
-    x1 = plants.join(loc, ["plant_id", "congress"], "left").filter(F.col("fips").isNotNull()) \
+        .withColumn("assembly", assembly_of_year(F.col("year")))
+    loc = locations.select("plant_id", "assembly", "fips")
+    x1 = plants.join(loc, ["plant_id", "assembly"], "left").filter(F.col("fips").isNotNull()) \
         .groupBy("year", "fips").agg((F.sum("co2") / 1e9).alias("co2"))
-    x1 = x1.join(bounded_broadcast(states.select("fips", "state_code", "state_name")), "fips", "left")
+    x1 = x1.join(states.select("fips", "state_code", "state_name"), "fips", "left")
     y1 = sectors.filter((F.col("variable") == "Total") & (F.col("sector") == "electric power")) \
         .select("year", "state_name", "value")
     z = x1.join(y1, ["year", "state_name"], "left").select(

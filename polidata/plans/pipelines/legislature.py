@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from polidata.functions import dates as D
-from polidata.functions.civics import congress_of_year, cycle_of_congress
+from polidata.functions.civics import assembly_of_year, cycle_of_assembly
 from polidata.functions.nullsafe import if_else, split_part
 from polidata.functions.text import drop_last_char, fold_accents, paren_text, remove_paren, strip_controls
 from polidata.operators import windows as W
 from polidata.operators.aggregates import collapse_repeated
-from polidata.operators.joins import apply_corrections, bounded_broadcast
+from polidata.operators.joins import apply_corrections
 from polidata.operators.match import band_last_name_match
 from polidata.operators.quality import key_violations
 from polidata.operators.shape import union_fill
@@ -19,16 +19,16 @@ from polidata.sources import readers as R
 
 
 # -- D3 ---------------------------------------------------------------------
-def voteview_paths(base: str, congresses, kind: str) -> list[str]:
-    """File family: {base}/{kind}/{H|S}{congress}_{kind}.csv."""
+def voteview_paths(base: str, assemblies, kind: str) -> list[str]:
+    """File family: {base}/{kind}/{H|S}{assembly}_{kind}.csv."""
     if kind not in ("rollcalls", "votes", "members"):
         raise ValueError(kind)
-    return [f"{base}/{kind}/{ch}{c}_{kind}.csv" for c in congresses for ch in ("H", "S")]
+    return [f"{base}/{kind}/{ch}{c}_{kind}.csv" for c in assemblies for ch in ("H", "S")]
 
 
-def read_voteview(spark: SparkSession, base: str, congresses, kind: str, schema) -> DataFrame:
+def read_voteview(spark: SparkSession, base: str, assemblies, kind: str, schema) -> DataFrame:
     """One multi-path read of the whole family (no per-file loop)."""
-    return spark.read.schema(schema).option("header", True).csv(voteview_paths(base, congresses, kind))
+    return spark.read.schema(schema).option("header", True).csv(voteview_paths(base, assemblies, kind))
 
 
 def voteview(rollcalls: DataFrame, votes: DataFrame, members: DataFrame) -> dict[str, DataFrame]:
@@ -40,28 +40,28 @@ def voteview(rollcalls: DataFrame, votes: DataFrame, members: DataFrame) -> dict
 # -- D4 ---------------------------------------------------------------------
 def session_calendar(house: DataFrame, senate: DataFrame) -> DataFrame:
     """House and Senate session tables (rows with ``doc``/``idx`` page order)
-    -> congress, session, chamber, session_start/end, start/end of congress."""
-    h = house.withColumn("congress", F.regexp_substr(F.regexp_replace("congress", r"\([^()]+\)", ""), F.lit(r"\d+")))
-    h = h.withColumns({"congress": F.col("congress").cast("int"), "session": F.col("session").try_cast("int")})
-    h = W.fill_down(h, "congress", ["doc"], ["idx"])
+    -> assembly, session, chamber, session_start/end, start/end of assembly."""
+    h = house.withColumn("assembly", F.regexp_substr(F.regexp_replace("assembly", r"\([^()]+\)", ""), F.lit(r"\d+")))
+    h = h.withColumns({"assembly": F.col("assembly").cast("int"), "session": F.col("session").try_cast("int")})
+    h = W.fill_down(h, "assembly", ["doc"], ["idx"])
     h = W.fill_increment(h, "session", ["doc"], ["idx"])
     h = h.withColumns({"chamber": F.lit("House"), "session_start": D.month_day_year("session_start"),
                        "session_end": D.month_day_year("session_end")})
     s = senate.filter(F.trim("session") != "")
-    s = s.withColumn("congress", F.col("congress").try_cast("int"))
-    s = W.fill_down(s, "congress", ["doc"], ["idx"])
+    s = s.withColumn("assembly", F.col("assembly").try_cast("int"))
+    s = W.fill_down(s, "assembly", ["doc"], ["idx"])
     s = s.withColumns({
         "session": if_else(F.col("session") == "S", F.lit("9"), F.col("session")).try_cast("int"),
         "chamber": F.lit("Senate"), "session_start": D.month_day_year("session_start"),
         "session_end": D.month_day_year(D.cut_year_footnote(F.col("session_end")))})
     both = union_fill([h.drop("doc", "idx"), s.drop("doc", "idx")])
-    ext = both.groupBy("chamber", "congress").agg(F.min("session_start").alias("start_date"),
+    ext = both.groupBy("chamber", "assembly").agg(F.min("session_start").alias("start_date"),
                                                   F.max("session_end").alias("end_date"))
-    out = both.join(ext, ["chamber", "congress"])
+    out = both.join(ext, ["chamber", "assembly"])
     for c in ("calendar_days", "legislative_days"):
         if c in out.columns:
             out = out.withColumn(c, F.col(c).try_cast("double"))
-    return out.orderBy(F.asc_nulls_last("chamber"), F.asc_nulls_last("congress"), F.asc_nulls_last("session"))
+    return out.orderBy(F.asc_nulls_last("chamber"), F.asc_nulls_last("assembly"), F.asc_nulls_last("session"))
 
 
 # -- D5 ---------------------------------------------------------------------
@@ -99,68 +99,68 @@ REASON_PATTERN = "Appointed|Elected|Defeated|Expel|Vacat|Running|Retir|Resign|Di
 
 
 def departures_from_lists(pages: DataFrame) -> DataFrame:
-    """Casualty-list pages (congress, html) -> name, party, state, congress,
+    """Casualty-list pages (assembly, html) -> name, party, state, assembly,
     chamber, reason.  Each h3 header 'Reason (n House; m Senate)' claims the
     next n + m list items: House rows first, then Senate."""
-    items = pages.select("congress", F.filter(F.transform(R.html_elements(F.col("html"), "li"), R.strip_tags),
+    items = pages.select("assembly", F.filter(F.transform(R.html_elements(F.col("html"), "li"), R.strip_tags),
                                               lambda x: x.contains("term") & (x != "n/a")).alias("li"))
-    items = items.select("congress", F.posexplode("li").alias("pos", "txt"))
+    items = items.select("assembly", F.posexplode("li").alias("pos", "txt"))
     first = F.trim(F.get(F.split("txt", ","), 0))
-    items = items.select("congress", "pos", F.trim(remove_paren(first)).alias("name"),
+    items = items.select("assembly", "pos", F.trim(remove_paren(first)).alias("name"),
                          F.trim(split_part(paren_text(first), "-", 1)).alias("party"),
                          F.trim(split_part(paren_text(first), "-", 2)).alias("state"))
-    hdr = pages.select("congress", F.filter(F.transform(R.html_elements(F.col("html"), "h3"), R.strip_tags),
+    hdr = pages.select("assembly", F.filter(F.transform(R.html_elements(F.col("html"), "h3"), R.strip_tags),
                                             lambda x: x.rlike(REASON_PATTERN)).alias("h"))
-    hdr = hdr.select("congress", F.posexplode("h").alias("hpos", "h"))
+    hdr = hdr.select("assembly", F.posexplode("h").alias("hpos", "h"))
     counts = F.split(F.coalesce(paren_text("h"), F.lit("")), ";")
 
     def n_at(i):
         return F.coalesce(F.regexp_substr(F.trim(F.get(counts, i)), F.lit(r"^\d+")).try_cast("int"), F.lit(0))
 
-    hdr = hdr.select("congress", "hpos",
+    hdr = hdr.select("assembly", "hpos",
                      F.trim(F.regexp_replace(remove_paren("h"), "[-—\u0097]", "")).alias("reason"),
                      n_at(0).alias("n_house"), n_at(1).alias("n_senate"))
-    w = Window.partitionBy("congress").orderBy("hpos")     # bounded: headers of one page
+    w = Window.partitionBy("assembly").orderBy("hpos")     # bounded: headers of one page
     hdr = hdr.withColumn("offset", F.coalesce(F.sum(F.col("n_house") + F.col("n_senate")).over(
         w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    slots = hdr.select("congress", "reason", "offset", "n_house",
+    slots = hdr.select("assembly", "reason", "offset", "n_house",
                        F.explode(F.sequence(F.lit(0), F.col("n_house") + F.col("n_senate") - 1)).alias("k")) \
         .filter(F.col("k") >= 0)
-    slots = slots.select("congress", "reason", (F.col("offset") + F.col("k")).alias("pos"),
+    slots = slots.select("assembly", "reason", (F.col("offset") + F.col("k")).alias("pos"),
                          F.when(F.col("k") < F.col("n_house"), "House").otherwise("Senate").alias("chamber"))
-    return items.join(slots, ["congress", "pos"], "left").drop("pos")
+    return items.join(slots, ["assembly", "pos"], "left").drop("pos")
 
 
 def tidy_departures(dat: DataFrame, state_lookup: DataFrame, corrections: DataFrame | None = None,
                     cands: DataFrame | None = None) -> dict[str, DataFrame]:
     """Clean names, apply corrections, code states by exact lookup, and fill
-    missing ids (congress >= 101) with the band last-name match."""
+    missing ids (assembly >= 101) with the band last-name match."""
     d = dat.withColumn("name", fold_accents(F.regexp_replace("name", r"[.*]", "")))
     if corrections is not None:
         for col in ("name", "party", "state"):
-            r = corrections.filter(F.col("column") == col).select("name_key", "congress", "new_value")
+            r = corrections.filter(F.col("column") == col).select("name_key", "assembly", "new_value")
             d = d.withColumn("name_key", F.col("name"))
-            d = apply_corrections(d, r, ["name_key", "congress"], col).drop("name_key")
-    lk = bounded_broadcast(state_lookup.select(F.col("spelling").alias("state"), "state_code"))
+            d = apply_corrections(d, r, ["name_key", "assembly"], col).drop("name_key")
+    lk = state_lookup.select(F.col("spelling").alias("state"), "state_code")
     d = d.join(lk, "state", "left")
     unmatched = d.filter(F.col("state_code").isNull()).select("state").distinct()
     if "osid" not in d.columns:
         d = d.withColumn("osid", F.lit(None).cast("string"))
     # deterministic row key (stable under recomputation after executor loss)
-    d = d.withColumn("rid", F.concat_ws("|", "name", F.col("congress").cast("string"), "chamber", "reason"))
+    d = d.withColumn("rid", F.concat_ws("|", "name", F.col("assembly").cast("string"), "chamber", "reason"))
     if cands is not None:
         c = cands.select(F.col("cycle").cast("int").alias("cycle"), "osid",
                          F.trim(F.regexp_replace(F.trim("firstlast"), r"\([^()]*\)$", "")).alias("cname"),
                          F.substring("distid_run", 1, 2).alias("state_code")).distinct()
-        need = d.filter(F.col("osid").isNull() & (F.col("congress") >= 101)).select(
-            "rid", "name", "state_code", cycle_of_congress(F.col("congress"), "closing").alias("cycle"))
+        need = d.filter(F.col("osid").isNull() & (F.col("assembly") >= 101)).select(
+            "rid", "name", "state_code", cycle_of_assembly(F.col("assembly"), "closing").alias("cycle"))
         m = band_last_name_match(need, "rid", "name", "cycle", c.withColumn("cid", F.col("osid")), "cid", "cname",
                                  "cycle", ["state_code"], width=2)
         d = d.join(m.select("rid", F.col("cid").alias("_m"), "matches"), "rid", "left") \
              .withColumn("osid", F.coalesce("osid", "_m")).drop("_m")
     out = d.drop("rid", "state")
     return {"casualty": out, "unmatched_states": unmatched,
-            "missing_ids": out.filter(F.col("osid").isNull() & F.col("congress").between(101, 113))}
+            "missing_ids": out.filter(F.col("osid").isNull() & F.col("assembly").between(101, 113))}
 
 
 # -- D7 ---------------------------------------------------------------------
@@ -201,8 +201,8 @@ def scorecard_votes(pages: DataFrame, detail: DataFrame, base_url: str, kind_cla
 
 def scorecard(recent: DataFrame, scored: DataFrame) -> DataFrame:
     """Recent + scorecard votes; where a flagged '2x Score' twin exists only
-    the flagged row is kept; congress added."""
+    the flagged row is kept; assembly added."""
     lcv = union_fill([recent, scored])
     lcv = W.keep_flagged_twins(lcv, ["year", "rollnumber", "chamber"], "double_count")
-    return lcv.withColumn("congress", congress_of_year(F.col("year")).cast("double")).drop("page_id", "idx")
+    return lcv.withColumn("assembly", assembly_of_year(F.col("year")).cast("double")).drop("page_id", "idx")
 

@@ -6,15 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from polidata.operators.geo import bboxes, nearest_polygon, point_in_polygon, poly_cells, polygon_edges
-from polidata.operators.joins import bounded_broadcast
 from polidata.operators.windows import keep_group_max
 
-POLY = ["congress", "state_name", "district"]
+POLY = ["assembly", "state_name", "district"]
 
 
 def load_maps(vertices: DataFrame, cell_size: float) -> dict[str, DataFrame]:
-    """Vertex rows (congress, state_name, district, ring, seq, x, y) ->
-    edge table, bounding boxes and grid cells (write partitioned by congress)."""
+    """Vertex rows (assembly, state_name, district, ring, seq, x, y) ->
+    edge table, bounding boxes and grid cells (write partitioned by assembly)."""
     edges = polygon_edges(vertices, POLY)
     return {"district_edges": edges, "district_bbox": bboxes(edges, POLY),
             "district_cells": poly_cells(edges, POLY, cell_size).select(*POLY, "cx", "cy")}
@@ -38,26 +37,26 @@ def plants_to_districts(plants: DataFrame, states: DataFrame, edges: DataFrame,
     """Every plant x every map version: containing district, else the nearest
     district of the plant's own state (distance in a plane whose x axis is
     scaled by the cosine of the state's mean latitude)."""
-    st = bounded_broadcast(states.select(F.col("state_code").alias("state"), "state_name", "fips"))
+    st = states.select(F.col("state_code").alias("state"), "state_name", "fips")
     p = plants.join(st, "state", "left").withColumn("x", F.col("longitude")).withColumn("y", F.col("latitude"))
     # per map version and state: the x-axis scale of the distance plane.  One
-    # row per (congress, state) - 12 maps x ~50 states - so it is broadcast,
+    # row per (assembly, state) - 12 maps x ~50 states - so it is broadcast,
     # and joining it on the plant's state pairs each plant with every map
     # version through an equi join (no cross product).
-    scale = edges.groupBy("congress", "state_name").agg(
+    scale = edges.groupBy("assembly", "state_name").agg(
         F.cos(F.radians((F.min(F.least("y1", "y2")) + F.max(F.greatest("y1", "y2"))) / 2)).alias("_k"))
     pm = p.join(F.broadcast(scale), "state_name")
-    pm = pm.withColumn("pid", F.concat_ws("|", F.col("plant_code").cast("string"), F.col("congress").cast("string")))
-    inside = point_in_polygon(pm.select("pid", "x", "y", "congress"), edges, POLY, cell_size, pid="pid",
-                              shared_keys=["congress"])
+    pm = pm.withColumn("pid", F.concat_ws("|", F.col("plant_code").cast("string"), F.col("assembly").cast("string")))
+    inside = point_in_polygon(pm.select("pid", "x", "y", "assembly"), edges, POLY, cell_size, pid="pid",
+                              shared_keys=["assembly"])
     inside = inside.groupBy("pid").agg(F.min(F.struct("state_name", "district")).alias("_m")) \
         .select("pid", F.col("_m.district").alias("district"), F.lit("inside").alias("match_method"))
     rest = pm.join(inside.select("pid"), "pid", "left_anti")
-    e2 = edges.join(F.broadcast(scale), ["congress", "state_name"]).withColumns(
+    e2 = edges.join(F.broadcast(scale), ["assembly", "state_name"]).withColumns(
         {"x1": F.col("x1") * F.col("_k"), "x2": F.col("x2") * F.col("_k")})
     r2 = rest.withColumn("x", F.col("x") * F.col("_k"))
-    near = nearest_polygon(r2.select("pid", "x", "y", "congress", "state_name"), e2,
-                           ["congress", "state_name"], "district", cell_size, pid="pid")
+    near = nearest_polygon(r2.select("pid", "x", "y", "assembly", "state_name"), e2,
+                           ["assembly", "state_name"], "district", cell_size, pid="pid")
     near = near.select("pid", "district", F.lit("nearest").alias("match_method"))
     placed = inside.unionByName(near)
     out = pm.join(placed, "pid", "left").drop("pid", "x", "y", "_k")

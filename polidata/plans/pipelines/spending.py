@@ -22,7 +22,7 @@ def read_spending(spark: SparkSession, paths) -> DataFrame:
     YEAR from the two-digit folder prefix (93CFFIND -> 1993)."""
     cols = [f.name for f in CFFR.fields if f.name != "YEAR"]
     # a header line is the one naming the FIPSST field, wherever it sits
-    raw = read_csv_by_header(spark, paths, r"(^|,)\s*FIPSST\s*(,|$)", cols, max_cols=32)
+    raw = read_csv_by_header(spark, paths, r"(^|,)\s*FIPSST\s*(,|$)", cols)
     yy = F.regexp_extract("file_path", r"(\d{2})CFFIND/", 1).cast("int")
     raw = raw.withColumn("YEAR", F.when(yy >= 50, yy + 1900).otherwise(yy + 2000)).drop("file_path")
     return spending_table(raw)
@@ -41,7 +41,7 @@ def dictionary(lines: DataFrame, code_width: int, code: str, descr: str) -> Data
     commas in descriptions become ';' as in the delimited load."""
     v = sanitize_delimiter(F.col("value"))
     return lines.select(F.substring(v, 1, code_width).alias(code),
-                        F.trim(F.substring(v, code_width + 1, 10_000)).alias(descr),
+                        F.trim(F.substring(v, F.lit(code_width + 1), F.length(v))).alias(descr),
                         F.col("YEAR").cast("int").alias("YEAR")).filter(F.length(F.col(code)) > 0)
 
 

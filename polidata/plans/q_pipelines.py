@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from polidata.plans.pipelines.economy import regional_accounts, unemployment
 from polidata.plans.tables import table
+from polidata.sources import readers as R
 
 YEARS = list(range(1995, 2002))
 
@@ -143,8 +144,8 @@ def q_dd_district(spark: SparkSession, sf: str) -> DataFrame:
                      (F.element_at("embedding", 2).cast("double") * 10).alias("y"),
                      F.date_add(F.lit("1994-12-27").cast("date"), F.col("label")).alias("date"),
                      (F.element_at("embedding", 3).cast("double") * 100).alias("tmean"))
-    # map version 1 serves the 103rd congress (1993-94), version 2 the 104th (1995-96)
-    edges = map_edges(spark).select((F.col("map_id") + 102).alias("congress"), F.col("state").alias("fips"),
+    # map version 1 serves the 103rd assembly (1993-94), version 2 the 104th (1995-96)
+    edges = map_edges(spark).select((F.col("map_id") + 102).alias("assembly"), F.col("state").alias("fips"),
                                     F.col("poly_id").alias("district"), "ring", "seq", "x1", "y1", "x2", "y2")
     out = degree_days_by_district(cells, edges, CELL)
     return out.select("fips", "district", F.col("date").cast("string").alias("date"),
@@ -158,13 +159,13 @@ cells AS (SELECT CAST(embedding[1] AS DOUBLE) * 10 AS x, CAST(embedding[2] AS DO
                  CAST(DATE '1994-12-27' + label AS DATE) AS date, CAST(embedding[3] AS DOUBLE) * 100 AS tmean
           FROM embeddings),
 pts AS (SELECT DISTINCT x, y FROM cells),
-inside AS (SELECT p.x, p.y, e.map_id + 102 AS congress, e.state AS fips, e.poly_id AS district
+inside AS (SELECT p.x, p.y, e.map_id + 102 AS assembly, e.state AS fips, e.poly_id AS district
   FROM pts p CROSS JOIN edges e GROUP BY p.x, p.y, e.map_id, e.state, e.poly_id
   HAVING SUM(CASE WHEN ((e.y1 > p.y) <> (e.y2 > p.y)) AND p.x < (e.x2 - e.x1) * (p.y - e.y1) / (e.y2 - e.y1) + e.x1
                   THEN 1 ELSE 0 END) % 2 = 1),
-v AS (SELECT c.*, CAST(floor((year(c.date) - 1787) / 2) AS INTEGER) AS congress FROM cells c),
+v AS (SELECT c.*, CAST(floor((year(c.date) - 1787) / 2) AS INTEGER) AS assembly FROM cells c),
 m AS (SELECT i.fips, i.district, v.date, AVG(v.tmean) AS tmean FROM v JOIN inside i
-      ON v.x = i.x AND v.y = i.y AND v.congress = i.congress GROUP BY ALL),
+      ON v.x = i.x AND v.y = i.y AND v.assembly = i.assembly GROUP BY ALL),
 d AS (SELECT *, tmean * 9 / 5 + 32 - 65 AS dd FROM m)
 SELECT fips, district, CAST(date AS VARCHAR) AS date, round(tmean, 6) AS tmean,
   CASE WHEN dd IS NULL THEN NULL WHEN dd >= 0 THEN round_even(abs(dd), 0) ELSE 0.0 END AS cdd,
@@ -194,7 +195,7 @@ def master_410(spark: SparkSession, sf: str) -> DataFrame:
         F.first("gen").alias("g"), F.first("con").alias("c"), F.first("stk").alias("s"))
 
     def num(c, width):
-        return F.coalesce(F.lpad(F.col(c).cast("string"), width, " "), F.lit(" " * width))
+        return F.coalesce(R.fitting(F.col(c), width, " "), F.lit(" " * width))
 
     k = F.col("l_suppkey")
     parts = [F.lpad((k % 90 + 10).cast("string"), 2, "0"), F.lpad((k % 50 + 1).cast("string"), 2, "0"),
@@ -203,12 +204,12 @@ def master_410(spark: SparkSession, sf: str) -> DataFrame:
              F.lpad((k % 997).cast("string"), 3, "0"),
              F.rpad(F.concat(F.lit("Company "), k.cast("string")), 25, " "),
              F.rpad(F.concat(F.lit("P"), k.cast("string")), 11, " "), F.lit(" " * 7), F.rpad(F.lit("FUEL"), 9, " "),
-             F.lpad(k.cast("string"), 5, "0"), F.lit(" "), F.lit("M"), F.lit("0188"), F.lit(" "), F.lit("   "),
+             R.fitting(k, 5, "0"), F.lit(" "), F.lit("M"), F.lit("0188"), F.lit(" "), F.lit("   "),
              F.lpad(F.col("yy").cast("string"), 2, "0")]
     for mo in months:
         parts += [num(f"{mo}_g", 10), num(f"{mo}_c", 8), num(f"{mo}_s", 8)]
     parts += [F.lpad((k % 10000).cast("string"), 4, "0"), F.lpad((k % 11 + 1).cast("string"), 2, "0"),
-              F.lpad(k.cast("string"), 5, "0"), F.lit("BIT"), F.lit("ST")]
+              R.fitting(k, 5, "0"), F.lit("BIT"), F.lit("ST")]
     return w.select(F.concat(*parts).alias("value"))
 
 
@@ -687,43 +688,43 @@ def q_plant_districts(spark: SparkSession, sf: str) -> DataFrame:
                     .alias("longitude"), (k % 4 + 2012).cast("int").alias("year"))
     states = spark.createDataFrame([("S1", "S1", 1), ("S2", "S2", 2), ("DC", "DC", 11)],
                                    "state_code string, state_name string, fips int")
-    edges = map_edges(spark).select((F.col("map_id") + 102).alias("congress"), F.col("state").alias("state_name"),
+    edges = map_edges(spark).select((F.col("map_id") + 102).alias("assembly"), F.col("state").alias("state_name"),
                                     F.col("poly_id").alias("district"), "ring", "seq", "x1", "y1", "x2", "y2")
     out = plants_to_districts(plant_set(f860), states, edges, CELL)
-    return out.select("plant_code", "congress", "district_code", "match_method")
+    return out.select("plant_code", "assembly", "district_code", "match_method")
 
 
 def _sql_plant_districts():
     from polidata.plans.q_geo import _edges_sql
     return f"""WITH {_edges_sql()},
-e AS (SELECT map_id + 102 AS congress, state AS state_name, poly_id AS district, x1, y1, x2, y2 FROM edges),
+e AS (SELECT map_id + 102 AS assembly, state AS state_name, poly_id AS district, x1, y1, x2, y2 FROM edges),
 p AS (SELECT vec_id AS plant_code, CASE WHEN label = 9 THEN 'DC' WHEN label % 2 = 0 THEN 'S1' ELSE 'S2' END AS state,
              CAST(embedding[2] AS DOUBLE) * 10 AS y,
              CASE WHEN vec_id % 50 = 0 THEN NULL ELSE CAST(embedding[1] AS DOUBLE) * 10 END AS x,
              vec_id % 4 + 2012 AS year FROM embeddings),
 plants AS (SELECT * FROM p WHERE state <> 'DC' AND x IS NOT NULL AND year <> 2014),
-sc AS (SELECT congress, state_name,
+sc AS (SELECT assembly, state_name,
               cos(radians((min(least(y1, y2)) + max(greatest(y1, y2))) / 2)) AS k FROM e GROUP BY ALL),
-pm AS (SELECT pl.*, sc.congress, sc.k FROM plants pl JOIN sc ON sc.state_name = pl.state),
-ins AS (SELECT pm.plant_code, pm.congress, e.state_name, e.district FROM pm JOIN e ON e.congress = pm.congress
-        GROUP BY pm.plant_code, pm.congress, e.state_name, e.district
+pm AS (SELECT pl.*, sc.assembly, sc.k FROM plants pl JOIN sc ON sc.state_name = pl.state),
+ins AS (SELECT pm.plant_code, pm.assembly, e.state_name, e.district FROM pm JOIN e ON e.assembly = pm.assembly
+        GROUP BY pm.plant_code, pm.assembly, e.state_name, e.district
         HAVING SUM(CASE WHEN ((e.y1 > pm.y) <> (e.y2 > pm.y)) AND pm.x < (e.x2 - e.x1) * (pm.y - e.y1) / (e.y2 - e.y1) + e.x1
                         THEN 1 ELSE 0 END) % 2 = 1),
-ins1 AS (SELECT plant_code, congress, arg_min(district, (state_name, district)) AS district FROM ins GROUP BY ALL),
+ins1 AS (SELECT plant_code, assembly, arg_min(district, (state_name, district)) AS district FROM ins GROUP BY ALL),
 rest AS (SELECT pm.* FROM pm WHERE NOT EXISTS (SELECT 1 FROM ins1 i WHERE i.plant_code = pm.plant_code
-                                                 AND i.congress = pm.congress)),
-d AS (SELECT r.plant_code, r.congress, e.district, r.x * r.k AS px, r.y AS py, e.x1 * r.k AS x1, e.y1,
+                                                 AND i.assembly = pm.assembly)),
+d AS (SELECT r.plant_code, r.assembly, e.district, r.x * r.k AS px, r.y AS py, e.x1 * r.k AS x1, e.y1,
              (e.x2 - e.x1) * r.k AS dx, e.y2 - e.y1 AS dy
-      FROM rest r JOIN e ON e.congress = r.congress AND e.state_name = r.state),
+      FROM rest r JOIN e ON e.assembly = r.assembly AND e.state_name = r.state),
 t AS (SELECT *, dx * dx + dy * dy AS len2 FROM d),
 u AS (SELECT *, CASE WHEN len2 = 0 THEN 0.0 ELSE least(1.0, greatest(0.0, ((px - x1) * dx + (py - y1) * dy) / len2)) END AS tt
       FROM t),
-v AS (SELECT plant_code, congress, district,
+v AS (SELECT plant_code, assembly, district,
              sqrt((px - (x1 + tt * dx)) * (px - (x1 + tt * dx)) + (py - (y1 + tt * dy)) * (py - (y1 + tt * dy))) AS dist FROM u),
-near AS (SELECT plant_code, congress, district FROM (
-  SELECT *, row_number() OVER (PARTITION BY plant_code, congress ORDER BY dist, district) AS rk FROM v) WHERE rk = 1)
-SELECT plant_code, CAST(congress AS INTEGER) AS congress, district AS district_code, 'inside' AS match_method FROM ins1
-UNION ALL SELECT plant_code, CAST(congress AS INTEGER), district, 'nearest' FROM near"""
+near AS (SELECT plant_code, assembly, district FROM (
+  SELECT *, row_number() OVER (PARTITION BY plant_code, assembly ORDER BY dist, district) AS rk FROM v) WHERE rk = 1)
+SELECT plant_code, CAST(assembly AS INTEGER) AS assembly, district AS district_code, 'inside' AS match_method FROM ins1
+UNION ALL SELECT plant_code, CAST(assembly AS INTEGER), district, 'nearest' FROM near"""
 
 
 QUERIES["q_plant_districts"] = q_plant_districts
@@ -779,11 +780,11 @@ QUERIES["q_disposition"] = q_disposition
 ORACLE["q_disposition"] = _sql_disposition()
 
 
-# -- D4: session calendars (fill-down congress, increment session, text dates) --
+# -- D4: session calendars (fill-down assembly, increment session, text dates) --
 def session_tables(spark: SparkSession, sf: str):
     """House and Senate session tables, one document per customer nation and
     one row per order year: session start / end are the first / last order
-    date; the congress label appears only on the first session, the House
+    date; the assembly label appears only on the first session, the House
     session number only on first sessions; the Senate marks 1998 as special
     session 'S', has a blank row and footnote digits after the end year."""
     o = table(spark, sf, "orders").select("o_custkey", F.to_date("o_orderdate").alias("d"))
@@ -796,20 +797,20 @@ def session_tables(spark: SparkSession, sf: str):
     house = per.select(
         F.col("c_nationkey").alias("doc"), idx.alias("idx"),
         F.when(first, F.concat(cong.cast("string"), F.lit("th ("), F.col("y").cast("string"), F.lit("-"),
-                               (F.col("y") + 1).cast("string"), F.lit(")"))).alias("congress"),
+                               (F.col("y") + 1).cast("string"), F.lit(")"))).alias("assembly"),
         F.when(first, F.lit("1")).alias("session"),
         F.when(F.col("c_nationkey") % 2 == 0, F.date_format("d0", "MMMM d, yyyy"))
          .otherwise(F.date_format("d0", "MMM. d, yyyy")).alias("session_start"),
         F.date_format("d1", "MMM. d, yyyy").alias("session_end"))
     senate = per.select(
         (F.col("c_nationkey") + 100).alias("doc"), (idx * 2).alias("idx"),
-        F.when(first, cong.cast("string")).alias("congress"),
+        F.when(first, cong.cast("string")).alias("assembly"),
         F.when(F.col("y") == 1998, F.lit("S")).when(first, F.lit("1")).otherwise(F.lit("2")).alias("session"),
         F.date_format("d0", "MMM d, yyyy").alias("session_start"),
         F.concat(F.date_format("d1", "MMM d, yyyy"), F.when(F.col("y") == 1999, F.lit("2")).otherwise(F.lit("")))
          .alias("session_end"))
     blank = per.select((F.col("c_nationkey") + 100).alias("doc"), (idx * 2 + 1).alias("idx"),
-                       F.lit(None).cast("string").alias("congress"), F.lit("").alias("session"),
+                       F.lit(None).cast("string").alias("assembly"), F.lit("").alias("session"),
                        F.lit("").alias("session_start"), F.lit("").alias("session_end"))
     return house, senate.unionByName(blank)
 
@@ -818,7 +819,7 @@ def q_sessions(spark: SparkSession, sf: str) -> DataFrame:
     from polidata.plans.pipelines.legislature import session_calendar
     house, senate = session_tables(spark, sf)
     out = session_calendar(house, senate)
-    return out.select("chamber", "congress", "session", *[F.col(c).cast("string").alias(c) for c in
+    return out.select("chamber", "assembly", "session", *[F.col(c).cast("string").alias(c) for c in
                                                          ("session_start", "session_end", "start_date", "end_date")])
 
 
@@ -826,14 +827,14 @@ SQL_SESSIONS = """
 WITH per AS (SELECT c.c_nationkey, CAST(year(o.o_orderdate) AS INTEGER) AS y, MIN(CAST(o.o_orderdate AS DATE)) AS d0,
                     MAX(CAST(o.o_orderdate AS DATE)) AS d1
              FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY ALL),
-h AS (SELECT 'House' AS chamber, CAST(floor((y - 1787) / 2) AS INTEGER) AS congress,
+h AS (SELECT 'House' AS chamber, CAST(floor((y - 1787) / 2) AS INTEGER) AS assembly,
              CASE WHEN y % 2 = 1 THEN 1 ELSE 2 END AS session, d0, d1 FROM per),
-s AS (SELECT 'Senate' AS chamber, CAST(floor((y - 1787) / 2) AS INTEGER) AS congress,
+s AS (SELECT 'Senate' AS chamber, CAST(floor((y - 1787) / 2) AS INTEGER) AS assembly,
              CASE WHEN y = 1998 THEN 9 WHEN y % 2 = 1 THEN 1 ELSE 2 END AS session, d0, d1 FROM per),
 a AS (SELECT * FROM h UNION ALL SELECT * FROM s)
-SELECT chamber, congress, session, CAST(d0 AS VARCHAR) AS session_start, CAST(d1 AS VARCHAR) AS session_end,
-       CAST(MIN(d0) OVER (PARTITION BY chamber, congress) AS VARCHAR) AS start_date,
-       CAST(MAX(d1) OVER (PARTITION BY chamber, congress) AS VARCHAR) AS end_date
+SELECT chamber, assembly, session, CAST(d0 AS VARCHAR) AS session_start, CAST(d1 AS VARCHAR) AS session_end,
+       CAST(MIN(d0) OVER (PARTITION BY chamber, assembly) AS VARCHAR) AS start_date,
+       CAST(MAX(d1) OVER (PARTITION BY chamber, assembly) AS VARCHAR) AS end_date
 FROM a
 """
 
@@ -869,7 +870,7 @@ def departure_pages(spark: SparkSession, sf: str) -> DataFrame:
                    F.col("s").cast("string"), F.lit(" Senate)</h3>"))
     heads = counts.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
         F.struct("reason", hdr.alias("x")))), lambda s: s["x"]), "").alias("hs"))
-    return heads.join(items, "page").select(F.col("page").alias("congress"),
+    return heads.join(items, "page").select(F.col("page").alias("assembly"),
                                             F.concat("hs", F.lit("<ul><li>n/a</li>"), "lis", F.lit("</ul>")).alias("html"))
 
 
@@ -884,7 +885,7 @@ def _sql_departures():
     reasons = ", ".join(f"('{a}', '{b}')" for a, b in SEGMENT_REASONS)
     return f"""WITH {head},
 lk(c_mktsegment, reason) AS (VALUES {reasons})
-SELECT p.c_nationkey * 1000 + p.c_custkey // {PAGE_SIZE} AS congress, p.first || ' ' || p.last AS name,
+SELECT p.c_nationkey * 1000 + p.c_custkey // {PAGE_SIZE} AS assembly, p.first || ' ' || p.last AS name,
        substr(c.c_mktsegment, 1, 1) AS party, 'Nation ' || CAST(p.c_nationkey AS VARCHAR) AS state,
        lk.reason, CASE WHEN p.c_custkey % 3 = 0 THEN 'Senate' ELSE 'House' END AS chamber
 FROM people p JOIN customer c ON c.c_custkey = p.c_custkey JOIN lk ON lk.c_mktsegment = c.c_mktsegment"""
@@ -899,7 +900,7 @@ def q_voteview_members(spark: SparkSession, sf: str) -> DataFrame:
     from polidata.plans.pipelines.legislature import voteview
     c = table(spark, sf, "customer")
     k = F.col("c_custkey")
-    m = c.select((F.col("c_nationkey") % 12 + 103).alias("congress"),
+    m = c.select((F.col("c_nationkey") % 12 + 103).alias("assembly"),
                  F.when(k % 2 == 0, "House").otherwise("Senate").alias("chamber"), k.alias("icpsr"),
                  F.col("c_nationkey").alias("state_icpsr"),
                  F.when(k % 17 == 0, F.lit("USA")).otherwise(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")))
@@ -910,7 +911,7 @@ def q_voteview_members(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL_VOTEVIEW_MEMBERS = """
-SELECT DISTINCT c_nationkey % 12 + 103 AS congress, CASE WHEN c_custkey % 2 = 0 THEN 'House' ELSE 'Senate' END AS chamber,
+SELECT DISTINCT c_nationkey % 12 + 103 AS assembly, CASE WHEN c_custkey % 2 = 0 THEN 'House' ELSE 'Senate' END AS chamber,
        c_custkey AS icpsr, c_nationkey AS icpsr_code,
        CASE WHEN c_custkey % 17 = 0 THEN 'US' ELSE 'N' || CAST(c_nationkey AS VARCHAR) END AS state_code,
        c_custkey % 9 AS district_code

@@ -173,7 +173,8 @@ def q_crosstab(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
     ct = A.crosstab(o, "o_orderstatus", "o_orderpriority", PRIORITIES)
     ct = ct.toDF("o_orderstatus", *[f"p{p[0]}" for p in PRIORITIES])
-    return ct.withColumn("n_total", sum(F.col(f"p{p[0]}") for p in PRIORITIES))
+    totals = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_total"))   # unlisted priorities count too
+    return ct.join(totals, "o_orderstatus")
 
 
 SQL_CROSSTAB = "SELECT o_orderstatus, " + ", ".join(

@@ -112,9 +112,9 @@ def master_records(spark: SparkSession, sf: str) -> DataFrame:
     wide = wide.join(lab, "l_returnflag", "left")
 
     def fld(c, w):
-        return F.coalesce(F.lpad(F.col(c).cast("string"), w, " "), F.lit(" " * w))
+        return F.coalesce(R.fitting(F.col(c), w, " "), F.lit(" " * w))
 
-    parts = [F.lpad(F.col("l_suppkey").cast("string"), 5, "0"), F.rpad("l_returnflag", 2, " "),
+    parts = [R.fitting(F.col("l_suppkey"), 5, "0"), F.rpad("l_returnflag", 2, " "),
              F.col("year").cast("string"), F.rpad(R.sanitize_delimiter(F.col("descr")), 20, " ")]
     for mo in months:
         parts += [fld(f"{mo}_g", 10), fld(f"{mo}_c", 8), fld(f"{mo}_s", 8)]

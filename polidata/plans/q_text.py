@@ -47,7 +47,7 @@ def _raw_names(spark, sf):
     w1, w2 = F.get(F.split("p_name", " "), 0), F.get(F.split("p_name", " "), 1)
 
     def cap(w):
-        return F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 100))
+        return F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w)))
 
     raw = F.concat(cap(w2), F.lit(", "), cap(w1), F.lit(" "),
                    F.chr(F.lit(65) + F.col("p_partkey") % 26), F.lit("."))
@@ -157,29 +157,29 @@ FROM p
 """
 
 
-# -- X18 X19 X24: congress number, election cycles, ordinal suffixes --------
-def q_congress_cycle(spark: SparkSession, sf: str) -> DataFrame:
+# -- X18 X19 X24: assembly number, election cycles, ordinal suffixes --------
+def q_assembly_cycle(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year")).distinct()
     o = o.union(table(spark, sf, "lineitem").select(F.year("l_shipdate").alias("year"))).distinct()
-    cg = C.congress_of_year(F.col("year"))
-    return o.select("year", cg.alias("congress"),
-                    C.cycle_of_congress(cg, "closing").alias("cycle_closing"),
-                    C.cycle_of_congress(cg, "electing").alias("cycle_electing"),
+    cg = C.assembly_of_year(F.col("year"))
+    return o.select("year", cg.alias("assembly"),
+                    C.cycle_of_assembly(cg, "closing").alias("cycle_closing"),
+                    C.cycle_of_assembly(cg, "electing").alias("cycle_electing"),
                     F.concat(cg.cast("string"), X.ordinal_suffix(cg)).alias("label_source"),
                     F.concat((cg - 5).cast("string"), X.ordinal_suffix(cg - 5, upto=None)).alias("label_english"))
 
 
-SQL_CONGRESS_CYCLE = """
+SQL_ASSEMBLY_CYCLE = """
 WITH y AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
            UNION SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) FROM lineitem),
-c AS (SELECT year, CAST(floor((year - 1787) / 2) AS INTEGER) AS congress FROM y)
-SELECT year, congress, congress * 2 + 1788 AS cycle_closing, congress * 2 + 1786 AS cycle_electing,
-  CAST(congress AS VARCHAR) || CASE WHEN congress < 110 AND congress % 10 = 1 THEN 'st'
-    WHEN congress < 110 AND congress % 10 = 2 THEN 'nd' WHEN congress < 110 AND congress % 10 = 3 THEN 'rd'
+c AS (SELECT year, CAST(floor((year - 1787) / 2) AS INTEGER) AS assembly FROM y)
+SELECT year, assembly, assembly * 2 + 1788 AS cycle_closing, assembly * 2 + 1786 AS cycle_electing,
+  CAST(assembly AS VARCHAR) || CASE WHEN assembly < 110 AND assembly % 10 = 1 THEN 'st'
+    WHEN assembly < 110 AND assembly % 10 = 2 THEN 'nd' WHEN assembly < 110 AND assembly % 10 = 3 THEN 'rd'
     ELSE 'th' END AS label_source,
-  CAST(congress - 5 AS VARCHAR) || CASE WHEN (congress - 5) % 100 BETWEEN 11 AND 13 THEN 'th'
-    WHEN (congress - 5) % 10 = 1 THEN 'st' WHEN (congress - 5) % 10 = 2 THEN 'nd'
-    WHEN (congress - 5) % 10 = 3 THEN 'rd' ELSE 'th' END AS label_english
+  CAST(assembly - 5 AS VARCHAR) || CASE WHEN (assembly - 5) % 100 BETWEEN 11 AND 13 THEN 'th'
+    WHEN (assembly - 5) % 10 = 1 THEN 'st' WHEN (assembly - 5) % 10 = 2 THEN 'nd'
+    WHEN (assembly - 5) % 10 = 3 THEN 'rd' ELSE 'th' END AS label_english
 FROM c
 """
 
@@ -254,8 +254,8 @@ SELECT p_partkey, CAST(i - 1 AS INTEGER) AS word_pos, w[i] AS word FROM l, LATER
 
 
 QUERIES = {"q_paren_text": q_paren_text, "q_names_norm": q_names_norm, "q_votes_parse": q_votes_parse,
-           "q_dates": q_dates, "q_congress_cycle": q_congress_cycle, "q_degree_days": q_degree_days,
+           "q_dates": q_dates, "q_assembly_cycle": q_assembly_cycle, "q_degree_days": q_degree_days,
            "q_district_code": q_district_code, "q_replicate": q_replicate, "q_split_rows": q_split_rows}
 ORACLE = {"q_paren_text": SQL_PAREN_TEXT, "q_names_norm": SQL_NAMES_NORM, "q_votes_parse": SQL_VOTES_PARSE,
-          "q_dates": SQL_DATES, "q_congress_cycle": SQL_CONGRESS_CYCLE, "q_degree_days": SQL_DEGREE_DAYS,
+          "q_dates": SQL_DATES, "q_assembly_cycle": SQL_ASSEMBLY_CYCLE, "q_degree_days": SQL_DEGREE_DAYS,
           "q_district_code": SQL_DISTRICT_CODE, "q_replicate": SQL_REPLICATE, "q_split_rows": SQL_SPLIT_ROWS}

@@ -49,8 +49,8 @@ def get_spark(app: str = "polidata", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when nothing is configured (local
-    tests) do we create a private folder under the system temp directory.
+    The cluster's setting always wins.  Only when nothing is configured and the master is
+    local (tests) do we create a private folder under the system temp directory.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="polidata-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

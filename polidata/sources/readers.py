@@ -3,6 +3,8 @@ declared; nothing is inferred on production paths."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,6 +99,13 @@ def read_json_nested(spark: SparkSession, paths, schema, multiline: bool = True)
     return spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE").json(paths)
 
 
+def fitting(c, width: int, pad: str) -> Column:
+    """Text padded on the left to a record field; a longer value raises instead of being cut."""
+    c = c.cast("string")
+    return F.when(F.length(c) <= width, F.lpad(c, width, pad)).when(
+        c.isNotNull(), F.raise_error(F.concat(F.lit("does not fit its field: "), c)))
+
+
 # -- HTML pattern extraction over stored pages (S13, S14) --------------------
 def strip_tags(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"<[^>]+>", ""))
@@ -104,9 +113,9 @@ def strip_tags(c: Column) -> Column:
 
 def html_links(html: Column, href_prefix: str = "") -> Column:
     """Array of struct(href, text) for ``<a href=...>text</a>`` in page order."""
-    pat = r'<a\s+href="([^"]*)"[^>]*>(.*?)</a>'
-    hrefs = F.regexp_extract_all(html, F.lit(pat), 1)
-    texts = F.regexp_extract_all(html, F.lit(pat), 2)
+    pat = r"""(?is)<a\b[^>]*?\bhref\s*=\s*(["'])(.*?)\1[^>]*>(.*?)</a>"""
+    hrefs = F.regexp_extract_all(html, F.lit(pat), 2)
+    texts = F.regexp_extract_all(html, F.lit(pat), 3)
     z = F.arrays_zip(hrefs.alias("href"), texts.alias("text"))
     if href_prefix:
         z = F.filter(z, lambda s: s["href"].startswith(href_prefix))
@@ -161,19 +170,27 @@ def read_lines(spark: SparkSession, paths) -> DataFrame:
 def wide_text_to_long(lines: DataFrame, header_line: int, sep: str = "|", key: str = "key") -> DataFrame:
     """Delimited text whose header names vary by file (dates as columns) ->
     (file_path, key, name, value) without a fixed schema."""
-    import re as _re
-    s = _re.escape(sep)
+    s = re.escape(sep)
     hdr = lines.filter(F.col("line_no") == header_line).select("file_path", F.split("line", s).alias("names"))
     body = lines.filter((F.col("line_no") > header_line) & (F.length(F.trim("line")) > 0)) \
         .select("file_path", F.split("line", s).alias("vals"))
     j = body.join(hdr, "file_path")
     z = j.select("file_path", F.trim(F.get("vals", 0)).alias(key),
-                 F.explode(F.slice(F.arrays_zip(F.col("names").alias("n"), F.col("vals").alias("v")), 2, 100_000)).alias("z"))
+                 F.explode(F.slice(F.arrays_zip(F.col("names").alias("n"), F.col("vals").alias("v")), F.lit(2),
+                                   F.greatest(F.size("names"), F.size("vals")) - 1)).alias("z"))
     return z.select("file_path", key, F.trim("z.n").alias("name"), F.trim("z.v").alias("value"))
 
 
-def read_csv_by_header(spark: SparkSession, paths, header_regex: str, columns: list[str], sep: str = ",",
-                       max_cols: int = 64) -> DataFrame:
+def csv_fields(line: Column, sep: str = ",") -> Column:
+    """All fields of a delimited line, however many; quoted fields may hold the
+    separator and doubled quotes.  Empty fields are NULL."""
+    s = re.escape(sep)
+    raw = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(rf'{s}("(?:[^"]++|"")*+"|[^{s}]*+)'), 1)
+    return F.transform(raw, lambda f: F.nullif(F.when(
+        f.startswith('"'), F.replace(F.regexp_replace(f, r'^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(f), F.lit("")))
+
+
+def read_csv_by_header(spark: SparkSession, paths, header_regex: str, columns: list[str], sep: str = ",") -> DataFrame:
     """CSV files whose column sets differ: every file's values are mapped by
     *its own* header line (found by content, so files stay line-parallel),
     never by position.  Missing columns are NULL strings."""
@@ -181,10 +198,8 @@ def read_csv_by_header(spark: SparkSession, paths, header_regex: str, columns: l
     is_hdr = F.col("line").rlike(header_regex)
     hdr = lines.filter(is_hdr).groupBy("file_path").agg(
         F.first(F.transform(F.split("line", sep), lambda x: F.trim(x))).alias("names"))
-    ddl = ", ".join(f"c{i} string" for i in range(max_cols))
     body = lines.filter(~is_hdr & (F.length(F.trim("line")) > 0)) \
-        .select("file_path", F.from_csv("line", ddl, {"sep": sep}).alias("r"))
-    body = body.select("file_path", F.array(*[F.col(f"r.c{i}") for i in range(max_cols)]).alias("vals"))
+        .select("file_path", csv_fields(F.col("line"), sep).alias("vals"))
     j = body.join(hdr, "file_path")
     pick = {c: F.when(F.array_position("names", c) > 0, F.get("vals", (F.array_position("names", c) - 1).cast("int")))
             for c in columns}

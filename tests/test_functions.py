@@ -68,12 +68,12 @@ def test_ordinals(spark):
             .select(X.ordinal_suffix(F.col("n"), upto=None)).collect()] == ["st", "th", "st"]
 
 
-def test_congress_and_cycles(spark):
+def test_assembly_and_cycles(spark):
     df = spark.createDataFrame([(1970,), (1971,), (1993,), (2016,), (2017,)], "y int")
-    cg = [r[0] for r in df.select(C.congress_of_year(F.col("y"))).collect()]
+    cg = [r[0] for r in df.select(C.assembly_of_year(F.col("y"))).collect()]
     assert cg == [91, 92, 103, 114, 115]
     c = spark.createDataFrame([(101,), (103,)], "c int").select(
-        C.cycle_of_congress(F.col("c"), "closing"), C.cycle_of_congress(F.col("c"), "electing")).collect()
+        C.cycle_of_assembly(F.col("c"), "closing"), C.cycle_of_assembly(F.col("c"), "electing")).collect()
     assert [tuple(r) for r in c] == [(1990, 1988), (1994, 1992)]
 
 
@@ -125,5 +125,5 @@ def test_strict_min_max_cycle_inverse(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), ("b", 3), ("b", 5)], "k string, v int")
     got = {r.k: (r.lo, r.hi) for r in df.groupBy("k").agg(strict_min("v").alias("lo"), strict_max("v").alias("hi")).collect()}
     assert got == {"a": (None, None), "b": (3, 5)}
-    c = spark.createDataFrame([(1990,), (1992,)], "y int").select(C.congress_of_cycle(F.col("y"), "closing")).collect()
+    c = spark.createDataFrame([(1990,), (1992,)], "y int").select(C.assembly_of_cycle(F.col("y"), "closing")).collect()
     assert [r[0] for r in c] == [101, 102]

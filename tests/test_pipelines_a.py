@@ -49,7 +49,7 @@ def test_d2_bls(spark):
 def test_d3_voteview(spark):
     memb = spark.createDataFrame([(113, "House", 1, 41, "AL"), (113, "House", 1, 41, "AL"), (113, "President", 9, 99, "USA"),
                                   (113, "Senate", 3, None, None)],
-                                 "congress int, chamber string, icpsr int, state_icpsr int, state_abbrev string")
+                                 "assembly int, chamber string, icpsr int, state_icpsr int, state_abbrev string")
     out = LG.voteview(memb, memb, memb)["voteview_memb"]
     got = sorted((r.icpsr, r.state_code) for r in out.collect())
     assert got == [(1, "AL"), (3, None), (9, "US")] and "icpsr_code" in out.columns
@@ -61,16 +61,16 @@ def test_d4_session_calendar(spark):
         (1, 0, "103rd (1993-1995)", "1", "Jan. 5, 1993", "Nov. 26, 1993", "326", "123", ""),
         (1, 1, None, None, "January 25, 1994", "Dec. 1, 1994", "311", "142", ""),
         (1, 2, "104th", "1", "Jan. 4, 1995", "Jan. 3, 1996", "365", "168", "")],
-        "doc int, idx int, congress string, session string, session_start string, session_end string, "
+        "doc int, idx int, assembly string, session string, session_start string, session_end string, "
         "calendar_days string, legislative_days string, recesses string")
     senate = spark.createDataFrame([
         (2, 0, "103", "1", "Jan 5, 1993", "Nov 26, 19931"), (2, 1, None, "2", "Jan 25, 1994", "Dec 1, 1994"),
         (2, 2, None, "", "", ""), (2, 3, None, "S", "Mar 4, 1994", "Mar 5, 1994")],
-        "doc int, idx int, congress string, session string, session_start string, session_end string")
+        "doc int, idx int, assembly string, session string, session_start string, session_end string")
     out = LG.session_calendar(house, senate).collect()
-    h = [(r.congress, r.session, r.session_start) for r in out if r.chamber == "House"]
+    h = [(r.assembly, r.session, r.session_start) for r in out if r.chamber == "House"]
     assert h == [(103, 1, dt.date(1993, 1, 5)), (103, 2, dt.date(1994, 1, 25)), (104, 1, dt.date(1995, 1, 4))]
-    s = [(r.congress, r.session, r.session_end, r.end_date) for r in out if r.chamber == "Senate"]
+    s = [(r.assembly, r.session, r.session_end, r.end_date) for r in out if r.chamber == "Senate"]
     assert s[0] == (103, 1, dt.date(1993, 11, 26), dt.date(1994, 12, 1))
     assert s[-1][1] == 9 and len(s) == 3
 
@@ -96,7 +96,7 @@ def test_d6_departures(spark):
     html = ("<h3>Retired (2 House; 1 Senate)</h3><h3>Defeated (1 House)</h3><h3>Other news</h3>"
             "<ul><li>n/a</li><li>Ann Lee (D-Texas), 60, 3 terms</li><li>Bob Roe* (R-Ohio), 50, 2 terms</li>"
             "<li>Cy Peña (R-Mo), 70, 2 terms</li><li>Di Fox (D-Texas), 44, 1 term</li><li>menu</li></ul>")
-    pages = spark.createDataFrame([(110, html)], "congress int, html string")
+    pages = spark.createDataFrame([(110, html)], "assembly int, html string")
     dat = LG.departures_from_lists(pages)
     got = sorted((r.name, r.party, r.state, r.chamber, r.reason) for r in dat.collect())
     assert got == [("Ann Lee", "D", "Texas", "House", "Retired"), ("Bob Roe*", "R", "Ohio", "House", "Retired"),
@@ -130,4 +130,4 @@ def test_d7_scorecard(spark):
                                                                 "double_count double")
     lcv = LG.scorecard(twin, sc.drop("page_id", "idx"))
     rows7 = [r for r in lcv.collect() if r.rollnumber == 7.0]
-    assert len(rows7) == 1 and rows7[0].double_count == 1.0 and rows7[0].congress == 114.0
+    assert len(rows7) == 1 and rows7[0].double_count == 1.0 and rows7[0].assembly == 114.0

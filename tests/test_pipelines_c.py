@@ -95,7 +95,7 @@ def test_d19_co2_state_year(spark):
     f3 = spark.createDataFrame([(1995, 1, "BIT", 1.0), (1995, 1, None, 99.0)], "year int, plant_id int, esource string, con double")
     factors = spark.createDataFrame([("BIT", 100.0, 1000.0), ("NG", 50.0, 500.0)],
                                     "esource string, kg_co2_per_mmbtu double, kg_co2_per_unit double")
-    loc = spark.createDataFrame([(1, 104, 48), (2, 104, 2)], "plant_id int, congress int, fips int")
+    loc = spark.createDataFrame([(1, 104, 48), (2, 104, 2)], "plant_id int, assembly int, fips int")
     states = spark.createDataFrame([(48, "TX", "Texas"), (2, "AK", "Alaska")], "fips int, state_code string, state_name string")
     sect = spark.createDataFrame([("Texas", "electric power", "Total", 1995, 2e-6), ("Alaska", "residential", "Total", 1995, 1.0)],
                                  "state_name string, sector string, variable string, year int, value double")

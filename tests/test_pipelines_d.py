@@ -30,7 +30,7 @@ def test_d16_degree_days_by_district(spark):
     sq = [(0, 0), (2, 0), (2, 2), (0, 2)]
     verts = [(c, 1, 1, 0, i, float(x), float(y)) for c in (103, 104) for i, (x, y) in enumerate(sq)]
     verts += [(104, 1, 2, 0, i, float(x) + 2, float(y)) for i, (x, y) in enumerate(sq)]
-    edges = MP.load_maps(spark.createDataFrame(verts, "congress int, fips int, district int, ring int, seq int, "
+    edges = MP.load_maps(spark.createDataFrame(verts, "assembly int, fips int, district int, ring int, seq int, "
                                                       "x double, y double").withColumnRenamed("fips", "state_name"),
                          0.5)["district_edges"].withColumnRenamed("state_name", "fips")
     cells = spark.createDataFrame([
@@ -70,7 +70,7 @@ def test_d18_d21_plants_to_districts(spark):
              (104, "Tex", 1): rect(-100, 30, -97, 32), (104, "Tex", 2): rect(-97, 30, -96, 32),
              (103, "Okl", 1): rect(-100, 34, -96, 36), (104, "Okl", 1): rect(-100, 34, -96, 36)}
     verts = [(c, s, d, 0, i, float(x), float(y)) for (c, s, d), pts in polys.items() for i, (x, y) in enumerate(pts)]
-    maps = MP.load_maps(spark.createDataFrame(verts, "congress int, state_name string, district int, ring int, "
+    maps = MP.load_maps(spark.createDataFrame(verts, "assembly int, state_name string, district int, ring int, "
                                                      "seq int, x double, y double"), 0.5)
     assert maps["district_bbox"].count() == 6 and maps["district_cells"].count() > 6
     f860 = spark.createDataFrame([
@@ -84,7 +84,7 @@ def test_d18_d21_plants_to_districts(spark):
     assert sorted(r.plant_code for r in plants.collect()) == [1, 2]
     assert sorted(r.plant_code for r in MP.plant_set(f860, all_years=True).collect()) == [1, 2, 5]
     states = spark.createDataFrame([("TX", "Tex", 48), ("OK", "Okl", 40)], "state_code string, state_name string, fips int")
-    out = {(r.plant_code, r.congress): (r.district_code, r.match_method) for r in
+    out = {(r.plant_code, r.assembly): (r.district_code, r.match_method) for r in
            MP.plants_to_districts(plants, states, maps["district_edges"], 0.5).collect()}
     assert out[(1, 103)] == (2, "inside") and out[(1, 104)] == (1, "inside")
     assert out[(2, 103)] == (2, "nearest") and out[(2, 104)] == (2, "nearest")
