@@ -7,8 +7,8 @@ signatures are its contents of every two parts of every partition, so similar se
 
 Signatures propose candidates, the texts decide.  Exact copies are one node.  Inside a bucket of equal
 signatures, members are first compared with its best connected member only, and buckets whose members
-are in one class by then are done; the others go on with more hubs each round until none is left.  A sketch of each set bounds the
-difference of two from below, so that further hubs are only paired with members they may be linked to.
+are in one class by then are done; the others go on with more hubs each round until none is left.  A sketch of
+each set bounds the difference of two from below, so that texts are only compared where they may be linked.
 So no link between different classes is lost, and no bucket is expanded into all its pairs.
 """
 
@@ -26,8 +26,9 @@ from polidata.llm.common import WordHashes, lower_words, written
 
 PARTS = 3
 SUBSETS = ((0, 1), (0, 2), (1, 2))
-#: Agreeing partitions beyond the one that must exist; allows leaving out signatures of empty parts.
-SPARE = 1
+#: Agreeing partitions beyond the one that must exist, and one more per so many differences: as many signatures
+#: of empty parts can be left out, which sets of all kinds would share.
+SPARE, DIFFERENCES_PER_SPARE = 1, 16
 #: Upper end of a band of sizes over its lower end, at least.
 BAND_RATIO = 1.5
 #: Hubs of a bucket in the first round, and how many times more in each further one.
@@ -100,17 +101,21 @@ def signatures(elements: np.ndarray, bands: Bands) -> np.ndarray:
         k = bands.differences(band)
         if k == 0:
             continue
-        partitions = k // 2 + 1 + SPARE
+        spare = SPARE + k // DIFFERENCES_PER_SPARE
+        partitions = k // 2 + 1 + spare
         cell = (mix(elements ^ mix(np.array([band + 1], U))) % U(partitions * PARTS)).astype(np.int64)
         size = np.bincount(cell, minlength=partitions * PARTS).reshape(-1, PARTS)
         content = cell_sums(mix(elements + U(0x632BE59BD9B4E019)), cell, partitions * PARTS).reshape(-1, PARTS)
-        # a partition with two empty parts has an empty signature; with few of them another one agrees
-        skip_empty = ((size == 0).sum(1) >= 2).sum() <= SPARE
+        # two empty parts of a partition make an empty signature.  The last `spare` partitions that have one leave it
+        # out: of the 1 + spare partitions that agree, the first is then among the left-out ones of neither set
+        empty = np.flatnonzero((size == 0).sum(1) >= 2)
+        left_out = np.zeros(partitions, bool)
+        left_out[empty[-spare:]] = True
         place = U(band << 40) + np.arange(partitions, dtype=U) * U(len(SUBSETS))
         for s, (a, b) in enumerate(SUBSETS):
             with np.errstate(over="ignore"):
                 value = mix(mix(content[:, a] + U(1)) * U(3) + mix(content[:, b] + U(2)) + mix(place + U(s)))
-            found.append(value[(size[:, a] + size[:, b]) > 0] if skip_empty else value)
+            found.append(value[(size[:, a] + size[:, b] > 0) | ~left_out])
     return np.concatenate(found).astype(np.int64) if found else np.empty(0, np.int64)
 
 
@@ -137,6 +142,11 @@ def differing_bits(a: str, b: str) -> Column:
     return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH)), F.lit(0))
 
 
+def within_reach(n_a: str, sketch_a: str, n_b: str, sketch_b: str, num: int, den: int) -> Column:
+    """Whether sets of these sizes and sketches may reach num / den: their sketches show few enough differences."""
+    return (den + num) * differing_bits(sketch_a, sketch_b) <= (den - num) * (F.col(n_a) + F.col(n_b))
+
+
 # ---- Spark jobs -------------------------------------------------------------------------------------------------
 
 def signed_sets(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
@@ -241,14 +251,17 @@ def node_classes(docs: DataFrame, sets: DataFrame, width: int, num: int, den: in
         may_link = F.lit(True)
         if hubs_each > FIRST_HUBS:  # what the first hubs left may have many near misses
             labelled = labelled.join(sketches, "node")
-            most = (den - num) * (F.col("n") + F.col("hub_n"))
-            may_link = (den + num) * differing_bits("sketch", "hub_sketch") <= most
+            may_link = within_reach("n", "sketch", "hub_n", "hub_sketch", num, den)
         labelled = written(labelled, "labelled")
         best = Window.partitionBy("signature").orderBy(F.desc("weight"), "node")
         hubs = labelled.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= hubs_each)
         hub = hubs.drop("rank", "weight").withColumnsRenamed({"node": "hub", "label": "hub_label", "n": "hub_n", "sketch": "hub_sketch"})
         pairs = (labelled.join(hub, "signature").where((F.col("label") != F.col("hub_label")) & may_link)
                  .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
+        if hubs_each == FIRST_HUBS:  # one hub a bucket makes few pairs: they are looked at once each, not in every bucket
+            sketch_of = lambda c: sketches.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+            pairs = (pairs.join(sketch_of("a"), "a").join(sketch_of("b"), "b")
+                     .where(within_reach("n_a", "sketch_a", "n_b", "sketch_b", num, den)).select("a", "b"))
         pairs = written(pairs, "pairs")
         classes = merge_classes(classes, written(linked_pairs(docs, sets, pairs, width, num, den), "links"))
         rest = left.join(hubs.select("signature", "node"), ["signature", "node"], "left_anti")
