@@ -2,8 +2,8 @@
 
 Sets that reach the similarity differ in at most k elements, k following from their sizes.  Per band of
 sizes, the element domain is dealt to k // 2 + 2 partitions, so in at least two of them the sets differ
-in at most one element; each partition is dealt to three parts, of which two then agree.  A set's
-signatures are its contents of every two parts of every partition, so similar sets share one.
+in at most one element; each partition is dealt to two parts, of which one then agrees.  A set's
+signatures are its contents of every part of every partition, so similar sets share one.
 
 Signatures propose candidates, the texts decide.  Exact copies are one node.  Inside a bucket of equal
 signatures, members are first compared with its best connected member only, and buckets whose members
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from polidata.llm.common import WordHashes, lower_words, written
 
-PARTS = 3
-SUBSETS = ((0, 1), (0, 2), (1, 2))
+#: A partition's parts, one of which agrees if the sets differ in at most one element of the partition.
+PARTS = 2
 #: Agreeing partitions beyond the one that must exist, and one more per so many differences: as many signatures
 #: of empty parts can be left out, which sets of all kinds would share.
 SPARE, DIFFERENCES_PER_SPARE = 1, 16
@@ -106,16 +106,16 @@ def signatures(elements: np.ndarray, bands: Bands) -> np.ndarray:
         cell = (mix(elements ^ mix(np.array([band + 1], U))) % U(partitions * PARTS)).astype(np.int64)
         size = np.bincount(cell, minlength=partitions * PARTS).reshape(-1, PARTS)
         content = cell_sums(mix(elements + U(0x632BE59BD9B4E019)), cell, partitions * PARTS).reshape(-1, PARTS)
-        # two empty parts of a partition make an empty signature.  The last `spare` partitions that have one leave it
-        # out: of the 1 + spare partitions that agree, the first is then among the left-out ones of neither set
-        empty = np.flatnonzero((size == 0).sum(1) >= 2)
+        # an empty part makes an empty signature.  The last `spare` partitions that have one leave it out: of the
+        # 1 + spare partitions that agree, the first is then among the left-out ones of neither set
+        empty = np.flatnonzero((size == 0).any(1))
         left_out = np.zeros(partitions, bool)
         left_out[empty[-spare:]] = True
-        place = U(band << 40) + np.arange(partitions, dtype=U) * U(len(SUBSETS))
-        for s, (a, b) in enumerate(SUBSETS):
+        place = U(band << 40) + np.arange(partitions, dtype=U) * U(PARTS)
+        for s in range(PARTS):
             with np.errstate(over="ignore"):
-                value = mix(mix(content[:, a] + U(1)) * U(3) + mix(content[:, b] + U(2)) + mix(place + U(s)))
-            found.append(value[(size[:, a] + size[:, b] > 0) | ~left_out])
+                value = mix(mix(content[:, s] + U(1)) * U(3) + mix(place + U(s)))
+            found.append(value[(size[:, s] > 0) | ~left_out])
     return np.concatenate(found).astype(np.int64) if found else np.empty(0, np.int64)
 
 
