@@ -32,13 +32,22 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
 )
+# A key block runs to its END line, with no five dashes between; without that line, over its headers and the base64
+# that follows: long pieces, padded ones and lines of nothing else, also with written-out or quoted line ends.
+# Possessive throughout: no regex engine goes back over or recurses into a long body.
+PEM_TO_END = r"""[^-]*+(?:-{1,4}+[^-]++)*+-----END [A-Z ]*PRIVATE KEY-----"""
+PEM_HEADERS = r"""(?:(?:\s|\\[nr])*+(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+"""
+PEM_PIECE = r"""(?:[\s>"'|,]|\\[nrt])*+[A-Za-z0-9+/]++(?:(?<=[A-Za-z0-9+/]{16})={0,2}+|={1,2}+(?![A-Za-z0-9"']))"""
+PEM_LINE = r"""(?:[ \t]*+\r?+\n[ \t>]*+|(?:\\[nr])++)[A-Za-z0-9+/]++={0,2}+[ \t]*+(?![^\r\n\\"'])"""
+PEM = rf"""-----BEGIN [A-Z ]*PRIVATE KEY-----(?:{PEM_TO_END}|{PEM_HEADERS}(?:{PEM_PIECE}|{PEM_LINE})*+)"""
+
 MORE_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
     Rule("google", r"AIza[A-Za-z0-9_-]+", 0, 39),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]+", 0, 24),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", PEM),
 )
 RULES = BASE_RULES + MORE_RULES
 

@@ -61,3 +61,25 @@ def test_odd_rows_and_native_plan(odd, no_docs):
 
 def test_registered(shipped, sf):
     assert queries.QUERIES["op4_secrets"](shipped, sf).columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+
+
+def test_whole_private_keys_are_redacted(shipped):
+    lines = [hashlib.sha512(str(i).encode()).hexdigest()[:64].replace("a", "Q/") for i in range(26)] + ["zX9w"]
+    body, rsa, plain = "\n".join(lines), "-----{} RSA PRIVATE KEY-----", "-----{} PRIVATE KEY-----"
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n\n"
+    begin, end = rsa.format("BEGIN"), rsa.format("END")
+    blocks = [f"{begin}\n{body}\n{end}", f"{begin}\r\n" + body.replace("\n", "\r\n") + f"\r\n{end}", f"{begin}\n{headers}{body}\n{end}",
+              f"{plain.format('BEGIN')}\\n" + body.replace("\n", "\\n") + f"\\n{plain.format('END')}", f"{begin}\n{body}", f"{begin}\n{headers}{body}",
+              f"{begin}\\n" + body.replace("\n", "\\n"), "> " + f"{begin}\n{body}".replace("\n", "\n> "), f"{begin} {' '.join(lines)}=",
+              f"{begin}\nMIIEow\nab12\n{end}", f"{begin}\nMIIEow\nab12", f"{begin}\n" + (body + "\n") * 300 + end, f"{begin}\n" + "a-b " * 50_000]
+    texts = [f"Before it. {b}\n\nAfter - that, text." for b in blocks]
+    texts.append(f"{blocks[0]}\nBetween them\n{blocks[0]}")
+    texts.append(f"A line {begin} alone.\n\nMore text ----- here.\n{blocks[0]}")
+    docs = shipped.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = dict(S.redact(docs).select("doc_id", "text").collect())
+    for i, text in got.items():
+        assert "[PEM]" in text and not any(x in text for x in (*lines, "MIIEow", "ab12", "DEK-Info")), (i, text[:200])
+    assert all(got[i].startswith("Before it. ") and got[i].endswith("After - that, text.") for i in range(len(blocks)))
+    assert got[len(blocks)] == "[PEM]\nBetween them\n[PEM]" and got[len(blocks) + 1] == "A line [PEM] alone.\n\nMore text ----- here.\n[PEM]"
+    spans = dict(S.secret_spans(docs).select("doc_id", "spans").collect())
+    assert all(spans[i] == joined(brute(t)) for i, t in enumerate(texts))
