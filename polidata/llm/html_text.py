@@ -20,8 +20,18 @@ from pyspark.sql import DataFrame
 
 # Elements of HTML by how they break text, and words that name parts of pages.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNREAD = frozenset("script style head title template noscript svg math iframe object select option textarea button canvas audio video datalist".split())
+UNREAD = frozenset("script style head title template noscript svg annotation annotation-xml iframe object select option textarea button canvas audio video datalist".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+# Formulas are read as part of the line they stand in.
+MATH = frozenset("""math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub
+    msubsup msup mtable mtd mtext mtr munder munderover none semantics""".split())
+INLINE |= MATH
+# Start tags that end an open svg, unless one of its parts that hold HTML is open.
+BREAKOUT = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s
+    small span strong strike sub sup table tt u ul var""".split())
+HTML_PARTS = frozenset("foreignobject desc title".split())
+#: Unread elements that the end tag of a block around them closes too.
+LEAKY = frozenset("svg button canvas audio video datalist option noscript".split())
 CLOSES_SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "p": ()}
 FURNITURE = frozenset("""ad ads adv advert advertisement banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs
     footer foot header masthead sidebar side aside widget related recommended share sharing social comment comments reply replies respond
@@ -40,6 +50,8 @@ MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"
 ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 #: Elements whose text is not markup.
 RAW = frozenset("script style textarea title iframe".split())
+#: Attributes that end with an unquoted value, which a slash at their end belongs to.
+UNQUOTED = re.compile(r"""=\s*[^\s"'>][^\s"'>]*\Z""")
 
 
 class Page:
@@ -49,7 +61,7 @@ class Page:
         self.parent, self.features, self.edge, self.block, self.mark = [-1], [["tag:root"]], ["plain"], [None], [None]
         self.open: list[tuple[str, int | None]] = []  # tag and node, which inline elements don't have
         self.nodes = [0]
-        self.unread = 0
+        self.unread: list[str] = []  # the outermost unread element and what is open in it
         self.links = 0
         self.held: list[str] = []
         self.linked = 0
@@ -78,18 +90,50 @@ class Page:
             if m[1] or m[4]:
                 self.end(tag)
                 continue
-            self.start(tag, m[3] or m[6] or "")
-            if tag in RAW:
+            if self.start(tag, m[3] or m[6] or "") and tag in RAW:
                 stop = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
                 at = stop.start() if stop else end
 
-    def start(self, tag: str, attrs: str) -> None:
-        if self.unread:
-            self.unread += tag not in VOID and tag in UNREAD
-            return
+    def start(self, tag: str, attrs: str) -> bool:
+        """Take a start tag; False if the element is closed by a slash, which counts in svg and math only."""
+        closed = attrs[-1:] == "/" and not UNQUOTED.search(attrs)
+        if self.unread and self.stays_unread(tag, closed):
+            return not (closed and "svg" in self.unread)
+        if closed and (tag == "svg" or tag in MATH):
+            return False
         if tag in UNREAD:
-            self.unread = tag != "head"  # whose end tag may be left out; what it holds is unread by itself
-            return
+            if tag != "head":  # whose end tag may be left out; what it holds is unread by itself
+                self.unread = [tag]
+            return True
+        self.open_read(tag, attrs)
+        return True
+
+    def stays_unread(self, tag: str, closed: bool) -> bool:
+        """Take a start tag inside an unread element; False if it ends that element and is to be read itself."""
+        held = self.unread
+        if tag in ("option", "optgroup") and held[-1] == "option":
+            held.pop()
+            if not held and tag == "optgroup":
+                return True
+        if "select" in held and tag in ("select", "input", "textarea"):
+            self.close_unread("select")
+            if held or tag == "select":  # a select inside a select only ends it
+                return True
+            return False
+        if "svg" in held and tag in BREAKOUT and not HTML_PARTS.intersection(held[self.last("svg"):]):
+            self.close_unread("svg")
+            return bool(held) and self.stays_unread(tag, closed)
+        if tag not in VOID and not (closed and "svg" in held):
+            held.append(tag)
+        return True
+
+    def last(self, tag: str) -> int:
+        return len(self.unread) - 1 - self.unread[::-1].index(tag)
+
+    def close_unread(self, tag: str) -> None:
+        del self.unread[self.last(tag):]
+
+    def open_read(self, tag: str, attrs: str) -> None:
         if tag in VOID:
             if tag == "hr":
                 self.flush()
@@ -107,8 +151,12 @@ class Page:
 
     def end(self, tag: str) -> None:
         if self.unread:
-            self.unread -= tag in UNREAD and tag != "head"
-            return
+            if tag in self.unread:
+                self.close_unread(tag)
+                return
+            if tag == "p" or tag in INLINE or self.unread[0] not in LEAKY or all(name != tag for name, _ in self.open):
+                return
+            self.unread = []
         if tag in VOID or tag in UNREAD:
             return
         for i in range(len(self.open) - 1, -1, -1):

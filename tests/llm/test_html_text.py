@@ -59,3 +59,19 @@ def test_odd_pages(shipped):
     got = [(r["page_id"], r["text"]) for r in H.extract_text(pages).collect()]
     assert len(got) == len(rows) and got[0] == (1, "") and got[1] == (2, "") and got[2] == (None, "deep text.") and got[3] == (4, "") and got[4] == (4, "This sentence was cut &am")
     assert H.extract_text(pages.limit(0)).count() == 0
+
+
+def test_text_after_unread_elements_is_read():
+    def text(page):
+        return " ".join(" ".join(x for x in H.Page(page).block if x).split())
+
+    for inside in ("<select><option>A<option>B</select>", "<select><optgroup label=x><option>A<optgroup><option>B</select>", "<select><option>A</option><option>B</option></select>",
+                   "<datalist><option>A<option>B</datalist>", "<svg/>", '<svg viewBox="0 0 1 1"/>', "<svg><path/><title/><g><style/></g></svg>", "<svg><title>A</title><path></svg>",
+                   "<svg><svg/><g></svg>", "<button><span>A</button>", "<button><div>A</div></button>", "<select><option>A<select>", "<object><svg/><select><option>A</object>",
+                   "<noscript><div>A</div></noscript>", "<template><p>A</template>", "<svg class=a/></svg>", "<svg><foreignObject><p>A</p></foreignObject></svg>", "<iframe>A</iframe>",
+                   "<textarea><svg></textarea>", "<script>'<svg>'</script>"):
+        assert text(f"<article><p>One {inside} two.</p><p>Three.</p></article>") == "One two. Three.", inside
+    assert text("<article><div>One <svg><path></div><p>Two.</p></article>") == "One Two."
+    assert text("<article><div>One <svg><path><p>Two.</p></div></article>") == "One Two."
+    assert text("<article><div>One <button>A</div><p>Two.</p></article>") == "One Two."
+    assert text("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><mspace/></math> holds.<math/></p><p>Two.</p></article>") == "So x=1 holds. Two."
