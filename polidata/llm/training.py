@@ -16,13 +16,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
 
     The documents with the lowest hashes of their ids are taken, so that the choice depends neither on
     the order of rows nor on their partitions.  NULL labels and NULL ids are left out; of several labels
-    of one id the highest counts; a repeated document is one row for each of its rows.
+    of one id the highest counts; an id with several rows is one row, of the text with the lowest hash, so
+    that an id with very many rows is not more of the sample than any other.
     """
     chosen = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id"), FOLDS, HELD_OUT))
               .groupBy(F.col("doc_id").alias("chosen_id")).agg(F.max(label).cast("int").alias("label"))
               .orderBy(F.xxhash64("chosen_id"), "chosen_id").limit(rows))
     return (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id"))
-            .select("doc_id", "text", "label"))
+            .groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("label").alias("label")))
 
 
 def sigmoid(x):

@@ -76,3 +76,40 @@ def test_odd_rows(odd, no_docs, odd_labels, no_labels):
     assert {r["predicted"] for r in toxicity.toxicity_scores(odd, no_labels).collect()} == {0}
     model = quality.train_quality(odd, odd_labels)
     assert quality.accepted(odd, model, 0.0).collect() == odd.collect() and quality.accepted(odd, model, 1.1).count() == 0
+
+
+def test_fit_reads_every_chunk_of_long_texts(monkeypatch):
+    """What tells good from bad lies between twelve evenly spread places of texts of 60 chunks."""
+    r = np.random.default_rng(4)
+    step = quality.CHUNK - quality.WIDTH + quality.STRIDE
+    spread = set(np.linspace(0, 59, 12).astype(int))
+    between = [i for i in range(60) if not spread & {i - 1, i, i + 1}]
+    texts, labels = [], []
+    for n in range(60):
+        text = np.array(list("abcdefgh "))[r.integers(0, 9, 59 * step + 200)]
+        if n % 2:
+            for i in between:
+                text[i * step + 40: i * step + 200] = np.array(list("#@%"))[r.integers(0, 3, 160)]
+        texts.append("".join(text))
+        labels.append(1 - n % 2)
+    net = quality.Network().fit(texts[:40], labels[:40], epochs=40)
+    assert [int(s > 0.5) for s in net.scores(texts[40:])] == labels[40:]
+
+
+def test_gradient_in_turns(monkeypatch):
+    net, r = quality.Network(1), np.random.default_rng(0)
+    net.p["out"] = r.normal(size=net.p["out"].shape).astype(np.float32)
+    docs = [quality.chunks_of("some text " * 400), quality.chunks_of("OTHER!! " * 300)]
+    args = docs, [quality.lag_features(c) for c in docs], np.array([1, 0], np.float32), np.ones(2)
+    whole = net.gradients(*args)
+    monkeypatch.setattr(quality, "AT_ONCE", 5)
+    assert all(np.allclose(g, whole[k], atol=1e-4) for k, g in net.gradients(*args).items())
+
+
+def test_an_id_of_many_rows_is_one_row_of_the_sample(shipped):
+    from polidata.llm.training import labelled_sample
+    docs = shipped.createDataFrame([(1, f"text {i % 7}") for i in range(500)] + [(2, "other"), (3, None), (4, "no label")], "doc_id long, text string")
+    labels = shipped.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    kept = [i for i in (1, 2, 3) if not held_out(i)]
+    rows = labelled_sample(docs, labels, "quality", 10).collect()
+    assert len(kept) > 1 and 1 in kept and sorted(r["doc_id"] for r in rows) == kept
