@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import polidata
-from polidata.llm import bpe, decontam, html_text, jaccard, lm, quality, rules, secrets, toxicity, warc
+from polidata.llm import bpe, decontam, html_text, jaccard, lm, manifest, quality, rules, secrets, toxicity, warc
 from polidata.plans.tables import table
 
 #: The public vocabulary file that op5 encodes with.
@@ -81,6 +81,10 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verify_tampering(table(spark, sf_dir, "documents"))
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -90,4 +94,4 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 QUERIES = {q.__name__: shipped(q) for q in (op1_warc, op2_decontamination, op3_html, op4_secrets, op5_bpe,
-                                           op6_jaccard, op7_quality, op8_toxicity, op9_lm, op10_rules)}
+                                           op6_jaccard, op7_quality, op8_toxicity, op9_lm, op10_rules, op11_manifest)}
