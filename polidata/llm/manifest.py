@@ -27,13 +27,12 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from polidata.llm import sha_states as sha
-from polidata.llm.common import written
+from polidata.llm.common import positions, written
 
 ARITY = 3
 #: Levels of a block: it has at most 3 ** 7 = 2,187 nodes.
@@ -59,46 +58,6 @@ def leaf_digest(values: list[Column]) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
-# -- order ---------------------------------------------------------------------------------------------------
-def positions(rows: DataFrame, tree: str, order: list[str], name: str) -> DataFrame:
-    """rows with idx, the position in their tree by ``order``, and n, the tree's number of rows.
-
-    Rows are range partitioned by tree and order and numbered inside partitions; the counts per partition and
-    tree are summed up before them.  Rows equal in all of ``order`` are spread by a seeded random number, so one
-    repeated row does not fill a partition.
-    """
-    spread = rows.withColumn("_spread", F.rand(7))
-    keys = [tree, *order, "_spread"]
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = spread.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("_spread")
-    schema = T.StructType([*ranged.schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_pos", T.LongType())])
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, last, seen = TaskContext.get().partitionId(), None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            runs = batch.column(tree).dictionary_encode()
-            codes = runs.indices.to_numpy(zero_copy_only=False)
-            starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
-            first_tree = runs.dictionary[codes[0]].as_py()
-            offset = np.zeros(len(codes), np.int64)
-            if first_tree == last:
-                offset[: starts[1] if len(starts) > 1 else len(codes)] = seen
-            base = np.repeat(starts, np.diff(np.r_[starts, len(codes)]))
-            pos = np.arange(len(codes)) - base + offset
-            last, seen = runs.dictionary[codes[-1]].as_py(), int(pos[-1]) + 1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(codes), part), pa.int32()), pa.array(pos)],
-                                             names=schema.names)
-
-    numbered = written(ranged.mapInArrow(number, schema), name)
-    counts = numbered.groupBy(tree, "_part").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(tree)
-    before = counts.select(tree, "_part", F.sum("_c").over(w).alias("n"), (F.sum("_c").over(w.orderBy("_part")) - F.col("_c")).alias("_before"))
-    placed = numbered.join(before, [tree, "_part"])
-    return placed.withColumn("idx", F.col("_before") + F.col("_pos")).drop("_part", "_pos", "_before")
-
-
 # -- building ------------------------------------------------------------------------------------------------
 def tree_levels(n: int) -> int:
     """Levels above the leaves: 0 for one leaf."""
@@ -266,11 +225,13 @@ def paths_of(blocks: DataFrame, levels: int) -> DataFrame:
     return blocks.mapInArrow(partial(node_paths, size=ARITY ** levels), "tree string, idx long, path binary")
 
 
-def descend(steps: list[DataFrame], seeds: DataFrame, name: str, levels: int) -> DataFrame:
-    """The first step's blocks with ``path``, from the block's last node up to the root; seeds: (tree, path) of each tree's end."""
+def descend(steps: list[DataFrame], seeds: DataFrame | None, name: str, levels: int) -> DataFrame:
+    """The first step's blocks with ``path``, from the block's last node up to the root; seeds: (tree, path) of each
+    tree's end, or None where that is the root."""
     below: DataFrame | None = None
     for step in reversed(steps):
-        ends = step.filter(F.col("n") <= ARITY ** levels).join(seeds, "tree")
+        ends = step.filter(F.col("n") <= ARITY ** levels)
+        ends = ends.withColumn("path", F.unhex(F.lit(""))) if seeds is None else ends.join(seeds, "tree")
         rows = ends
         if below is not None:
             up = paths_of(below, levels).withColumnRenamed("idx", "block")
@@ -342,8 +303,7 @@ def build(leaves: DataFrame, tree: str, order: list[str], levels: int = LEVELS)
         .withColumnRenamed("t", "tree")
     top = grow(top_leaves, "manifest-top", levels)
     root = roots(top, levels).first()["digest"]
-    nowhere = subroots.sparkSession.range(1).select(F.lit(TOP).alias("tree"), F.lit(b"").cast("binary").alias("path"))
-    seeds = paths_of(descend(top, nowhere, "manifest-top", levels), levels) \
+    seeds = paths_of(descend(top, None, "manifest-top", levels), levels) \
         .join(top_leaves.select("idx", F.col("of"), "digest"), "idx").select(F.col("of").alias("tree"), "path", F.col("digest").alias("subroot"))
     seeds = written(seeds, "manifest-seeds")
     blocks = descend(steps, seeds.drop("subroot"), "manifest-paths", levels).join(seeds.drop("path"), "tree")

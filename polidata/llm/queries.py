@@ -8,9 +8,10 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import polidata
-from polidata.llm import bpe, decontam, html_text, jaccard, lm, manifest, quality, rules, secrets, toxicity, warc
+from polidata.llm import bpe, decontam, html_text, jaccard, lm, manifest, neighbours, quality, rules, secrets, toxicity, warc, whitening
 from polidata.plans.tables import table
 
 #: The public vocabulary file that op5 encodes with.
@@ -85,6 +86,14 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify_tampering(table(spark, sf_dir, "documents"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_rows(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -94,4 +103,5 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 QUERIES = {q.__name__: shipped(q) for q in (op1_warc, op2_decontamination, op3_html, op4_secrets, op5_bpe,
-                                           op6_jaccard, op7_quality, op8_toxicity, op9_lm, op10_rules, op11_manifest)}
+                                           op6_jaccard, op7_quality, op8_toxicity, op9_lm, op10_rules, op11_manifest,
+                                           op12_neighbours, op13_whitening)}
