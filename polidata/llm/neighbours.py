@@ -39,8 +39,9 @@ REVERSE = 32
 ORDERS = 2
 RUN = 64
 SIGNS = 16
-#: Nodes of a bucket: those whose neighbours meet in one group.
-BUCKET = 4096
+#: Nodes of a bucket: those whose neighbours meet in one group, and those that a search measures in one.
+BUCKET = 256
+SEARCH_BUCKET = 4096
 #: It ends when a smaller share of the edges is new, or after this many joins.
 LEAST_NEW = 0.25
 ITERATIONS = 20
@@ -228,8 +229,8 @@ def adjacency(graph: DataFrame) -> DataFrame:
 
 def measure(wanted: DataFrame, nodes: DataFrame, length: int) -> DataFrame:
     """(q, v, d) for wanted (q, code, v): a query's vector goes once to each bucket where it wants nodes."""
-    asked = wanted.groupBy("q", F.floor(F.col("v") / BUCKET).cast("long").alias("bucket")).agg(F.collect_set("v").alias("vs"), F.first("code").alias("code"))
-    held = nodes.select(F.floor(F.col("idx") / BUCKET).cast("long").alias("bucket"), "idx", F.col("code").alias("node_code"))
+    asked = wanted.groupBy("q", F.floor(F.col("v") / SEARCH_BUCKET).cast("long").alias("bucket")).agg(F.collect_set("v").alias("vs"), F.first("code").alias("code"))
+    held = nodes.select(F.floor(F.col("idx") / SEARCH_BUCKET).cast("long").alias("bucket"), "idx", F.col("code").alias("node_code"))
 
     def measured(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -287,11 +288,13 @@ def nearest_rows(df: DataFrame, is_query: Column, k: int = 10, vec_id: str = "ve
 
 def euclidean(a: Column, b: Column) -> Column:
     """Distance in double precision; differences whose squares leave the range of doubles are scaled first."""
-    gaps = F.zip_with(a, b, lambda x, y: x - y)
-    most = F.array_max(F.transform(gaps, F.abs))
-    scale = F.when((most > 1e150) | ((most < 1e-150) & (most > 0)), most).otherwise(F.lit(1.0))
-    squares = F.aggregate(F.transform(gaps, lambda g: g / scale * (g / scale)), F.lit(0.0), lambda s, x: s + x)
-    return F.sqrt(squares) * scale
+    def length(scale: Column | float) -> Column:
+        squares = F.zip_with(a, b, lambda x, y: (x - y) / scale * ((x - y) / scale))
+        return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x)) * scale
+
+    plain = F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    most = F.array_max(F.zip_with(a, b, lambda x, y: F.abs(x - y)))
+    return F.when((plain > 1e150) | ((plain < 1e-150) & (most > 0)), length(most)).otherwise(plain)
 
 
 def rows_of_length(rows: DataFrame, length: int, is_query: Column, k: int) -> DataFrame:
