@@ -4,8 +4,11 @@ the DuckDB oracle SQL for each one that SQL can express."""
 from __future__ import annotations
 
 import importlib
+from functools import wraps
 
-_MODULES = ["emissions", "q_shape", "q_window", "q_join", "q_text", "q_sources", "q_geo", "q_match", "q_quality", "q_pipelines"]
+from polidata.session import ship_package
+
+_MODULES = ["emissions", "q_shape", "q_window", "q_join", "q_text", "q_sources", "q_geo", "q_match", "q_candidates", "q_quality", "q_pipelines"]
 
 
 def _load():
@@ -17,8 +20,17 @@ def _load():
     return queries, oracle
 
 
+def _shipped(query):
+    """The query, after the package's code was sent to the executors (some queries run Python functions there)."""
+    @wraps(query)
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 def queries():
-    return _load()[0]
+    return {name: _shipped(q) for name, q in _load()[0].items()}
 
 
 def oracle_sql():
