@@ -28,7 +28,7 @@ def paren_text(c) -> Column:
 def replace_first(c, pattern: str, replacement: str) -> Column:
     """``str_replace``: only the first match (``regexp_replace`` replaces all);
     texts may have line breaks and the pattern groups of its own."""
-    return F.regexp_replace(_c(c), f"(?s)^(?<head>.*?)(?:{pattern})(?<tail>.*)$", f"${{head}}{replacement}${{tail}}")
+    return F.regexp_replace(_c(c), f"^(?<head>(?s:.*?))(?:{pattern})(?<tail>(?s:.*))$", f"${{head}}{replacement}${{tail}}")
 
 
 def remove_paren(c) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -74,71 +74,16 @@ def crosstab(df: DataFrame, row: str, col: str, values: list) -> DataFrame:
     return out.na.fill(0, [str(v) for v in values])
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float],
-                    accuracy: int = 100_000, small_limit: int | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles (``quantile_cont``) without
-    holding a large group in one task.
-
-    * groups with fewer than ``small_limit`` (default ``accuracy``) values use
-      Spark's exact ``percentile`` - its buffer is bounded by that limit;
-    * larger groups: ``percentile_approx`` (mergeable sketch, rank error at
-      most n/accuracy) brackets each target rank with a margin of
-      8n/accuracy ranks, which covers the sketch error plus the two order
-      statistics the interpolation needs; only the rows inside a bracket
-      (about 16n/accuracy per quantile) are ranked by a window, their global
-      rank being the count below the bracket plus the rank inside it;
-    * a group whose bracket would miss a target rank falls back to the
-      exact aggregate, so the result is exact in every case.
+def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float]) -> DataFrame:
+    """Exact linear-interpolated quantiles (``quantile_cont``), NULLs left out.
+
+    Equal values are counted first, so a group enters Spark's exact ``percentile`` as distinct values with
+    frequencies: repeated rows of a hot group are merged on the map side.
     Returns keys + ``q_<i>`` columns (i = position in ``probs``).
     """
-    small_limit = small_limit or accuracy
-    x = F.col(col)
-    d = df.filter(x.isNotNull()).select(*keys, x.alias("_x"))
-    qcols = [f"q_{i}" for i in range(len(probs))]
-    n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    d = d.join(n, keys)
-
-    def exact(part):
-        e = part.groupBy(*keys).agg(F.percentile("_x", F.array(*[F.lit(p) for p in probs])).alias("_q"))
-        return e.select(*keys, *[F.get("_q", i).alias(c) for i, c in enumerate(qcols)])
-
-    small = exact(d.filter(F.col("_n") < small_limit))
-    big = d.filter(F.col("_n") >= small_limit)
-    m = 8.0 / accuracy
-    lo = [max(p - m, 0.0) for p in probs]
-    hi = [min(p + m, 1.0) for p in probs]
-    st = big.groupBy(*keys).agg(
-        F.first("_n").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
-        F.percentile_approx("_x", lo, accuracy).alias("_lo"),
-        F.percentile_approx("_x", hi, accuracy).alias("_hi"))
-    st = st.select(*keys, "_n", "_min", "_max", F.posexplode(F.arrays_zip(
-        F.col("_lo").alias("a"), F.col("_hi").alias("b"),
-        F.array(*[F.lit(p) for p in probs]).alias("p"))).alias("_qi", "_z"))
-    st = st.select(*keys, "_qi",
-                   F.when(F.col("_z.p") - m <= 0, F.col("_min")).otherwise(F.col("_z.a")).alias("_a"),
-                   F.when(F.col("_z.p") + m >= 1, F.col("_max")).otherwise(F.col("_z.b")).alias("_b"),
-                   (F.col("_z.p") * (F.col("_n") - 1)).alias("_pos"))
-    st = st.withColumns({"_klo": F.floor("_pos"), "_khi": F.ceil("_pos"),
-                         "_frac": F.col("_pos") - F.floor("_pos")})
-    j = big.select(*keys, "_x").join(st, keys)
-    below = j.groupBy(*keys, "_qi").agg(F.count_if(F.col("_x") < F.col("_a")).alias("_below"))
-    band = j.filter(F.col("_x").between(F.col("_a"), F.col("_b")))
-    w = Window.partitionBy(*keys, "_qi").orderBy("_x")
-    band = band.withColumn("_r", F.row_number().over(w) - 1).join(below, [*keys, "_qi"])
-    band = band.withColumn("_rank", F.col("_r") + F.col("_below"))
-    picked = band.filter((F.col("_rank") == F.col("_klo")) | (F.col("_rank") == F.col("_khi")))
-    q = picked.groupBy(*keys, "_qi").agg(
-        F.max(F.when(F.col("_rank") == F.col("_klo"), F.col("_x"))).alias("_vlo"),
-        F.max(F.when(F.col("_rank") == F.col("_khi"), F.col("_x"))).alias("_vhi"),
-        F.first("_frac").alias("_frac"))
-    q = q.withColumn("_q", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
-    wide = q.groupBy(*keys).pivot("_qi", list(range(len(probs)))).agg(F.first("_q")).toDF(*keys, *qcols)
-    # every big group must have every quantile; anything missing is recomputed exactly
-    big_keys = big.select(*keys).distinct()
-    ok = wide.filter(F.greatest(*[F.col(c).isNull() for c in qcols]) == F.lit(False))
-    missing = big_keys.join(ok.select(*keys), keys, "left_anti")
-    redo = exact(big.join(missing, keys, "left_semi"))
-    return small.unionByName(ok).unionByName(redo)
+    counts = df.filter(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("_x")).agg(F.count(F.lit(1)).alias("_n"))
+    q = counts.groupBy(*keys).agg(F.percentile("_x", F.array(*[F.lit(p) for p in probs]), F.col("_n")).alias("_q"))
+    return q.select(*keys, *[F.get("_q", i).alias(f"q_{i}") for i in range(len(probs))])
 
 
 def box_stats(df: DataFrame, keys: list[str], col: str, coef: float = 1.5) -> DataFrame:

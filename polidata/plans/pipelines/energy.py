@@ -95,6 +95,25 @@ def plant_registry(vintages: dict[int, DataFrame], base_year: int = 2012) -> dic
     return {"eia_f860": reg, "schema_drift": drift, "unstable_plants": unstable}
 
 
+def plant_registry_long(rows: DataFrame, key: str = "plant_code") -> dict[str, DataFrame]:
+    """All vintages in one frame -> registry, schema drift and attribute drift, without a frame per year.
+
+    ``rows`` holds key, year, ``present`` (the normalised names of the columns that the row's file has) and the
+    attributes, NULL where a file lacks them.  schema_drift: per column its first and last year and in how many years
+    it occurs; attribute_drift: keys with several versions of the attributes that every year has, with their number,
+    from one aggregate of attribute digests.
+    """
+    attrs = [c for c in rows.columns if c not in (key, "year", "present")]
+    years = rows.select("year", F.explode("present").alias("column")).distinct()
+    schema = years.groupBy("column").agg(F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.count(F.lit(1)).alias("n_years"))
+    n_all = rows.agg(F.count_distinct("year")).first()[0]
+    everywhere = {r.column for r in schema.filter(F.col("n_years") == n_all).collect()}      # column names of the files
+    steady = [c for c in attrs if c in everywhere]
+    digest = F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in steady]), {"ignoreNullFields": "false"}), 256)
+    drift = rows.groupBy(key).agg(F.count_distinct(digest).alias("n_versions")).filter(F.col("n_versions") > 1)
+    return {"eia_f860": rows.drop("present"), "schema_drift": schema, "unstable_plants": drift}
+
+
 # -- D13 --------------------------------------------------------------------
 # Disposition row markers and how many rows each block spans.
 DISPOSITION_BLOCKS = [("Electric utilities", 3), ("Combined heat and power, commercial", 2),

@@ -39,20 +39,18 @@ def plants_to_districts(plants: DataFrame, states: DataFrame, edges: DataFrame,
     scaled by the cosine of the state's mean latitude)."""
     st = states.select(F.col("state_code").alias("state"), "state_name", "fips")
     p = plants.join(st, "state", "left").withColumn("x", F.col("longitude")).withColumn("y", F.col("latitude"))
-    # per map version and state: the x-axis scale of the distance plane.  One
-    # row per (assembly, state) - 12 maps x ~50 states - so it is broadcast,
-    # and joining it on the plant's state pairs each plant with every map
+    # per map version and state: the x-axis scale of the distance plane.  Joining it on the plant's state pairs each plant with every map
     # version through an equi join (no cross product).
     scale = edges.groupBy("assembly", "state_name").agg(
         F.cos(F.radians((F.min(F.least("y1", "y2")) + F.max(F.greatest("y1", "y2"))) / 2)).alias("_k"))
-    pm = p.join(F.broadcast(scale), "state_name")
+    pm = p.join(scale, "state_name")
     pm = pm.withColumn("pid", F.concat_ws("|", F.col("plant_code").cast("string"), F.col("assembly").cast("string")))
     inside = point_in_polygon(pm.select("pid", "x", "y", "assembly"), edges, POLY, cell_size, pid="pid",
                               shared_keys=["assembly"])
     inside = inside.groupBy("pid").agg(F.min(F.struct("state_name", "district")).alias("_m")) \
         .select("pid", F.col("_m.district").alias("district"), F.lit("inside").alias("match_method"))
     rest = pm.join(inside.select("pid"), "pid", "left_anti")
-    e2 = edges.join(F.broadcast(scale), ["assembly", "state_name"]).withColumns(
+    e2 = edges.join(scale, ["assembly", "state_name"]).withColumns(
         {"x1": F.col("x1") * F.col("_k"), "x2": F.col("x2") * F.col("_k")})
     r2 = rest.withColumn("x", F.col("x") * F.col("_k"))
     near = nearest_polygon(r2.select("pid", "x", "y", "assembly", "state_name"), e2,

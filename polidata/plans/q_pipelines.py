@@ -17,52 +17,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polidata.plans.pipelines.economy import regional_accounts, unemployment
-from polidata.plans.tables import table
+from polidata.plans.tables import table, years_of
+from polidata.session import cut_lineage
 from polidata.sources import readers as R
 
-YEARS = list(range(1995, 2002))
-
-
 def _text(c):
     return F.coalesce(c.cast("string"), F.lit("(NA)"))
 
 
 def _gsp_vintages(spark: SparkSession, sf: str):
+    years = years_of(table(spark, sf, "lineitem"), "l_shipdate")
     li = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_extendedprice",
                                              F.year("l_shipdate").alias("y"))
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     sup = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     base = li.join(part, "l_partkey").join(sup, "l_suppkey")
-    wide = base.groupBy("s_nationkey", "p_type").pivot("y", YEARS).agg(F.sum("l_extendedprice"))
+    wide = base.groupBy("s_nationkey", "p_type").pivot("y", years).agg(F.sum("l_extendedprice"))
     wide = wide.select(F.concat(F.lpad((F.col("s_nationkey") + 1).cast("string"), 2, "0"), F.lit("000")).alias("GeoFIPS"),
                        F.concat(F.lit("State "), (F.col("s_nationkey") + 1).cast("string")).alias("GeoName"),
                        F.col("p_type").alias("IndustryId"), F.lit("All industry").alias("Description"),
-                       *[_text(F.col(str(y))).alias(str(y)) for y in YEARS])
-    total = base.groupBy("p_type").pivot("y", YEARS).agg(F.sum("l_extendedprice"))
+                       *[_text(F.col(str(y))).alias(str(y)) for y in years])
+    total = base.groupBy("p_type").pivot("y", years).agg(F.sum("l_extendedprice"))
     total = total.select(F.lit("00000").alias("GeoFIPS"), F.lit("United States").alias("GeoName"),
                          F.col("p_type").alias("IndustryId"), F.lit("All industry").alias("Description"),
-                         *[_text(F.col(str(y))).alias(str(y)) for y in YEARS])
+                         *[_text(F.col(str(y))).alias(str(y)) for y in years])
     note = spark.range(1).select(F.lit("Note: derived from sales").alias("GeoFIPS"), *[F.lit(None).cast("string").alias(c)
                                  for c in ("GeoName", "IndustryId", "Description")], *[F.lit(None).cast("string").alias(str(y))
-                                                                                      for y in YEARS])
+                                                                                      for y in years])
     allw = wide.unionByName(total).unionByName(note)
     ids = ["GeoFIPS", "GeoName", "IndustryId", "Description"]
-    sic = allw.select(*ids, *[str(y) for y in YEARS if y <= 1997])
-    naics = allw.select(*ids, *[str(y) for y in YEARS if y >= 1997])
+    sic = allw.select(*ids, *[str(y) for y in years if y <= 1997])
+    naics = allw.select(*ids, *[str(y) for y in years if y >= 1997])
     return naics, sic
 
 
 def _income_sheet(spark: SparkSession, sf: str):
+    years = years_of(table(spark, sf, "orders"), "o_orderdate")
     o = table(spark, sf, "orders").select("o_custkey", "o_totalprice", F.year("o_orderdate").alias("y"))
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     j = o.join(c, "o_custkey")
-    inc = j.groupBy("c_nationkey").pivot("y", YEARS).agg(F.sum("o_totalprice"))
-    pop = j.groupBy("c_nationkey").pivot("y", YEARS).agg(F.count_distinct("o_custkey"))
+    inc = j.groupBy("c_nationkey").pivot("y", years).agg(F.sum("o_totalprice"))
+    pop = j.groupBy("c_nationkey").pivot("y", years).agg(F.count_distinct("o_custkey"))
 
     def sheet(df, line, descr):
         return df.select(F.concat(F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0"), F.lit("000")).alias("GeoFIPS"),
                          F.lit("SA1").alias("Table"), F.lit(line).alias("LineCode"), F.lit(descr).alias("Description"),
-                         *[_text(F.col(str(y))).alias(str(y)) for y in YEARS])
+                         *[_text(F.col(str(y))).alias(str(y)) for y in years])
     return sheet(inc, 1, "Personal income (millions of dollars)").unionByName(sheet(pop, 2, "Population (persons)"))
 
 
@@ -73,12 +73,12 @@ def q_bea_gsp(spark: SparkSession, sf: str) -> DataFrame:
                       F.round("value", 2).alias("value"), "units")
 
 
-SQL_BEA_GSP = f"""
+SQL_BEA_GSP = """
 WITH base AS (SELECT s.s_nationkey + 1 AS fips, p.p_type AS industry, CAST(year(l.l_shipdate) AS INTEGER) AS year,
                      l.l_extendedprice AS v
               FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey),
 keys AS (SELECT DISTINCT fips, industry FROM base),
-yrs AS (SELECT unnest({YEARS}) AS year),
+yrs AS (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem WHERE l_shipdate IS NOT NULL),
 sums AS (SELECT fips, industry, year, SUM(v) AS v FROM base GROUP BY ALL)
 SELECT CAST(k.fips AS INTEGER) AS fips, k.industry, CAST(y.year AS INTEGER) AS year, round(s.v, 2) AS value,
        'millions of current dollars' AS units
@@ -95,11 +95,11 @@ def q_bea_income(spark: SparkSession, sf: str) -> DataFrame:
     return gsi.unionByName(pop)
 
 
-SQL_BEA_INCOME = f"""
+SQL_BEA_INCOME = """
 WITH j AS (SELECT c.c_nationkey + 1 AS fips, CAST(year(o.o_orderdate) AS INTEGER) AS year, o.o_totalprice, o.o_custkey
            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
 keys AS (SELECT DISTINCT fips FROM j),
-yrs AS (SELECT unnest({YEARS}) AS year),
+yrs AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE o_orderdate IS NOT NULL),
 agg AS (SELECT fips, year, SUM(o_totalprice) AS inc, CAST(COUNT(DISTINCT o_custkey) AS DOUBLE) AS pop FROM j GROUP BY ALL)
 SELECT CAST(k.fips AS INTEGER) AS fips, CAST(y.year AS INTEGER) AS year, 1 AS linecode,
        'Personal income' AS description, 'millions of dollars' AS units, round(a.inc, 2) AS value
@@ -512,35 +512,45 @@ WHERE o.o_orderpriority <> '1-URGENT' AND c.c_nationkey % 10 <> 9
 
 
 # -- D12: plant registry across yearly vintages ---------------------------------
-def _plant_vintages(spark: SparkSession, sf: str) -> dict:
-    li = table(spark, sf, "lineitem").select("l_suppkey", F.year("l_shipdate").alias("y"))
-    s = table(spark, sf, "supplier")
-    vint = {}
-    for y in range(1995, 2002):           # one frame per yearly file (a fixed list of years)
-        act = li.filter(F.col("y") == y).select(F.col("l_suppkey").alias("s_suppkey")).distinct()
-        v = s.join(act, "s_suppkey").select(
-            F.col("s_suppkey").alias("Plant Code"), F.col("s_name").alias("Plant Name"),
-            F.col("s_nationkey").alias("State"),
-            F.when((F.col("s_suppkey") % 13 == 0) & F.lit(y >= 1999), F.lit("Moved"))
-             .otherwise(F.concat(F.lit("C"), (F.col("s_suppkey") % 50).cast("string"))).alias("City"))
-        if y >= 1998:
-            v = v.withColumn("Sector", F.lit("electric"))
-        vint[y] = v
-    return vint
+def plant_files(spark: SparkSession, sf: str) -> DataFrame:
+    """All yearly plant files: a supplier is in the file of every year it shipped in; a column was added in 1998."""
+    li = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), F.year("l_shipdate").alias("year")).distinct()
+    k, late = F.col("s_suppkey"), F.col("year") >= 1998
+    base = F.array(*[F.lit(c) for c in ("plant_code", "plant_name", "state", "city")])
+    return table(spark, sf, "supplier").join(li, "s_suppkey").select(
+        k.alias("plant_code"), "year", F.col("s_name").alias("plant_name"), F.col("s_nationkey").alias("state"),
+        F.when((k % 13 == 0) & (F.col("year") >= 1999), F.lit("Moved"))
+         .otherwise(F.concat(F.lit("C"), (k % 50).cast("string"))).alias("city"),
+        F.when(late, F.lit("electric")).alias("sector"), F.when(late, F.concat(base, F.array(F.lit("sector")))).otherwise(base).alias("present"))
 
 
 def q_plant_registry(spark: SparkSession, sf: str) -> DataFrame:
-    from polidata.plans.pipelines.energy import plant_registry
-    out = plant_registry(_plant_vintages(spark, sf), base_year=1997)
-    return out["unstable_plants"]
+    """Registry rows, columns that come and go, and plants whose attributes change, below one another."""
+    from polidata.plans.pipelines.energy import plant_registry_long
+    out = plant_registry_long(cut_lineage(plant_files(spark, sf)))
+    none = F.lit(None)
+    reg = out["eia_f860"].select(F.lit("registry").alias("part"), "plant_code", "year", F.concat_ws("|", "plant_name", "state", "city", "sector").alias("detail"),
+                                 none.cast("int").alias("last_year"), none.cast("long").alias("n"))
+    cols = out["schema_drift"].select(F.lit("schema").alias("part"), none.cast("long").alias("plant_code"), F.col("first_year").alias("year"),
+                                      F.col("column").alias("detail"), "last_year", F.col("n_years").alias("n"))
+    moved = out["unstable_plants"].select(F.lit("drift").alias("part"), "plant_code", none.cast("int").alias("year"), none.cast("string").alias("detail"),
+                                          none.cast("int").alias("last_year"), F.col("n_versions").alias("n"))
+    return reg.unionByName(cols).unionByName(moved)
 
 
 SQL_PLANT_REGISTRY = """
 WITH a AS (SELECT DISTINCT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS y FROM lineitem),
-v AS (SELECT DISTINCT s.s_suppkey AS plant_code, s.s_name, s.s_nationkey,
-        CASE WHEN s.s_suppkey % 13 = 0 AND a.y >= 1999 THEN 'Moved' ELSE 'C' || CAST(s.s_suppkey % 50 AS VARCHAR) END AS city
-      FROM supplier s JOIN a ON a.l_suppkey = s.s_suppkey)
-SELECT plant_code, COUNT(*) AS n_versions FROM v GROUP BY plant_code HAVING COUNT(*) > 1
+v AS (SELECT s.s_suppkey AS plant_code, a.y, s.s_name, s.s_nationkey,
+        CASE WHEN s.s_suppkey % 13 = 0 AND a.y >= 1999 THEN 'Moved' ELSE 'C' || CAST(s.s_suppkey % 50 AS VARCHAR) END AS city,
+        CASE WHEN a.y >= 1998 THEN 'electric' END AS sector
+      FROM supplier s JOIN a ON a.l_suppkey = s.s_suppkey),
+cols AS (SELECT DISTINCT y, unnest(CASE WHEN y >= 1998 THEN ['plant_code', 'plant_name', 'state', 'city', 'sector']
+                                   ELSE ['plant_code', 'plant_name', 'state', 'city'] END) AS col FROM v)
+SELECT 'registry' AS part, plant_code, y AS year, concat_ws('|', s_name, s_nationkey, city, sector) AS detail,
+       CAST(NULL AS INTEGER) AS last_year, CAST(NULL AS BIGINT) AS n FROM v
+UNION ALL SELECT 'schema', NULL, min(y), col, max(y), count(*) FROM cols GROUP BY col
+UNION ALL SELECT 'drift', plant_code, NULL, NULL, NULL, count(DISTINCT (s_name, s_nationkey, city)) FROM v GROUP BY plant_code
+  HAVING count(DISTINCT (s_name, s_nationkey, city)) > 1
 """
 
 QUERIES["q_statewide"] = q_statewide
@@ -742,15 +752,16 @@ SHEET_ROWS = ["Net generation", "..Electric utilities", "..Independent producers
 def disposition_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """One sheet per supplier nation: row i holds the quantities shipped on
     line number (i mod 7) + 1, per year, as text; empty cells are NULL."""
+    years = years_of(table(spark, sf, "lineitem"), "l_shipdate")
     li = table(spark, sf, "lineitem").select("l_suppkey", "l_linenumber", "l_quantity", F.year("l_shipdate").alias("y"))
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     j = li.join(s, "l_suppkey")
-    sums = j.groupBy("s_nationkey", "l_linenumber").pivot("y", YEARS).agg(F.sum("l_quantity").cast("long"))
+    sums = j.groupBy("s_nationkey", "l_linenumber").pivot("y", years).agg(F.sum("l_quantity").cast("long"))
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(SHEET_ROWS)], "idx int, category string")
     rows = rows.withColumn("l_linenumber", F.col("idx") % 7 + 1)
     sheet = F.broadcast(rows).join(sums, "l_linenumber")
     return sheet.select(F.concat(F.lit("State "), F.col("s_nationkey").cast("string")).alias("state_name"), "idx",
-                        "category", *[F.col(str(y)).cast("string").alias(f"Year {y}") for y in YEARS])
+                        "category", *[F.col(str(y)).cast("string").alias(f"Year {y}") for y in years])
 
 
 def q_disposition(spark: SparkSession, sf: str) -> DataFrame:
@@ -766,7 +777,7 @@ keep AS (SELECT * FROM rows WHERE idx IN (1, 2, 3, 5, 6, 7, 8, 9, 10)),
 li AS (SELECT s.s_nationkey, l.l_linenumber, CAST(year(l.l_shipdate) AS INTEGER) AS year, l.l_quantity
        FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey),
 nat AS (SELECT DISTINCT s_nationkey, l_linenumber FROM li),
-yrs AS (SELECT unnest({YEARS}) AS year),
+yrs AS (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem WHERE l_shipdate IS NOT NULL),
 sums AS (SELECT s_nationkey, l_linenumber, year, CAST(SUM(l_quantity) AS BIGINT) AS v FROM li GROUP BY ALL)
 SELECT 'State ' || CAST(n.s_nationkey AS VARCHAR) AS state_name,
        trim(lower(replace(k.category, '..', ''))) AS category, CAST(y.year AS INTEGER) AS year,

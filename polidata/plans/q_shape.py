@@ -9,29 +9,30 @@ from polidata.functions.nullsafe import row_sum, strict_avg, strict_sum, sum_na_
 from polidata.operators import aggregates as A
 from polidata.operators import shape as S
 from polidata.operators import windows as W
-from polidata.plans.tables import table
-
-YEARS = list(range(1995, 2002))
-
+from polidata.plans.tables import table, years_of
 
 # -- R1 R2 R3 A5 A12: wide by ship year, back to long -------------------------
 def q_unpivot_years(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem").select("l_returnflag", F.year("l_shipdate").alias("y"), "l_quantity")
-    wide = li.groupBy("l_returnflag").pivot("y", YEARS).agg(F.sum("l_quantity"))
-    wide = wide.toDF("l_returnflag", *[f"y{y}" for y in YEARS])
-    ycols = [f"y{y}" for y in YEARS]
-    wide = wide.withColumn("total_qty", row_sum(*ycols, na_rm=True))
+    li = table(spark, sf, "lineitem")
+    years = years_of(li, "l_shipdate")
+    wide = li.select("l_returnflag", F.year("l_shipdate").alias("y"), "l_quantity") \
+        .groupBy("l_returnflag").pivot("y", years).agg(F.sum("l_quantity"))
+    ycols = [f"y{y}" for y in years]
+    wide = wide.toDF("l_returnflag", *ycols).withColumn("total_qty", row_sum(*ycols, na_rm=True))
     long = S.unpivot(wide, ["l_returnflag", "total_qty"], ycols, "header", "qty")
     return long.select("l_returnflag", F.regexp_substr("header", F.lit(r"\d{4}")).cast("int").alias("year"),
                        "qty", "total_qty")
 
 
-def _sql_unpivot_years():
-    cols = ",\n  ".join(f"SUM(CASE WHEN year(l_shipdate) = {y} THEN l_quantity END) AS y{y}" for y in YEARS)
-    total = " + ".join(f"COALESCE(y{y}, 0)" for y in YEARS)
-    parts = " UNION ALL ".join(
-        f"SELECT l_returnflag, {y} AS year, y{y} AS qty, {total} AS total_qty FROM wide" for y in YEARS)
-    return f"WITH wide AS (SELECT l_returnflag,\n  {cols}\n  FROM lineitem GROUP BY l_returnflag)\n{parts}"
+SQL_UNPIVOT_YEARS = """
+WITH li AS (SELECT l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS year, l_quantity FROM lineitem WHERE l_shipdate IS NOT NULL),
+yrs AS (SELECT DISTINCT year FROM li), flags AS (SELECT DISTINCT l_returnflag FROM lineitem),
+sums AS (SELECT l_returnflag, year, SUM(l_quantity) AS qty FROM li GROUP BY ALL),
+total AS (SELECT l_returnflag, SUM(l_quantity) AS total_qty FROM li GROUP BY ALL)
+SELECT f.l_returnflag, y.year, s.qty, COALESCE(t.total_qty, 0) AS total_qty
+FROM flags f CROSS JOIN yrs y LEFT JOIN sums s ON s.l_returnflag IS NOT DISTINCT FROM f.l_returnflag AND s.year = y.year
+LEFT JOIN total t ON t.l_returnflag IS NOT DISTINCT FROM f.l_returnflag
+"""
 
 
 # -- R4 P4: three repeated column groups -> one row per group -----------------
@@ -290,7 +291,7 @@ QUERIES = {
     "q_wide_means": q_wide_means, "q_boxplot": q_boxplot, "q_argmin": q_argmin, "q_largest": q_largest,
 }
 ORACLE = {
-    "q_unpivot_years": _sql_unpivot_years(), "q_stack_parties": SQL_STACK, "q_rank_top2_margin": SQL_TOP2,
+    "q_unpivot_years": SQL_UNPIVOT_YEARS, "q_stack_parties": SQL_STACK, "q_rank_top2_margin": SQL_TOP2,
     "q_strict_mean": SQL_STRICT_MEAN, "q_sum_null_zero": SQL_SUM_NULL_ZERO,
     "q_group_extremes": SQL_GROUP_EXTREMES, "q_crosstab": SQL_CROSSTAB, "q_listagg": SQL_LISTAGG,
     "q_distinct_counts": SQL_DISTINCT_COUNTS, "q_wide_means": SQL_WIDE_MEANS, "q_boxplot": SQL_BOXPLOT,

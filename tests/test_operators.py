@@ -103,7 +103,7 @@ def test_exact_quantiles_match_numpy(spark):
     vals = np.concatenate([rng.normal(size=3000), [50.0, -40.0]])
     rows = [(int(i % 3), float(v)) for i, v in enumerate(vals)] + [(3, 1.0)]
     df = spark.createDataFrame(rows, "g int, x double")
-    q = {r.g: r for r in A.exact_quantiles(df, ["g"], "x", [0.25, 0.5, 0.75], accuracy=100).collect()}
+    q = {r.g: r for r in A.exact_quantiles(df, ["g"], "x", [0.25, 0.5, 0.75]).collect()}
     for g in range(3):
         xs = np.array([v for gg, v in rows if gg == g])
         for i, p in enumerate([0.25, 0.5, 0.75]):

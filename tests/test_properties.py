@@ -36,12 +36,11 @@ def test_chunked_scans_equal_plain_windows(spark, rows, width):
 
 
 @SETTINGS
-@given(vals=st.lists(st.tuples(st.integers(0, 2), st.integers(-50, 50)), min_size=1, max_size=300),
-       acc=st.sampled_from([10, 50, 100_000]))
-def test_exact_quantiles_equal_numpy(spark, vals, acc):
+@given(vals=st.lists(st.tuples(st.integers(0, 2), st.integers(-50, 50)), min_size=1, max_size=300))
+def test_exact_quantiles_equal_numpy(spark, vals):
     df = spark.createDataFrame([(g, float(x)) for g, x in vals], "g int, x double")
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = {r.g: r for r in A.exact_quantiles(df, ["g"], "x", probs, accuracy=acc).collect()}
+    got = {r.g: r for r in A.exact_quantiles(df, ["g"], "x", probs).collect()}
     for g in {g for g, _ in vals}:
         xs = np.array([x for gg, x in vals if gg == g], dtype=float)
         for i, p in enumerate(probs):
