@@ -203,14 +203,14 @@ def master_410(spark: SparkSession, sf: str) -> DataFrame:
              F.coalesce(F.col("fuel"), F.lit(" ")), F.lpad((k % 1000).cast("string"), 3, "0"),
              F.lpad((k % 997).cast("string"), 3, "0"),
              F.rpad(F.concat(F.lit("Company "), k.cast("string")), 25, " "),
-             F.rpad(F.concat(F.lit("P"), k.cast("string")), 11, " "), F.lit(" " * 7), F.rpad(F.lit("FUEL"), 9, " "),
-             R.fitting(k, 5, "0"), F.lit(" "), F.lit("M"), F.lit("0188"), F.lit(" "), F.lit("   "),
+             F.rpad(F.concat(F.lit("P"), (k % 10 ** 10).cast("string")), 11, " "), F.lit(" " * 7), F.rpad(F.lit("FUEL"), 9, " "),
+             F.lpad((k % 100_000).cast("string"), 5, "0"), F.lit(" "), F.lit("M"), F.lit("0188"), F.lit(" "), F.lit("   "),
              F.lpad(F.col("yy").cast("string"), 2, "0")]
     for mo in months:
         parts += [num(f"{mo}_g", 10), num(f"{mo}_c", 8), num(f"{mo}_s", 8)]
     parts += [F.lpad((k % 10000).cast("string"), 4, "0"), F.lpad((k % 11 + 1).cast("string"), 2, "0"),
-              R.fitting(k, 5, "0"), F.lit("BIT"), F.lit("ST")]
-    return w.select(F.concat(*parts).alias("value"))
+              F.lpad((k % 100_000).cast("string"), 5, "0"), F.lit("BIT"), F.lit("ST")]
+    return w.select(R.fixed_record(parts, 410).alias("value"))
 
 
 def q_fuel_master(spark: SparkSession, sf: str) -> DataFrame:

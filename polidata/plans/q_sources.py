@@ -16,7 +16,6 @@ from polidata.sources import readers as R
 from polidata.sources import writers as Wr
 from polidata.plans.tables import table
 
-LINK = r'<a\s+href="([^"]*)"[^>]*>(.*?)</a>'
 
 
 # -- S14 P16: links with an href prefix, href and text aligned by position ---
@@ -97,7 +96,7 @@ GROUP_FIELDS = [("generation", 0, 10, "double"), ("consumption", 10, 8, "long"),
 
 
 def master_records(spark: SparkSession, sf: str) -> DataFrame:
-    """One 334-character record per (plant, fuel, year): code fields, a
+    """One 350-character record per (plant, fuel, year): code fields, a
     sanitised description, and 12 monthly groups of 26 characters."""
     li = table(spark, sf, "lineitem")
     m = li.groupBy("l_suppkey", "l_returnflag", (F.year("l_shipdate") - 10).alias("year"),
@@ -114,18 +113,18 @@ def master_records(spark: SparkSession, sf: str) -> DataFrame:
     def fld(c, w):
         return F.coalesce(R.fitting(F.col(c), w, " "), F.lit(" " * w))
 
-    parts = [R.fitting(F.col("l_suppkey"), 5, "0"), F.rpad("l_returnflag", 2, " "),
+    parts = [R.fitting(F.col("l_suppkey"), 12, "0"), F.rpad("l_returnflag", 2, " "),
              F.col("year").cast("string"), F.rpad(R.sanitize_delimiter(F.col("descr")), 20, " ")]
     for mo in months:
         parts += [fld(f"{mo}_g", 10), fld(f"{mo}_c", 8), fld(f"{mo}_s", 8)]
-    return wide.select(F.concat(*parts).alias("record"))
+    return wide.select(R.fixed_record(parts, 38 + 12 * 26).alias("record"))
 
 
 def q_fixed_width(spark: SparkSession, sf: str) -> DataFrame:
     rec = master_records(spark, sf)
-    head = R.fixed_width(F.col("record"), [("plant", 1, 5, "int"), ("fuel", 6, 2, "string"),
-                                          ("year", 8, 4, "int"), ("descr", 12, 20, "string")])
-    d = rec.select(*head, F.explode(R.repeating_group(F.col("record"), 32, 12, GROUP_FIELDS)).alias("m"))
+    head = R.fixed_width(F.col("record"), [("plant", 1, 12, "long"), ("fuel", 13, 2, "string"),
+                                          ("year", 15, 4, "int"), ("descr", 19, 20, "string")])
+    d = rec.select(*head, F.explode(R.repeating_group(F.col("record"), 39, 12, GROUP_FIELDS)).alias("m"))
     d = d.select("plant", "fuel", "descr", "year", "m.*")
     lab = inline_table(spark, FUEL_LABELS, "fuel string, fuel_label string")
     d = d.join(lab, "fuel", "left")
@@ -140,7 +139,7 @@ WITH m AS (SELECT l_suppkey, l_returnflag, CAST(year(l_shipdate) AS INTEGER) - 1
 g AS (SELECT DISTINCT l_suppkey, l_returnflag, year FROM m),
 grid AS (SELECT g.*, CAST(mm AS INTEGER) AS month FROM g, range(1, 13) t(mm)),
 lab(fuel, fuel_label) AS (VALUES ('A', 'Anthracite, coal'), ('N', 'Natural gas'), ('R', 'Residual, fuel oil'))
-SELECT grid.l_returnflag AS fuel, CAST(grid.l_suppkey AS INTEGER) AS plant, replace(lab.fuel_label, ',', ';') AS descr,
+SELECT grid.l_returnflag AS fuel, grid.l_suppkey AS plant, replace(lab.fuel_label, ',', ';') AS descr,
   grid.year, grid.month,
   round(CASE WHEN grid.year < 1990 THEN m.gen / 1000 ELSE CAST(m.gen AS DOUBLE) END, 6) AS generation,
   m.con AS consumption, m.stk AS stocks, lab.fuel_label

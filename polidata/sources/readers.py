@@ -100,10 +100,16 @@ def read_json_nested(spark: SparkSession, paths, schema, multiline: bool = True)
 
 
 def fitting(c, width: int, pad: str) -> Column:
-    """Text padded on the left to a record field; a longer value raises instead of being cut."""
+    """Text padded on the left to a record field; a longer value stays whole, which `fixed_record` finds."""
     c = c.cast("string")
-    return F.when(F.length(c) <= width, F.lpad(c, width, pad)).when(
-        c.isNotNull(), F.raise_error(F.concat(F.lit("does not fit its field: "), c)))
+    return F.lpad(c, F.greatest(F.length(c), F.lit(width)), pad)
+
+
+def fixed_record(parts: list[Column], width: int) -> Column:
+    """A fixed-width record from its fields; one field too long, and it raises instead of being cut."""
+    record = F.concat(*parts)
+    return F.when(record.isNull() | (F.length(record) == width), record).otherwise(
+        F.raise_error(F.concat(F.lit("a field does not fit the record: "), record)))
 
 
 # -- HTML pattern extraction over stored pages (S13, S14) --------------------

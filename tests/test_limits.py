@@ -19,10 +19,12 @@ def test_csv_of_seventy_columns(spark, tmp_path):
 
 
 def test_fields_that_do_not_fit_raise(spark):
-    one = spark.createDataFrame([(12345,), (None,)], "k long").select(R.fitting(F.col("k"), 5, "0").alias("v"))
-    assert [r.v for r in one.collect()] == ["12345", None]
+    def record(k):
+        parts = [R.fitting(F.col("k"), 5, "0"), F.lit("x")]
+        return [r.v for r in spark.createDataFrame([(v,) for v in k], "k long").select(R.fixed_record(parts, 6).alias("v")).collect()]
+    assert record([12345, 7, None]) == ["12345x", "00007x", None]
     with pytest.raises(Exception, match="does not fit"):
-        spark.createDataFrame([(123456,)], "k long").select(R.fitting(F.col("k"), 5, "0")).collect()
+        record([123456])
 
 
 def test_links_in_varied_markup(spark):
