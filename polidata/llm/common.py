@@ -61,6 +61,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Tables:
+    """Tables of one job in the shared folder, one of a name: when a new one is complete, the one it replaces is deleted.
+
+    Whatever still reads a replaced table must have been computed by then.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_folder(self.spark, name)
+        df.write.parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str) -> None:
+        path = self.paths.pop(name, None)
+        if path:
+            jvm = self.spark._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def positions(rows: DataFrame, tree: str, order: list[str], name: str) -> DataFrame:
     """rows with idx, the position in their tree by ``order``, and n, the tree's number of rows.
 

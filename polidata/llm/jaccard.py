@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from polidata.llm.common import WordHashes, lower_words, written
+from polidata.llm.common import Tables, WordHashes, lower_words
 
 #: A partition's parts, one of which agrees if the sets differ in at most one element of the partition.
 PARTS = 2
@@ -33,11 +33,12 @@ SPARE, DIFFERENCES_PER_SPARE = 1, 16
 BAND_RATIO = 1.5
 #: Hubs of a bucket in the first round, and how many times more in each further one.
 FIRST_HUBS, MORE_HUBS = 1, 8
-#: Up to so many rows (two longs each) a table of keys is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 1_000_000
-
-#: Numbers of 64 bits in the sketch that bounds the difference of two sets from below.
-SKETCH = 16
+#: Up to so many rows (four longs and a flag each) a table of texts to look up is broadcast; a larger one is shuffled.
+BROADCAST_ROWS = 400_000
+#: Cells of the smallest sketch that bounds the difference of two sets from below.
+LEAST_CELLS = 256
+#: Texts that are sent to a copy of their hub's text.
+PARTNERS = 256
 
 U = np.uint64
 
@@ -131,20 +132,35 @@ def cell_sums(values: np.ndarray, cell: np.ndarray, cells: int) -> np.ndarray:
 
 
 def sketch(elements: np.ndarray) -> np.ndarray:
-    """One bit per cell: whether an odd number of the elements fall there.  A differing bit shows a differing element."""
-    cells = SKETCH * 64
+    """One bit per cell: whether an odd number of the elements fall there.  A differing bit shows a differing element.
+
+    There are two cells an element or more, as a power of two, so long sets are told apart as well as short ones.
+    """
+    cells = max(LEAST_CELLS, 1 << (2 * len(elements) - 1).bit_length())
     cell = (mix(elements + U(0xD1B54A32D192ED03)) % U(cells)).astype(np.int64)
     return np.packbits((np.bincount(cell, minlength=cells) & 1).astype(np.uint8)).view(np.int64)
 
 
+def folded(a: str, b: str) -> Column:
+    """Sketch a at the size of b if it is twice as long: its halves, one over the other."""
+    size = F.size(b)
+    halves = F.zip_with(F.slice(a, F.lit(1), size), F.slice(a, size + 1, size), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(a) == 2 * size, halves).otherwise(F.col(a))
+
+
 def differing_bits(a: str, b: str) -> Column:
-    """How many bits of two sketch columns differ: no more than the sets' differing elements."""
-    return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH)), F.lit(0))
+    """How many bits of two sketch columns differ: no more than the sets' differing elements.
+
+    Sketches are of one length or one is twice the other; of others nothing is known, which counts as 0.
+    """
+    bits = F.zip_with(folded(a, b), folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.coalesce(F.aggregate(bits, F.lit(0), lambda total, x: total + x), F.lit(0))
 
 
 def within_reach(n_a: str, sketch_a: str, n_b: str, sketch_b: str, num: int, den: int) -> Column:
     """Whether sets of these sizes and sketches may reach num / den: their sketches show few enough differences."""
-    return (den + num) * differing_bits(sketch_a, sketch_b) <= (den - num) * (F.col(n_a) + F.col(n_b))
+    least, most = F.least(n_a, n_b), F.greatest(n_a, n_b)
+    return (den * least >= num * most) & ((den + num) * differing_bits(sketch_a, sketch_b) <= (den - num) * (least + most))
 
 
 # ---- Spark jobs -------------------------------------------------------------------------------------------------
@@ -179,14 +195,20 @@ def lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64)))
 
 
-def bucket_members(sets: DataFrame) -> DataFrame:
+def bucket_members(signed: DataFrame, tables: Tables) -> DataFrame:
     """(signature, node, weight) of signatures that at least two nodes have; weight: a node's number of such meetings.
 
-    Counts start before the shuffle, and both joins can be split by Spark where a key is frequent.
+    One row of a set gives its signatures, whatever task signed it.  They are shuffled once, for the count and the
+    join alike.
     """
-    rows = sets.select("node", F.explode("signatures").alias("signature"))
-    shared = rows.groupBy("signature").agg(F.count("*").alias("members"), F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
-    members = written(rows.join(shared.select("signature", "members"), "signature").groupBy("signature", "node").agg(F.max("members").alias("members")), "buckets")
+    rows = signed.where(F.size("signatures") > 0)
+    first = rows.groupBy("node").agg(F.min("row_key").alias("row_key"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    repeats = rows.select("node", "row_key").join(first.withColumnRenamed("row_key", "first_key"), "node").where("row_key <> first_key").select("row_key")
+    once = rows.select("row_key", "node", "signatures").join(repeats, "row_key", "left_anti")
+    dealt = once.select("node", F.explode("signatures").alias("signature")).repartition("signature")
+    shared = dealt.groupBy("signature").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
+    met = dealt.join(shared.select("signature", "members"), "signature").groupBy("signature", "node").agg(F.max("members").alias("members"))
+    members = tables.write(met, "buckets")
     weights = members.groupBy("node").agg(F.sum("members").alias("weight"))
     return members.select("signature", "node").join(weights, "node")
 
@@ -196,78 +218,92 @@ def small_side(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
-def linked_pairs(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Those of pairs(a, b), in nodes, whose sets reach num / den, computed from the texts."""
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
-    rows = sets.join(small_side(wanted), "node").groupBy("node").agg(F.min("row_key").alias("row_key"))
+def linked_pairs(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, tables: Tables, width: int, num: int, den: int) -> DataFrame:
+    """Those of pairs(hub, node), as (a, b), whose sets reach num / den, computed from the texts.
+
+    A hub's text is sent once for PARTNERS others or so, each of which is sent to it.
+    """
+    key_of = nodes.select("node", "row_key")
+    parts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("parts"))
+    partners = pairs.join(parts, "hub").select("hub", F.pmod(F.xxhash64("node"), "parts").alias("part"), "node", F.lit(False).alias("is_hub"))
+    hubs = partners.select("hub", "part", F.col("hub").alias("node"), F.lit(True).alias("is_hub")).distinct()
+    wanted = tables.write(partners.union(hubs).join(key_of, "node"), "wanted")
     keyed = docs.select("text", F.xxhash64("doc_id", "text").alias("row_key"))
-    texts = written(keyed.join(small_side(written(rows, "text-keys")), "row_key").groupBy("node").agg(F.min("text").alias("text")), "texts")
-    both = (pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
-            .join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b"))
+    texts = keyed.join(small_side(wanted), "row_key").select("hub", "part", "is_hub", "node", "text")
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        elements = lru_cache(maxsize=64)(lambda text: shingle_hashes(text, width, hashes))
+    def once(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # wholly repeated rows: one a task
+        seen = set()
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
-                a, b = elements(a), elements(b)
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(den * shared >= num * (len(a) + len(b) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+            new = []
+            for key in zip(*(batch.column(c).to_pylist() for c in ("hub", "part", "is_hub", "node"))):
+                new.append(key not in seen)
+                seen.add(key)
+            yield batch.filter(pa.array(new, pa.bool_()))
 
-
-def merge_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, at, hub, last = WordHashes(), None, None, None
+        for batch in batches:
+            linked = []
+            for h, part, is_hub, node, text in zip(*(batch.column(c) for c in ("hub", "part", "is_hub", "node", "text"))):
+                h, part, node = h.as_py(), part.as_py(), node.as_py()
+                if is_hub.as_py():
+                    if at != (h, part):
+                        at, hub, last = (h, part), shingle_hashes(text.as_py(), width, hashes), None
+                elif node != last:
+                    last, other = node, shingle_hashes(text.as_py(), width, hashes)
+                    shared = len(np.intersect1d(hub, other, assume_unique=True))
+                    if den * shared >= num * (len(hub) + len(other) - shared):
+                        linked.append((h, node))
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in linked], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    sent = texts.mapInArrow(once, texts.schema).repartition("hub", "part").sortWithinPartitions("hub", "part", F.desc("is_hub"), "node")
+    return sent.mapInArrow(run, "a long, b long")
+
+
+def merge_classes(classes: DataFrame, links: DataFrame, tables: Tables) -> DataFrame:
     """classes(node, label) after joining the classes that links(a, b) connect.
 
     Labels are contracted: each hooks onto its least neighbour, hooks are followed, and the links between
     the labels that are left go round again; every round at least halves the labels that still have links.
     """
-    edges = links
     label_of = lambda c, name: classes.select(F.col("node").alias(c), F.col("label").alias(name))
-    edges = written(edges.join(label_of("a", "x"), "a").join(label_of("b", "y"), "b").where("x <> y").select("x", "y").distinct(), "edges")
+    edges = tables.write(links.join(label_of("a", "x"), "a").join(label_of("b", "y"), "b").where("x <> y").select("x", "y").distinct(), "edges")
     while not edges.isEmpty():
         ways = edges.union(edges.select("y", "x"))
         hook = ways.groupBy("x").agg(F.min("y").alias("y")).where("y < x")
         twice = hook.alias("h").join(hook.alias("g"), F.col("h.y") == F.col("g.x"), "left").select(F.col("h.x").alias("x"), F.coalesce("g.y", "h.y").alias("y"))
-        jump = written(twice, "hooks")
+        jump = tables.write(twice, "hooks")
         to = lambda c: jump.select(F.col("x").alias(c), F.col("y").alias(f"{c}_to"))
-        classes = written(classes.join(to("label"), "label", "left").select("node", F.coalesce("label_to", "label").alias("label")), "classes")
-        edges = written(edges.join(to("x"), "x", "left").join(to("y"), "y", "left")
-                        .select(F.coalesce("x_to", "x").alias("x"), F.coalesce("y_to", "y").alias("y")).where("x <> y").distinct(), "edges")
+        classes = tables.write(classes.join(to("label"), "label", "left").select("node", F.coalesce("label_to", "label").alias("label")), "classes")
+        edges = tables.write(edges.join(to("x"), "x", "left").join(to("y"), "y", "left")
+                             .select(F.coalesce("x_to", "x").alias("x"), F.coalesce("y_to", "y").alias("y")).where("x <> y").distinct(), "edges")
     return classes
 
 
-def node_classes(docs: DataFrame, sets: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(node, label) for the nodes that share a signature with another; label is the class."""
-    left = written(bucket_members(sets), "members")
-    classes = written(left.select("node").distinct().withColumn("label", F.col("node")), "classes")
-    sketches = sets.where(F.size("sketch") > 0).groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+def node_classes(docs: DataFrame, left: DataFrame, nodes: DataFrame, tables: Tables, width: int, num: int, den: int) -> DataFrame:
+    """(node, label) for the nodes of left(signature, node, weight), the shared signatures; label is the class."""
+    classes = tables.write(left.select("node").distinct().withColumn("label", F.col("node")), "classes")
+    sketch_of = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
     hubs_each = FIRST_HUBS
     while not left.isEmpty():
-        labelled = left.join(classes, "node")
-        may_link = F.lit(True)
-        if hubs_each > FIRST_HUBS:  # what the first hubs left may have many near misses
-            labelled = labelled.join(sketches, "node")
-            may_link = within_reach("n", "sketch", "hub_n", "hub_sketch", num, den)
-        labelled = written(labelled, "labelled")
+        labelled = tables.write(left.join(classes, "node"), "labelled")
         best = Window.partitionBy("signature").orderBy(F.desc("weight"), "node")
         hubs = labelled.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= hubs_each)
-        hub = hubs.drop("rank", "weight").withColumnsRenamed({"node": "hub", "label": "hub_label", "n": "hub_n", "sketch": "hub_sketch"})
-        pairs = (labelled.join(hub, "signature").where((F.col("label") != F.col("hub_label")) & may_link)
-                 .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
-        if hubs_each == FIRST_HUBS:  # one hub a bucket makes few pairs: they are looked at once each, not in every bucket
-            sketch_of = lambda c: sketches.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-            pairs = (pairs.join(sketch_of("a"), "a").join(sketch_of("b"), "b")
-                     .where(within_reach("n_a", "sketch_a", "n_b", "sketch_b", num, den)).select("a", "b"))
-        pairs = written(pairs, "pairs")
-        classes = merge_classes(classes, written(linked_pairs(docs, sets, pairs, width, num, den), "links"))
+        hub = hubs.select("signature", F.col("node").alias("hub"), F.col("label").alias("hub_label"))
+        met = labelled.join(hub, "signature").where(F.col("label") != F.col("hub_label"))
+        # a pair is looked at once, not in every bucket and not from both ends
+        pairs = met.groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).agg(F.min("hub").alias("hub"))
+        pairs = (pairs.join(sketch_of("a"), "a").join(sketch_of("b"), "b").where(within_reach("n_a", "sketch_a", "n_b", "sketch_b", num, den))
+                 .select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node")))
+        pairs = tables.write(pairs, "pairs")
+        links = tables.write(linked_pairs(docs, nodes, pairs, tables, width, num, den), "links")
+        classes = merge_classes(classes, links, tables)
         rest = left.join(hubs.select("signature", "node"), ["signature", "node"], "left_anti")
         apart = rest.join(classes, "node").groupBy("signature").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        left = written(rest.join(apart.select("signature"), "signature", "left_semi"), "members")
+        left = tables.write(rest.join(apart.select("signature"), "signature", "left_semi"), "members")
         hubs_each *= MORE_HUBS
+    for name in ("members", "labelled", "pairs", "wanted", "links", "edges", "hooks"):
+        tables.drop(name)
     return classes
 
 
@@ -280,8 +316,17 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
     id are separate documents; a NULL id is a component's only if it has no other.  An empty table gives
     none.  Other columns are not read.  Sets are told apart by 64-bit digests of 64-bit shingle hashes.
     """
-    sets = written(signed_sets(docs, width, Bands(num, den)), "sets")
-    classes = node_classes(docs, sets.where("node IS NOT NULL"), width, num, den)
+    tables = Tables(docs.sparkSession)
+    signed = tables.write(signed_sets(docs, width, Bands(num, den)), "signed")
+    left = tables.write(bucket_members(signed, tables), "members")
+    tables.drop("buckets")
+    with_sketch = signed.where(F.size("sketch") > 0).join(left.select("node").distinct(), "node", "left_semi")
+    nodes = tables.write(with_sketch.groupBy("node").agg(
+        F.min_by(F.struct("row_key", F.col("n_shingles").alias("n"), "sketch"), "row_key").alias("s")).select("node", "s.*"), "nodes")
+    sets = tables.write(signed.select("doc_id", "node", "n_shingles"), "sets")
+    tables.drop("signed")
+    classes = node_classes(docs, left, nodes, tables, width, num, den)
+    tables.drop("nodes")
     members = sets.join(classes, "node", "left").select("doc_id", "n_shingles", F.coalesce("label", "node").alias("label"))
     least = members.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return members.join(least, "label", "left").select(

@@ -71,7 +71,37 @@ def test_similar_sets_share_a_signature():
                 b = c
             same = set(J.signatures(a, bands).tolist()) & set(J.signatures(b, bands).tolist())
             assert same or np.array_equal(a, b) or bands.differences(bands.of(len(a))[-1]) == 0
-            assert sum(int(x).bit_count() for x in (J.sketch(a) ^ J.sketch(b)).view(np.uint64)) <= len(np.setxor1d(a, b))
+            x, y = J.sketch(a), J.sketch(b)
+            size = min(len(x), len(y))
+            x, y = (np.bitwise_xor.reduce(z.reshape(-1, size), axis=0) for z in (x, y))
+            assert sum(int(bits).bit_count() for bits in (x ^ y).view(np.uint64)) <= len(np.setxor1d(a, b))
+
+
+def test_sketches_keep_linked_sets_and_tell_long_ones_apart(shipped):
+    r = np.random.default_rng(2)
+    rows, truth = [], []
+    for n in (3, 100, 126, 130, 1000, 6000):
+        a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
+        for drop, add in ((0, 0), (1, 1), (n // 9, 0), (0, n // 5), (n // 20, n // 9), (n // 2, n // 2), (n - 1, n)):
+            b = np.unique(np.append(a[drop:], r.integers(0, 1 << 63, add).astype(np.uint64)))
+            shared = len(np.intersect1d(a, b))
+            truth.append((100 * shared >= 80 * (len(a) + len(b) - shared), shared / (len(a) + len(b) - shared)))
+            rows.append((len(truth) - 1, len(a), J.sketch(a).tolist(), len(b), J.sketch(b).tolist()))
+    df = shipped.createDataFrame(rows, "i int, n_a long, s_a array<long>, n_b long, s_b array<long>")
+    for ends in (("n_a", "s_a", "n_b", "s_b"), ("n_b", "s_b", "n_a", "s_a")):
+        reach = dict(df.select("i", J.within_reach(*ends, 80, 100)).collect())
+        for i, (linked, similarity) in enumerate(truth):
+            assert reach[i] or not linked
+            assert not reach[i] or similarity > 0.5  # also of thousands of elements
+
+
+def test_a_hub_of_many_parts_and_repeated_rows(shipped, monkeypatch):
+    monkeypatch.setattr(J, "PARTNERS", 7)
+    rows = near_copies(seed=5, group=60)
+    rows += [rows[0]] * 30 + [(9, rows[1][1])] * 5
+    docs = shipped.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = sorted((tuple(r) for r in J.jaccard_components(docs, 3, 90, 100).collect()), key=str)
+    assert got == brute(rows, 3, 90)
 
 
 def test_sets_of_texts():
