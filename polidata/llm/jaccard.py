@@ -33,7 +33,7 @@ SPARE, DIFFERENCES_PER_SPARE = 1, 16
 BAND_RATIO = 1.5
 #: Hubs of a bucket in the first round, and how many times more in each further one.
 FIRST_HUBS, MORE_HUBS = 1, 8
-#: Up to so many rows (four longs and a flag each) a table of texts to look up is broadcast; a larger one is shuffled.
+#: Up to so many rows (four longs and a flag each at most) a table of keys to look up is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 400_000
 #: Cells of the smallest sketch that bounds the difference of two sets from below.
 LEAST_CELLS = 256
@@ -204,7 +204,7 @@ def bucket_members(signed: DataFrame, tables: Tables) -> DataFrame:
     rows = signed.where(F.size("signatures") > 0)
     first = rows.groupBy("node").agg(F.min("row_key").alias("row_key"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     repeats = rows.select("node", "row_key").join(first.withColumnRenamed("row_key", "first_key"), "node").where("row_key <> first_key").select("row_key")
-    once = rows.select("row_key", "node", "signatures").join(repeats, "row_key", "left_anti")
+    once = rows.select("row_key", "node", "signatures").join(small_side(tables.write(repeats, "repeats")), "row_key", "left_anti")
     dealt = once.select("node", F.explode("signatures").alias("signature")).repartition("signature")
     shared = dealt.groupBy("signature").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
     met = dealt.join(shared.select("signature", "members"), "signature").groupBy("signature", "node").agg(F.max("members").alias("members"))
@@ -286,15 +286,21 @@ def node_classes(docs: DataFrame, left: DataFrame, nodes: DataFrame, tables: Tab
     sketch_of = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
     hubs_each = FIRST_HUBS
     while not left.isEmpty():
-        labelled = tables.write(left.join(classes, "node"), "labelled")
+        labelled = left.join(classes, "node")
+        may_link = F.lit(True)
+        if hubs_each > FIRST_HUBS:  # what the first hubs left may have many near misses, which are dropped where they meet
+            labelled = labelled.join(nodes.select("node", "n", "sketch"), "node")
+            may_link = within_reach("n", "sketch", "hub_n", "hub_sketch", num, den)
+        labelled = tables.write(labelled, "labelled")
         best = Window.partitionBy("signature").orderBy(F.desc("weight"), "node")
         hubs = labelled.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= hubs_each)
-        hub = hubs.select("signature", F.col("node").alias("hub"), F.col("label").alias("hub_label"))
-        met = labelled.join(hub, "signature").where(F.col("label") != F.col("hub_label"))
+        hub = hubs.drop("rank", "weight").withColumnsRenamed({"node": "hub", "label": "hub_label", "n": "hub_n", "sketch": "hub_sketch"})
+        met = labelled.join(hub, "signature").where((F.col("label") != F.col("hub_label")) & may_link)
         # a pair is looked at once, not in every bucket and not from both ends
         pairs = met.groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).agg(F.min("hub").alias("hub"))
-        pairs = (pairs.join(sketch_of("a"), "a").join(sketch_of("b"), "b").where(within_reach("n_a", "sketch_a", "n_b", "sketch_b", num, den))
-                 .select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node")))
+        if hubs_each == FIRST_HUBS:  # one hub a bucket makes few pairs
+            pairs = pairs.join(sketch_of("a"), "a").join(sketch_of("b"), "b").where(within_reach("n_a", "sketch_a", "n_b", "sketch_b", num, den))
+        pairs = pairs.select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node"))
         pairs = tables.write(pairs, "pairs")
         links = tables.write(linked_pairs(docs, nodes, pairs, tables, width, num, den), "links")
         classes = merge_classes(classes, links, tables)
@@ -320,6 +326,7 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
     signed = tables.write(signed_sets(docs, width, Bands(num, den)), "signed")
     left = tables.write(bucket_members(signed, tables), "members")
     tables.drop("buckets")
+    tables.drop("repeats")
     with_sketch = signed.where(F.size("sketch") > 0).join(left.select("node").distinct(), "node", "left_semi")
     nodes = tables.write(with_sketch.groupBy("node").agg(
         F.min_by(F.struct("row_key", F.col("n_shingles").alias("n"), "sketch"), "row_key").alias("s")).select("node", "s.*"), "nodes")
@@ -339,6 +346,10 @@ def one_per_group(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100
     Of rows that repeat an id whole, one stays; documents without words all stay.
     """
     found = jaccard_components(docs, width, num, den)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return kept.dropDuplicates()
+    key = "kept_key"
+    while key in docs.columns:
+        key += "_"
+    key_of = F.concat(F.when(F.col("doc_id").isNull(), "").otherwise("="), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias(key)
+    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key_of).distinct()
+    # rows are shuffled by the key, which serves the join and the repeated rows alike
+    return docs.select("*", key_of).join(keep, key, "left_semi").dropDuplicates().drop(key)
