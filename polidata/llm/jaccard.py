@@ -205,9 +205,12 @@ def bucket_members(signed: DataFrame, tables: Tables) -> DataFrame:
     first = rows.groupBy("node").agg(F.min("row_key").alias("row_key"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     repeats = rows.select("node", "row_key").join(first.withColumnRenamed("row_key", "first_key"), "node").where("row_key <> first_key").select("row_key")
     once = rows.select("row_key", "node", "signatures").join(small_side(tables.write(repeats, "repeats")), "row_key", "left_anti")
-    dealt = once.select("node", F.explode("signatures").alias("signature")).repartition("signature")
-    shared = dealt.groupBy("signature").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
-    met = dealt.join(shared.select("signature", "members"), "signature").groupBy("signature", "node").agg(F.max("members").alias("members"))
+    dealt = once.select("node", F.explode("signatures").alias("signature")).where("signature IS NOT NULL").repartition("signature")
+    bits = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"bits_{i}") for i in range(2)]
+    shared = dealt.groupBy("signature").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("a"), F.max("node").alias("b"), *bits).where("a <> b")
+    # signatures with the same members (their number, least, largest and 128 bits of digest) are one bucket
+    kept = shared.groupBy("size", "a", "b", "bits_0", "bits_1").agg(F.min("signature").alias("signature"), F.sum("size").alias("members"))
+    met = dealt.join(kept.select("signature", "members"), "signature").groupBy("signature", "node").agg(F.max("members").alias("members"))
     members = tables.write(met, "buckets")
     weights = members.groupBy("node").agg(F.sum("members").alias("weight"))
     return members.select("signature", "node").join(weights, "node")
