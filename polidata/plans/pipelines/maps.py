@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from polidata.operators.geo import bboxes, nearest_polygon, point_in_polygon, poly_cells, polygon_edges
+from polidata.operators.geo import bboxes, nearest_polygon, point_in_polygon, polygon_cover, polygon_edges, stored_map
 from polidata.operators.windows import keep_group_max
 
 POLY = ["assembly", "state_name", "district"]
@@ -13,10 +13,11 @@ POLY = ["assembly", "state_name", "district"]
 
 def load_maps(vertices: DataFrame, cell_size: float) -> dict[str, DataFrame]:
     """Vertex rows (assembly, state_name, district, ring, seq, x, y) ->
-    edge table, bounding boxes and grid cells (write partitioned by assembly)."""
+    edge table, bounding boxes and cell cover (write partitioned by assembly).  A stored cover serves
+    ``point_in_polygon`` as its ``cover``."""
     edges = polygon_edges(vertices, POLY)
     return {"district_edges": edges, "district_bbox": bboxes(edges, POLY),
-            "district_cells": poly_cells(edges, POLY, cell_size).select(*POLY, "cx", "cy")}
+            "district_cells": polygon_cover(edges, POLY, cell_size)}
 
 
 def plant_set(f860: DataFrame, all_years: bool = False) -> DataFrame:
@@ -37,6 +38,7 @@ def plants_to_districts(plants: DataFrame, states: DataFrame, edges: DataFrame,
     """Every plant x every map version: containing district, else the nearest
     district of the plant's own state (distance in a plane whose x axis is
     scaled by the cosine of the state's mean latitude)."""
+    edges, cover = stored_map(edges, POLY, cell_size)
     st = states.select(F.col("state_code").alias("state"), "state_name", "fips")
     p = plants.join(st, "state", "left").withColumn("x", F.col("longitude")).withColumn("y", F.col("latitude"))
     # per map version and state: the x-axis scale of the distance plane.  Joining it on the plant's state pairs each plant with every map
@@ -46,7 +48,7 @@ def plants_to_districts(plants: DataFrame, states: DataFrame, edges: DataFrame,
     pm = p.join(scale, "state_name")
     pm = pm.withColumn("pid", F.concat_ws("|", F.col("plant_code").cast("string"), F.col("assembly").cast("string")))
     inside = point_in_polygon(pm.select("pid", "x", "y", "assembly"), edges, POLY, cell_size, pid="pid",
-                              shared_keys=["assembly"])
+                              shared_keys=["assembly"], cover=cover)
     inside = inside.groupBy("pid").agg(F.min(F.struct("state_name", "district")).alias("_m")) \
         .select("pid", F.col("_m.district").alias("district"), F.lit("inside").alias("match_method"))
     rest = pm.join(inside.select("pid"), "pid", "left_anti")

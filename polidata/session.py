@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -77,6 +78,15 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared checkpoint folder and read back.
+
+    Like ``cut_lineage``, but the plans that follow know its size, so small tables are broadcast and large ones are not."""
+    path = os.path.join(checkpoint_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

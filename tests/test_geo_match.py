@@ -135,3 +135,45 @@ def test_prefix_filter_is_exact(spark):
         need = {(a, b) for a, _, x in recs for b, _, y in cands if 1 - M.jaro_similarity_py(x, y) <= cut}
         assert need <= got
         assert len(got) < len(recs) * len(cands)
+
+
+def test_cover_cells_lie_inside_and_are_few(spark):
+    """Cells of the cover: those inside hold no edge and lie in the polygon; with the border they hold all of it."""
+    e = _edges(spark)
+    cover = G.polygon_cover(e, ["poly"], 0.03)
+    cells = cover.collect()
+    edges = [(r.poly, r.x1, r.y1, r.x2, r.y2) for r in e.collect()]
+
+    def odd(poly, px, py):
+        return sum((y1 > py) != (y2 > py) and px < (x2 - x1) * (py - y1) / (y2 - y1) + x1
+                   for p, x1, y1, x2, y2 in edges if p == poly) % 2 == 1
+
+    rnd = random.Random(4)
+    for c in cells:
+        side = 0.03 * G.STEP ** c.lvl
+        assert c.inside or c.lvl == 0
+        if c.inside:
+            assert all(odd(c.poly, (c.cx + rnd.random()) * side, (c.cy + rnd.random()) * side) for _ in range(5))
+    assert {c.lvl for c in cells if c.inside} >= {0, 1}
+    held = {(c.poly, c.lvl, c.cx, c.cy) for c in cells}
+    assert len(held) == len(cells)
+    pts = [(i, rnd.uniform(-1, 14), rnd.uniform(-1, 5)) for i in range(400)]
+    want = {(i, poly) for i, px, py in pts for poly in (0, 1, 2) if odd(poly, px, py)}
+    frame = spark.createDataFrame(pts, "pid int, x double, y double")
+    assert {tuple(r) for r in G.point_in_polygon(frame, e, ["poly"], 0.03).collect()} == want
+    assert {tuple(r) for r in G.point_in_polygon(frame, e, ["poly"], 0.03, cover=cover).collect()} == want
+
+
+def test_nearest_polygon_of_many_edges_far_and_near(spark):
+    """Points far off, on the grid and tied, against a ring of 800 edges; cells far smaller than the map."""
+    rnd = random.Random(6)
+    ring = [(p, 0, i, p * 12 + (4 + rnd.random()) * math.cos(i * math.tau / 400), (4 + rnd.random()) * math.sin(i * math.tau / 400))
+            for p in (0, 1) for i in range(400)]
+    e = G.polygon_edges(spark.createDataFrame(ring, "poly int, ring int, seq int, x double, y double"), ["poly"]).withColumn("state", F.lit("S"))
+    pts = [(i, rnd.uniform(-300, 300), rnd.uniform(-300, 300)) for i in range(30)] + \
+        [(100 + i, float(i), 0.0) for i in range(-6, 20)] + [(200, 0.0, 1e6)]
+    frame = spark.createDataFrame([(*p, "S") for p in pts] + [(300, 0.0, 0.0, "T")], "pid int, x double, y double, state string")
+    got = {r.pid: (r.poly, r.dist) for r in G.nearest_polygon(frame, e, ["state"], "poly", 0.05).collect()}
+    want = _brute_nearest(pts, [(r.poly, r.x1, r.y1, r.x2, r.y2) for r in e.collect()])
+    assert set(got) == set(want)
+    assert all(got[i][0] == want[i][1] and abs(got[i][1] - want[i][0]) <= 1e-9 * max(1, want[i][0]) for i in want)
