@@ -378,7 +378,7 @@ def q_dd_state(spark: SparkSession, sf: str) -> DataFrame:
     pipeline reads them back and full-outer-joins the two kinds."""
     import os
     from polidata.plans.pipelines.weather import degree_days_by_state
-    from polidata.sources.readers import read_lines
+    from polidata.sources.readers import numbered_lines
     from polidata.sources.writers import scratch_dir
     base = scratch_dir(spark, "degree-days")
     e = table(spark, sf, "events").select("user_id", F.date_format("ts", "yyyyMMdd").alias("d"), "event_type")
@@ -399,7 +399,7 @@ def q_dd_state(spark: SparkSession, sf: str) -> DataFrame:
         lines = body.unionByName(heads).repartition("bucket").sortWithinPartitions("bucket", "line_no")
         lines.select("bucket", "value").write.mode("overwrite").partitionBy("bucket") \
             .text(os.path.join(base, f"States.{kind}"))
-    out = degree_days_by_state(read_lines(spark, os.path.join(base, "*", "*", "*.txt")), preamble=3)
+    out = degree_days_by_state(numbered_lines(spark, os.path.join(base, "*", "*", "*.txt")), preamble=3)
     return out.select("statecode", F.col("date").cast("string").alias("date"), "cdd", "hdd")
 
 

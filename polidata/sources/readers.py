@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,18 +28,34 @@ def read_csv_after_preamble(spark: SparkSession, paths, schema, preamble: int, s
                             header: bool = True) -> DataFrame:
     """CSV whose first ``preamble`` lines are free text.
 
-    Line positions need whole-file order, so each (small) report file is read
-    as one value and split; every file keeps its own preamble and header.
-    For large files use ``read_csv_dropping`` (order-free)."""
-    raw = spark.read.text(paths, wholetext=True) \
-        .select(F.col("_metadata.file_path").alias("file_path"), "value")
-    lines = raw.select("file_path", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
+    Every file keeps its own preamble and header; large files are read in splits (``numbered_lines``)."""
+    lines = numbered_lines(spark, paths)
     first = preamble + (1 if header else 0)
     lines = lines.filter((F.col("line_no") >= first) & (F.length("line") > 0))
     parsed = F.from_csv("line", _ddl(schema), {"sep": sep, "mode": "PERMISSIVE"})
     return lines.select("file_path", "line_no", parsed.alias("r")).select("file_path", "line_no", "r.*")
 
 
+def numbered_lines(spark: SparkSession, paths) -> DataFrame:
+    """(file_path, line_no, line) of text files, line_no from 0, with files read in splits.
+
+    A split is read in order by one task, so its lines are numbered by the row counter of the task; a first pass
+    counts the lines and the first row of each split, and the counts summed up over the splits before it in its file
+    turn that into a line number.  Lines end in LF or CRLF.  Should the two passes ever be cut differently, the
+    query fails instead of numbering wrongly.  No line is held together with its file, so a file has no size limit.
+    """
+    raw = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("_start"),
+        F.spark_partition_id().alias("_task"), F.monotonically_increasing_id().alias("_row"), "value")
+    splits = raw.groupBy("file_path", "_start", "_task").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy("file_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_n")
+    j = raw.join(splits, ["file_path", "_start", "_task"], "left")
+    number = F.when(F.col("_row") >= F.col("_first"), F.col("_before") + F.col("_row") - F.col("_first")) \
+        .otherwise(F.raise_error(F.lit("the splits of a file changed between two passes")).cast("long"))
+    return j.select("file_path", number.alias("line_no"), F.regexp_replace("value", "\r$", "").alias("line"))
+
+
 def read_csv_dropping(spark: SparkSession, paths, schema, drop_regex: str, header_regex: str | None = None,
                       sep: str = ",") -> DataFrame:
     """CSV where preamble/header lines are recognised by content (scalable S2)."""
@@ -167,12 +183,6 @@ def html_table_rows(html: Column, k: int = 0) -> Column:
         F.regexp_extract_all(r, F.lit(r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"), 1), strip_tags))
 
 
-def read_lines(spark: SparkSession, paths) -> DataFrame:
-    """(file_path, line_no, line) for small report files, in file order."""
-    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
-    return raw.select("file_path", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
-
-
 def wide_text_to_long(lines: DataFrame, header_line: int, sep: str = "|", key: str = "key") -> DataFrame:
     """Delimited text whose header names vary by file (dates as columns) ->
     (file_path, key, name, value) without a fixed schema."""

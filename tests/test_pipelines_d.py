@@ -5,7 +5,7 @@ import datetime as dt
 from polidata.plans.pipelines import maps as MP
 from polidata.plans.pipelines import spending as SP
 from polidata.plans.pipelines import weather as WE
-from polidata.sources.readers import read_lines
+from polidata.sources.readers import numbered_lines
 
 
 def _w(path, text):
@@ -17,7 +17,7 @@ def test_d15_degree_days_by_state(spark, tmp_path):
     pre = "Degree days\nweighted\n\n"
     _w(tmp_path / "2016_StatesCONUS.Cooling.txt", pre + "Region|20160101|20160102|20160229\nAL|0|3|1\nTX|5|x|2\n")
     _w(tmp_path / "2016_StatesCONUS.Heating.txt", pre + "Region|20160101|20160103\nAL|20|18\n")
-    out = WE.degree_days_by_state(read_lines(spark, str(tmp_path)))
+    out = WE.degree_days_by_state(numbered_lines(spark, str(tmp_path)))
     got = {(r.statecode, r.date): (r.cdd, r.hdd) for r in out.collect()}
     assert got[("AL", dt.date(2016, 1, 1))] == (0.0, 20.0)
     assert got[("AL", dt.date(2016, 1, 3))] == (None, 18.0)

@@ -1,4 +1,5 @@
 import os
+import random
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,3 +99,40 @@ def test_tag_from_path(spark, tmp_path):
     _write(tmp_path / "hou_2014.csv", "a,b\nx,1\n")
     df = R.read_csv(spark, str(tmp_path), SCHEMA, glob="*.csv")
     assert R.tag_from_path(df, r"\d{4}", "raceYear", "int").first().raceYear == 2014
+
+
+def test_lines_of_split_files_are_numbered(spark, tmp_path):
+    """Files cut into many splits: the same numbers as reading each file from its start, whatever the line ends."""
+    rnd = random.Random(9)
+    want = {}
+    for name, end, n in (("a", "\n", 400), ("b", "\r\n", 250), ("c", "\n", 1), ("d", "\n", 0)):
+        lines = ["x" * rnd.randint(0, 30) + str(i) * rnd.randint(0, 2) for i in range(n)]
+        (tmp_path / f"{name}.txt").write_text(end.join(lines) + (end if n and name != "a" else ""), newline="")
+        want |= {(name, i): x for i, x in enumerate(lines)}
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size, cost in (("100", "0"), ("700", "10"), ("128m", "4m")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", cost)
+            df = R.numbered_lines(spark, str(tmp_path))
+            rows = [((r.file_path.rsplit("/", 1)[1][0], r.line_no), r.line) for r in df.collect()]
+            assert len(rows) == len(want) and dict(rows) == want
+            if size == "100":
+                assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_preamble_and_header_of_each_split_file(spark, tmp_path):
+    for name, n in (("a", 300), ("b", 80)):
+        (tmp_path / f"{name}.csv").write_text("about, this\n\nid,v\n" + "".join(f"{i},{name}{i}\n" for i in range(n)))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        got = R.read_csv_after_preamble(spark, str(tmp_path), "id int, v string", preamble=2).collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert sorted((r.v, r.id, r.line_no) for r in got) == sorted((f"{f}{i}", i, i + 3) for f, n in (("a", 300), ("b", 80)) for i in range(n))
