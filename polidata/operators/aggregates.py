@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -51,19 +51,15 @@ def top2_wide(df: DataFrame, keys: list[str], rank: str, fields: list[str]) -> D
 def top2(df: DataFrame, keys: list[str], value: str, tiebreak: str, fields: list[str]) -> DataFrame:
     """First and second row per group by ``value`` desc, ties by ``tiebreak`` asc.
 
-    Two partial aggregates (max of a struct) instead of a ranking window: a hot
-    group is reduced map-side and never sorted in one task.  Output:
-    keys + ``<f>_1``/``<f>_2`` for f in ``fields`` (NULL when there is no 2nd).
+    One scan: a rank of at most two is a group limit, so every task sends two rows of a group and a hot group is
+    never sorted in one task.  Output: keys + ``<f>_1``/``<f>_2`` for f in ``fields`` (NULL when there is no 2nd);
+    rows with a NULL key are a group of their own, NULL values come last, a winner that occurs twice is its own runner-up.
     """
     rec = F.struct(F.col(value).alias("_v"), (-F.col(tiebreak)).alias("_t"),
                    *[F.col(f).alias(f) for f in fields])
-    first = df.groupBy(*keys).agg(F.max(rec).alias("_r1"))
-    ranked = df.select(*keys, rec.alias("_r")).join(first, keys)
-    is_first = F.col("_r").eqNullSafe(F.col("_r1"))
-    out = ranked.groupBy(*keys).agg(F.first("_r1").alias("_r1"), F.count_if(is_first).alias("_n"),
-                                    F.max(F.when(~is_first, F.col("_r"))).alias("_r2"))
-    # a winner that occurs twice is its own runner-up
-    out = out.withColumn("_r2", F.when(F.col("_n") > 1, F.col("_r1")).otherwise(F.col("_r2")))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_r").desc()))
+    best = df.select(*keys, rec.alias("_r")).withColumn("_k", place).filter(F.col("_k") <= 2)
+    out = best.groupBy(*keys).agg(*[F.max(F.when(F.col("_k") == k, F.col("_r"))).alias(f"_r{k}") for k in (1, 2)])
     return out.select(*keys, *[F.col(f"_r1.{f}").alias(f"{f}_1") for f in fields],
                       *[F.col(f"_r2.{f}").alias(f"{f}_2") for f in fields])
 

@@ -197,32 +197,41 @@ def district_emissions(districts: DataFrame, pages: DataFrame, url_prefix: str)
 
 
 # -- D19 --------------------------------------------------------------------
-# Which fuel-use source applies the per-unit factor (others: per mmbtu).
-PER_UNIT_SOURCES = (2, 3)
+# Source number, factor column that applies to its amounts, whether rows without a fuel code stay.
+SOURCE_RULES = [(1, "kg_co2_per_mmbtu", True), (2, "kg_co2_per_unit", False), (3, "kg_co2_per_unit", False),
+                (4, "kg_co2_per_mmbtu", False), (5, "kg_co2_per_mmbtu", False)]
 
 
-def co2_state_year(fuel: dict[int, DataFrame], factors: DataFrame, locations: DataFrame, states: DataFrame,
-                   sectors: DataFrame, exclude_states=("ME", "ID", "VT")) -> dict[str, DataFrame]:
+def fuel_fact(fuel: dict[int, DataFrame]) -> DataFrame:
+    """Fuel tables by source number -> one long fact (src, year, plant_id, esource, con)."""
+    return union_fill([df.select(F.lit(src).alias("src"), F.col("year").cast("int").alias("year"), "plant_id", "esource",
+                                 F.col("con").cast("double").alias("con")) for src, df in sorted(fuel.items())])
+
+
+def co2_state_year(fuel: dict[int, DataFrame] | DataFrame, factors: DataFrame, locations: DataFrame, states: DataFrame,
+                   sectors: DataFrame, exclude_states=("ME", "ID", "VT"), rules: DataFrame | None = None) -> dict[str, DataFrame]:
     """Modelled CO2 per state-year against the published electric-power total.
 
-    ``fuel``: source number -> (year, plant_id, esource, con); sources 1 keeps
-    a NULL fuel code (it then finds no factor), the others drop it.
-    ``locations``: (plant_id, assembly, fips); ``states``: (fips, state_code,
+    ``fuel``: the long fact of ``fuel_fact``, or its tables by source number.  ``rules`` (src, factor, keep_null) says
+    for each source which factor column applies and whether a NULL fuel code stays (it then finds no factor, so its CO2
+    is 0); by default SOURCE_RULES.  A source without a rule is left out.
+    ``locations``: (plant_id, assembly, fips), the place of a plant in each assembly; ``states``: (fips, state_code,
     state_name); ``sectors``: eia_sect (state_name, sector, variable, year, value).
     """
-    tagged = []
-    for src, df in sorted(fuel.items()):
-        d = df.select(F.col("year").cast("int").alias("year"), "plant_id", "esource", F.col("con").cast("double"))
-        if src != 1:
-            d = d.filter(F.col("esource").isNotNull())
-        tagged.append(d.withColumn("src", F.lit(src)))
-    con = union_fill(tagged).groupBy("src", "year", "plant_id", "esource").agg(F.sum("con").alias("con"))
-    fac = factors.select(F.col("esource").alias("_fe"), "kg_co2_per_mmbtu", "kg_co2_per_unit")
-    e = con.join(fac, con.esource.eqNullSafe(fac._fe), "left").drop("_fe")
-    factor = F.when(F.col("src").isin(*PER_UNIT_SOURCES), F.col("kg_co2_per_unit")).otherwise(F.col("kg_co2_per_mmbtu"))
-    e = e.withColumn("co2", F.coalesce(F.col("con") * factor, F.lit(0.0)))
+    fact = fuel_fact(fuel) if isinstance(fuel, dict) else fuel
+    if rules is None:
+        rules = fact.sparkSession.createDataFrame(SOURCE_RULES, "src int, factor string, keep_null boolean")
+    tagged = fact.join(rules, "src").filter(F.col("esource").isNotNull() | F.col("keep_null"))
+    con = tagged.groupBy("factor", "year", "plant_id", "esource").agg(F.sum(F.col("con").cast("double")).alias("con"))
+    # one row per fuel and kind of factor, so that the rule is part of the join
+    kinds = ["kg_co2_per_mmbtu", "kg_co2_per_unit"]
+    fac = factors.select("esource", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("factor"), F.col(k).cast("double").alias("kg")) for k in kinds])).alias("f")).select("esource", "f.*")
+    e = con.join(fac, ["esource", "factor"], "left")
+    e = e.withColumn("co2", F.coalesce(F.col("con") * F.col("kg"), F.lit(0.0)))
     plants = e.groupBy("year", "plant_id").agg(F.sum("co2").alias("co2")) \
         .withColumn("assembly", assembly_of_year(F.col("year")))
+    # a plant belongs to the place it had in the assembly of the year
     loc = locations.select("plant_id", "assembly", "fips")
     x1 = plants.join(loc, ["plant_id", "assembly"], "left").filter(F.col("fips").isNotNull()) \
         .groupBy("year", "fips").agg((F.sum("co2") / 1e9).alias("co2"))

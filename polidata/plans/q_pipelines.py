@@ -931,3 +931,68 @@ FROM customer
 
 QUERIES["q_voteview_members"] = q_voteview_members
 ORACLE["q_voteview_members"] = SQL_VOTEVIEW_MEMBERS
+
+
+# -- D19: modelled CO2 per state and year against the published total ---------------------------
+def _co2(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Line items as fuel use of five sources (some without a fuel code), suppliers as plants that may move between
+    assemblies or have no place, nations as states and fuels, orders as the published totals."""
+    from polidata.plans.pipelines.energy import co2_state_year
+    li, s, n = table(spark, sf, "lineitem"), table(spark, sf, "supplier"), table(spark, sf, "nation")
+    fuel = li.select((F.col("l_linenumber") % 5 + 1).cast("int").alias("src"), F.year("l_shipdate").alias("year"),
+                     F.col("l_suppkey").alias("plant_id"),
+                     F.when(F.col("l_partkey") % 11 > 0, F.concat(F.lit("F"), (F.col("l_partkey") % 7).cast("string"))).alias("esource"),
+                     (F.col("l_quantity").cast("double") * 1e6).alias("con"))
+    factors = n.filter(F.col("n_nationkey") < 6).select(
+        F.concat(F.lit("F"), F.col("n_nationkey").cast("string")).alias("esource"),
+        (F.col("n_nationkey") * 1.5 + 50).alias("kg_co2_per_mmbtu"), (F.col("n_nationkey") * 10 + 3).alias("kg_co2_per_unit"))
+    moved = ((F.col("assembly") >= 104) & (F.col("s_suppkey") % 10 == 0)).cast("int")
+    places = s.filter(F.col("s_suppkey") % 17 != 0).withColumn("assembly", F.explode(F.sequence(F.lit(102), F.lit(105)))).select(
+        F.col("s_suppkey").alias("plant_id"), "assembly", ((F.col("s_nationkey") + moved) % 25).cast("int").alias("fips"))
+    states = n.select(F.col("n_nationkey").cast("int").alias("fips"), F.when(F.col("n_nationkey") == 3, "ME").otherwise(
+        F.concat(F.lit("S"), F.col("n_nationkey").cast("string"))).alias("state_code"), F.col("n_name").alias("state_name"))
+    paid = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")) \
+        .filter(F.col("c_nationkey") != 8).groupBy(F.year("o_orderdate").alias("year"), F.col("c_nationkey").alias("fips")).agg(
+        (F.sum(F.col("o_totalprice").cast("double")) / 1e4).alias("value"))
+    paid = paid.withColumn("value", F.when(F.col("fips") == 7, 0.0).otherwise(F.col("value"))).join(states.select("fips", "state_name"), "fips")
+    sectors = paid.withColumn("k", F.explode(F.array(F.lit("electric power"), F.lit("industrial")))).select(
+        "state_name", F.col("k").alias("sector"), F.lit("Total").alias("variable"), "year", "value")
+    return co2_state_year(fuel, factors, places, states, sectors)
+
+
+def q_co2_state_year(spark: SparkSession, sf: str) -> DataFrame:
+    z = _co2(spark, sf)["co2_state_year"]
+    return z.select("year", "state_code", F.round("co2", 6).alias("co2"), F.round("value", 6).alias("value"), F.round("r", 6).alias("r"))
+
+
+def q_co2_ratios(spark: SparkSession, sf: str) -> DataFrame:
+    box = _co2(spark, sf)["ratio_distribution"]
+    figures = ["q1", "median", "q3", "whisker_lo", "whisker_hi"]
+    return box.select("year", *[F.round(c, 6).alias(c) for c in figures], "n_outliers", "n")
+
+
+_CO2_SQL = """WITH fuel AS (SELECT l_linenumber % 5 + 1 AS src, year(l_shipdate) AS year, l_suppkey AS plant_id,
+    CASE WHEN l_partkey % 11 > 0 THEN concat('F', l_partkey % 7) END AS esource, CAST(l_quantity AS DOUBLE) * 1e6 AS con FROM lineitem),
+e AS (SELECT year, plant_id, sum(coalesce(con * CASE WHEN src IN (2, 3) THEN n_nationkey * 10 + 3 ELSE n_nationkey * 1.5 + 50 END, 0)) AS co2
+  FROM fuel LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 6) ON esource = concat('F', n_nationkey)
+  WHERE src = 1 OR esource IS NOT NULL GROUP BY ALL),
+x AS (SELECT year, (s_nationkey + CASE WHEN (year - 1787) // 2 >= 104 AND s_suppkey % 10 = 0 THEN 1 ELSE 0 END) % 25 AS fips, sum(co2) / 1e9 AS co2
+  FROM e JOIN supplier ON s_suppkey = plant_id WHERE s_suppkey % 17 <> 0 AND (year - 1787) // 2 BETWEEN 102 AND 105 GROUP BY ALL),
+paid AS (SELECT year(o_orderdate) AS year, c_nationkey AS fips,
+    CASE WHEN c_nationkey = 7 THEN 0.0 ELSE sum(CAST(o_totalprice AS DOUBLE)) / 1e4 END AS value
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey <> 8 GROUP BY year(o_orderdate), c_nationkey),
+z AS (SELECT x.year, CASE WHEN n_nationkey = 3 THEN 'ME' ELSE concat('S', n_nationkey) END AS state_code, co2, value, co2 / nullif(value, 0) AS r
+  FROM x JOIN nation ON n_nationkey = x.fips LEFT JOIN paid ON paid.year = x.year AND paid.fips = x.fips)"""
+
+SQL_CO2_STATE_YEAR = _CO2_SQL + " SELECT year, state_code, round(co2, 6) AS co2, round(value, 6) AS value, round(r, 6) AS r FROM z"
+
+SQL_CO2_RATIOS = _CO2_SQL + """, q AS (SELECT year, quantile_cont(r, 0.25) AS q1, quantile_cont(r, 0.5) AS median, quantile_cont(r, 0.75) AS q3
+  FROM z WHERE state_code <> 'ME' AND r IS NOT NULL GROUP BY year)
+SELECT year, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+  round(min(r) FILTER (r BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 6) AS whisker_lo,
+  round(max(r) FILTER (r BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 6) AS whisker_hi,
+  count(*) FILTER (NOT r BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS n_outliers, count(*) AS n
+FROM z JOIN q USING (year) WHERE state_code <> 'ME' AND r IS NOT NULL GROUP BY year, q1, median, q3"""
+
+QUERIES |= {"q_co2_state_year": q_co2_state_year, "q_co2_ratios": q_co2_ratios}
+ORACLE |= {"q_co2_state_year": SQL_CO2_STATE_YEAR, "q_co2_ratios": SQL_CO2_RATIOS}

@@ -75,9 +75,9 @@ UNION ALL SELECT o_orderkey, 'Third', 3, tn, ts, round(tv, 4) FROM w
 def q_rank_top2_margin(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
     tot = o.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("_tot"), F.count(F.lit(1)).alias("n_orders"))
-    o = o.join(tot, "o_custkey").withColumn("pct", 100 * F.col("o_totalprice") / F.col("_tot"))
-    top = A.top2(o, ["o_custkey"], "o_totalprice", "o_orderkey", ["o_orderkey", "pct"])
-    out = top.join(tot, "o_custkey")
+    top = A.top2(o, ["o_custkey"], "o_totalprice", "o_orderkey", ["o_orderkey", "o_totalprice"])
+    out = top.join(tot, "o_custkey").withColumns({
+        f"pct_{k}": 100 * F.col(f"o_totalprice_{k}") / F.col("_tot") for k in (1, 2)})
     return out.select("o_custkey", "n_orders", F.col("o_orderkey_1").alias("key_1"),
                       F.col("o_orderkey_2").alias("key_2"),
                       F.round("pct_1", 9).alias("pct_1"), F.round("pct_2", 9).alias("pct_2"),

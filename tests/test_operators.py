@@ -192,3 +192,17 @@ def test_zip_unpivot_all_natural(spark):
     a = spark.createDataFrame([(1, 2000, "x")], "plant_id int, year int, a string")
     b = spark.createDataFrame([(1, 2000, 5.0), (1, 2001, 6.0)], "plant_id int, year int, v double")
     assert [tuple(r) for r in J.natural_join(a, b).collect()] == [(1, 2000, "x", 5.0)]
+
+
+def test_top2_of_a_hot_key_in_one_scan(spark):
+    """One key holds half the rows; NULL keys and NULL values; the rank limits rows before the shuffle."""
+    rows = [(None if i % 50 == 0 else 0 if i % 2 else i % 7, None if i % 11 == 0 else (i * 37) % 101, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, v int, t int").repartition(6)
+    got = {r.k: (r.t_1, r.t_2) for r in A.top2(df, ["k"], "v", "t", ["t"]).collect()}
+    want = {}
+    for k in {r[0] for r in rows}:
+        order = sorted((r for r in rows if r[0] == k), key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
+        want[k] = (order[0][2], order[1][2])
+    assert got == want
+    plan = A.top2(df, ["k"], "v", "t", ["t"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan and "Join" not in plan
