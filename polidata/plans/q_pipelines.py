@@ -984,11 +984,11 @@ paid AS (SELECT year(o_orderdate) AS year, c_nationkey AS fips,
 z AS (SELECT x.year, CASE WHEN n_nationkey = 3 THEN 'ME' ELSE concat('S', n_nationkey) END AS state_code, co2, value, co2 / nullif(value, 0) AS r
   FROM x JOIN nation ON n_nationkey = x.fips LEFT JOIN paid ON paid.year = x.year AND paid.fips = x.fips)"""
 
-SQL_CO2_STATE_YEAR = _CO2_SQL + " SELECT year, state_code, round(co2, 6) AS co2, round(value, 6) AS value, round(r, 6) AS r FROM z"
+SQL_CO2_STATE_YEAR = _CO2_SQL + " SELECT CAST(year AS INT) AS year, state_code, round(co2, 6) AS co2, round(value, 6) AS value, round(r, 6) AS r FROM z"
 
 SQL_CO2_RATIOS = _CO2_SQL + """, q AS (SELECT year, quantile_cont(r, 0.25) AS q1, quantile_cont(r, 0.5) AS median, quantile_cont(r, 0.75) AS q3
   FROM z WHERE state_code <> 'ME' AND r IS NOT NULL GROUP BY year)
-SELECT year, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+SELECT CAST(year AS INT) AS year, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
   round(min(r) FILTER (r BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 6) AS whisker_lo,
   round(max(r) FILTER (r BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 6) AS whisker_hi,
   count(*) FILTER (NOT r BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS n_outliers, count(*) AS n
