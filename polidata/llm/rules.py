@@ -1,16 +1,21 @@
 """Quality rules whose cutoffs carry a guarantee: exact binomial tests on labelled documents.
 
-Each rule is a ratio that is high for junk.  For each stratum (a band of text lengths), rule and cutoff
-of a fixed grid, the labelled good documents above the cutoff are false rejections.  A cutoff is
-certified when "the false rejection rate is over ALPHA / number of rules" is refuted by the exact
-binomial test at level DELTA / number of tests (Bonferroni over strata, rules and cutoffs; the same as
-a Clopper-Pearson upper bound below that rate).  The lowest certified cutoff of a rule is used; a rule
-without one is not used in that stratum.  So with probability 1 - DELTA, in every stratum at once, at
-most ALPHA of the good documents are lost to these rules.
+Each rule is a ratio that is high for junk.  In each stratum (a band of text lengths) one sequence of joint cutoffs, fixed
+beforehand, goes from lax to strict: at step c a text is rejected when any of its ratios is over c.  The labelled good
+texts of the stratum that pass the base rule are the holdout, exact copies counted once; those over c are false
+rejections of the union of all rules.  The steps are tested in order, "the false rejection rate is over ALPHA" being
+refuted by the exact binomial test at level DELTA / number of strata (the same as a Clopper-Pearson upper bound below
+ALPHA), until the first step that is not refuted; the last one before it is used.  A test that is only made after all
+laxer ones have passed needs no correction for the steps or the rules, only for the strata.  So with probability
+1 - DELTA, in every stratum at once, at most ALPHA of the good texts are lost to these rules, all rules together.
+
+A stratum needs 217 good texts without one false rejection (at 2 % and 5 %, four strata); with fewer nothing is certified
+and only the base rule rejects there.  Texts that differ in a few words count as independent.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterable, Iterator
 
@@ -68,14 +73,18 @@ def text_counts(text: str | None) -> tuple[int, ...]:
 
 
 def add_counts(docs: DataFrame) -> DataFrame:
-    """doc_id and COUNTS (long) for every row of docs(doc_id, text)."""
+    """doc_id, COUNTS (long) and text_key (16 bytes of BLAKE2b; NULL as empty) for every row of docs(doc_id, text)."""
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([text_counts(t.as_py()) for t in batch.column(1)], np.int64).reshape(-1, len(COUNTS))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, np.ascontiguousarray(rows.T))], ["doc_id", *COUNTS])
+            texts = [t.as_py() for t in batch.column(1)]
+            rows = np.array([text_counts(t) for t in texts], np.int64).reshape(-1, len(COUNTS))
+            keys = [hashlib.blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, np.ascontiguousarray(rows.T)), pa.array(keys, pa.binary())],
+                                             ["doc_id", *COUNTS, "text_key"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(count, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS))
+    return docs.select("doc_id", "text").mapInArrow(
+        count, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS) + ", text_key binary")
 
 
 def ratio(over: str, under: str) -> Column:
@@ -88,6 +97,10 @@ def rule_columns() -> dict[str, Column]:
             "exclaims": ratio("n_exclaim", "n_words")}
 
 
+def base_failed() -> Column:
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
 def stratum() -> Column:
     return sum((F.col("n_words") >= low).cast("int") for low in BANDS[1:])
 
@@ -119,37 +132,40 @@ def p_at_most(k: int, n: int, rate: float) -> float:
     return 1.0 if k >= n else beta_cdf(1 - rate, n - k, k + 1)
 
 
-def certified_cutoffs(counts: dict[tuple[int, str], list[int]], alpha: float = ALPHA, delta: float = DELTA,
-                      grid: tuple[float, ...] = GRID) -> dict[tuple[int, str], float]:
-    """Cutoff by (stratum, rule), from counts[...][i]: good documents whose ratio is over exactly i cutoffs.
+def certified_cutoffs(counts: dict[int, list[int]], alpha: float = ALPHA, delta: float = DELTA,
+                      grid: tuple[float, ...] = GRID) -> dict[int, float]:
+    """Cutoff by stratum, from counts[stratum][i]: good texts whose largest ratio is over exactly i cutoffs of the grid.
 
-    Pairs without a certified cutoff are left out.
+    The steps go down the grid and end at the first that is not certified; strata without a certified step are left out.
     """
-    rules = {rule for _, rule in counts}
-    level = delta / max(1, len(BANDS) * len(rules) * len(grid))
+    level = delta / len(BANDS)
     found = {}
-    for key, by_bin in counts.items():
-        n = sum(by_bin)
-        over = [sum(by_bin[i + 1:]) for i in range(len(grid))]
-        cut = next((c for c, k in zip(grid, over) if n and p_at_most(k, n, alpha / len(rules)) <= level), None)
-        if cut is not None:
-            found[key] = cut
+    for s, by_bin in counts.items():
+        n, over = sum(by_bin), 0
+        for i in reversed(range(len(grid))):
+            over += by_bin[i + 1]
+            if not n or p_at_most(over, n, alpha) > level:
+                break
+            found[s] = grid[i]
     return found
 
 
-def good_counts(counted: DataFrame, labels: DataFrame, grid: tuple[float, ...] = GRID) -> dict[tuple[int, str], list[int]]:
-    """Counts for certified_cutoffs over all labelled good documents; at most strata x rules x bins rows reach the driver."""
+def good_counts(counted: DataFrame, labels: DataFrame, grid: tuple[float, ...] = GRID) -> dict[int, list[int]]:
+    """Counts for certified_cutoffs over all labelled good texts that pass the base rule, each text once.
+
+    At most strata x bins rows reach the driver.
+    """
     good = (labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
             .where("quality = 1").select(F.col("doc_id").alias("good_id")))
+    largest = F.greatest(*rule_columns().values())
     step = F.lit(len(grid) / grid[-1])
-    bins = [F.struct(F.lit(name).alias("rule"), F.least(F.lit(len(grid)), F.greatest(F.lit(0), F.ceil(c * step) - 1)).cast("int").alias("bin"))
-            for name, c in rule_columns().items()]
-    rows = (counted.join(good, F.col("doc_id") == F.col("good_id"))
-            .select(stratum().alias("stratum"), F.inline(F.array(*bins)))
-            .groupBy("stratum", "rule", "bin").count().collect())
-    found = {(s, r): [0] * (len(grid) + 1) for s in range(len(BANDS)) for r in rule_columns()}
+    over = F.least(F.lit(len(grid)), F.greatest(F.lit(0), F.ceil(largest * step) - 1)).cast("int")
+    rows = (counted.where(~base_failed()).join(good, F.col("doc_id") == F.col("good_id"))
+            .select(stratum().alias("stratum"), over.alias("bin"), "text_key").distinct()
+            .groupBy("stratum", "bin").count().collect())
+    found = {s: [0] * (len(grid) + 1) for s in range(len(BANDS))}
     for row in rows:
-        found[row["stratum"], row["rule"]][row["bin"]] += row["count"]
+        found[row["stratum"]][row["bin"]] += row["count"]
     return found
 
 
@@ -163,8 +179,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, d
     counted = written(add_counts(docs), "rule-counts")
     cutoffs = certified_cutoffs(good_counts(counted, labels), alpha, delta)
     values = rule_columns()
-    hits = [F.when((stratum() == s) & (values[rule] > cut), F.lit(rule)) for (s, rule), cut in sorted(cutoffs.items())]
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    hits = [F.when((stratum() == s) & (values[rule] > cut), F.lit(rule)) for s, cut in sorted(cutoffs.items()) for rule in sorted(values)]
     failed = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
-    return (counted.withColumns({"base_failed": base, "failed_rules": failed})
-            .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)))
+    return (counted.withColumns({"base_failed": base_failed(), "failed_rules": failed})
+            .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("text_key"))
