@@ -169,9 +169,12 @@ def scorecard_votes(pages: DataFrame, detail: DataFrame, base_url: str, kind_cla
     """Scorecard list page(s) (page_id, html) + detail pages (url, html) ->
     one row per scored roll call with the pro-environment position.
     ``base_url`` is prefixed to the relative vote links (detail page urls)."""
-    links = R.html_links(F.col("html"), "roll-call-vote")
-    kinds = F.regexp_extract_all("html", F.lit(f"<span class=['\"]{kind_class}['\"]>(.*?)</span>"), 1)
-    z = pages.select("page_id", F.posexplode(F.arrays_zip(links.alias("l"), kinds.alias("k"))).alias("idx", "z"))
+    # an entry reaches from its vote link to the next one, so its fields stay together; one without a kind has NULL
+    link = r"""<a\b[^>]*?\bhref\s*=\s*["']roll-call-vote"""
+    entries = F.regexp_extract_all("html", F.lit(rf"(?is)({link}.*?)(?={link}|\z)"), 1)
+    z = pages.select("page_id", F.posexplode(entries).alias("idx", "e")).select("page_id", "idx", F.struct(
+        F.get(R.html_links(F.col("e"), "roll-call-vote"), 0).alias("l"),
+        F.get(F.regexp_extract_all("e", F.lit(f"<span class=['\"]{kind_class}['\"]>(.*?)</span>"), 1), 0).alias("k")).alias("z"))
     href = F.col("z.l.href")
     full = F.concat(F.lit(base_url), href)
     d = z.select("page_id", "idx", full.alias("href"),

@@ -996,3 +996,54 @@ FROM z JOIN q USING (year) WHERE state_code <> 'ME' AND r IS NOT NULL GROUP BY y
 
 QUERIES |= {"q_co2_state_year": q_co2_state_year, "q_co2_ratios": q_co2_ratios}
 ORACLE |= {"q_co2_state_year": SQL_CO2_STATE_YEAR, "q_co2_ratios": SQL_CO2_RATIOS}
+
+
+# -- D7 S13 S14 S15 P16 Q12: scorecard list and detail pages, recent votes, flagged twins --------
+SCORES_URL = "http://scores.example/"
+
+
+def q_scorecard(spark: SparkSession, sf: str) -> DataFrame:
+    """Every customer's orders as one list page: even keys first, then odd ones, each part from the latest year down; every
+    fifth entry has no kind.  Orders of 1998 are also on a page of recent votes; status F and O have a detail page."""
+    from polidata.plans.pipelines.legislature import scorecard, scorecard_votes
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("page_id"),
+                                          F.year("o_orderdate").alias("y"), "o_orderstatus", "o_orderpriority")
+    href = F.concat(F.lit("roll-call-vote/"), F.col("y").cast("string"), F.lit("-"), F.col("k").cast("string"), F.lit("-vote"))
+
+    def page(rows: DataFrame, order: list, kind_class: str, end: str, twice: int) -> DataFrame:
+        entry = F.concat(
+            F.lit('<li><a class="vote" href="'), href, F.lit('">Vote <b>'), F.col("k").cast("string"), F.lit("</b>"),
+            F.when(F.col("k") % twice == 0, " 2x Score").otherwise(""), F.lit("</a>"),
+            F.when(F.col("k") % 5 == 0, "").otherwise(F.concat(
+                F.lit(f"<span class='{kind_class}'>"), F.col("o_orderpriority"), F.lit(f"{end}</span>"))), F.lit("</li>"))
+        sorted_entries = F.array_sort(F.collect_list(F.struct(*order, entry.alias("e"))))
+        return rows.groupBy("page_id").agg(F.concat(F.lit("<ul>"), F.array_join(F.transform(
+            sorted_entries, lambda x: x["e"]), "\n"), F.lit("</ul>")).alias("html"))
+
+    detail = o.filter(F.col("o_orderstatus") != "P").select(F.concat(F.lit(SCORES_URL), href).alias("url"), F.concat(
+        F.lit("<div id='roll-call-vote-pro-env-choice'>\n\t"), F.when(F.col("o_orderstatus") == "F", "No").otherwise("Yes"),
+        F.lit("</div>")).alias("html"))
+    full = page(o, [(F.col("k") % 2).alias("part"), (-F.col("y")).alias("y"), "k"], "voteIssuesFULL", ",", 14)
+    new = page(o.filter(F.col("y") == 1998), ["k"], "voteIssues", "", 7)
+    scored = scorecard_votes(full, detail, SCORES_URL, drop_year=1992)
+    recent = scorecard_votes(new, detail, SCORES_URL, kind_class="voteIssues", n_senate=2, drop_year=None)
+    return scorecard(recent, scored).select("href", "rollnumber", "year", "lcv_type", "lcv_dscr", "lcv_vote", "lcv_note",
+                                            "not_in_lcv", "double_count", "chamber", "assembly")
+
+
+SQL_SCORECARD = f"""WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, year(o_orderdate) AS y, o_orderstatus AS st, o_orderpriority AS p FROM orders),
+s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY k % 2, y DESC, k) AS idx FROM o) WHERE y <> 1992),
+top AS (SELECT c, idx, lag(idx) OVER (PARTITION BY c ORDER BY idx) AS pv FROM (SELECT *, max(y) OVER (PARTITION BY c) AS ly FROM s) WHERE y = ly),
+cut AS (SELECT c, min(idx) AS cut FROM top WHERE idx > pv + 1 GROUP BY c),
+r AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY k) AS idx FROM o WHERE y = 1998),
+u AS (SELECT k, y, st, p, k % 14 = 0 AS twice, CASE WHEN cut IS NULL OR idx < cut THEN 'Senate' ELSE 'House' END AS chamber FROM s LEFT JOIN cut USING (c)
+  UNION ALL SELECT k, y, st, p, k % 7 = 0, CASE WHEN idx <= 2 THEN 'Senate' ELSE 'House' END FROM r),
+v AS (SELECT *, bool_or(twice) OVER (PARTITION BY y, k, chamber) AS any_twice FROM u)
+SELECT concat('{SCORES_URL}roll-call-vote/', y, '-', k, '-vote') AS href, CAST(k AS DOUBLE) AS rollnumber, CAST(y AS DOUBLE) AS year,
+  CASE WHEN k % 5 <> 0 THEN p END AS lcv_type, concat('Vote ', k, CASE WHEN twice THEN ' 2x Score' ELSE '' END) AS lcv_dscr,
+  CASE WHEN st = 'F' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS lcv_vote, 'scorecard' AS lcv_note, 0.0::DOUBLE AS not_in_lcv,
+  CASE WHEN twice THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS double_count, chamber, CAST((y - 1787) // 2 AS DOUBLE) AS assembly
+FROM v WHERE twice OR NOT any_twice"""
+
+QUERIES |= {"q_scorecard": q_scorecard}
+ORACLE |= {"q_scorecard": SQL_SCORECARD}

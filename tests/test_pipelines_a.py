@@ -131,3 +131,16 @@ def test_d7_scorecard(spark):
     lcv = LG.scorecard(twin, sc.drop("page_id", "idx"))
     rows7 = [r for r in lcv.collect() if r.rollnumber == 7.0]
     assert len(rows7) == 1 and rows7[0].double_count == 1.0 and rows7[0].assembly == 114.0
+
+
+def test_d7_fields_of_an_entry_stay_together(spark):
+    """An entry without a kind, or with two, shifts nothing of the entries after it."""
+    html = ("<h1>Votes</h1><a href='/about'>About</a>"
+            "<a href='roll-call-vote/2016-1-x'>One</a><span class='voteIssuesFULL'>Air,</span>\n"
+            "<a href='roll-call-vote/2016-2-x'>Two</a><a href='/more'>more</a>\n"
+            "<a class='v' href='roll-call-vote/2015-3-x'>Three</a><span class='voteIssuesFULL'>Seas,</span><span class='voteIssuesFULL'>Land,</span>"
+            "<a href='roll-call-vote/2015-4-x'>Four</a><span class='voteIssuesFULL'>Toxics,</span>")
+    pages = spark.createDataFrame([(1, html), (2, ""), (3, None)], "page_id int, html string")
+    detail = spark.createDataFrame([], "url string, html string")
+    got = sorted((r.rollnumber, r.lcv_type, r.lcv_dscr) for r in LG.scorecard_votes(pages, detail, "http://scores.example/").collect())
+    assert got == [(1.0, "Air", "One"), (2.0, None, "Two"), (3.0, "Seas", "Three"), (4.0, "Toxics", "Four")]
