@@ -136,12 +136,12 @@ SQL_NEAREST_POLYGON = f"WITH {_edges_sql()}, {_PTS_SQL}, {_NEAREST_SQL}"
 # districts, and odd and even keys make two map versions.
 def skyline_vertices(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    top = c.agg((F.max("c_custkey") + 1).alias("n"))
+    n = (c.agg(F.max("c_custkey")).first()[0] or 0) + 1
     x0 = (F.col("c_nationkey") % 5).cast("double") - 2.5
     y0 = F.floor(F.col("c_nationkey") / 5).cast("double") - 2.5
-    tips = c.join(F.broadcast(top)).select(
+    tips = c.select(
         (F.col("c_custkey") % 2).cast("int").alias("map_id"), F.col("c_nationkey").cast("int").alias("poly_id"),
-        F.col("c_custkey").cast("long").alias("seq"), (x0 + F.col("c_custkey") / F.col("n") * 0.8).alias("x"),
+        F.col("c_custkey").cast("long").alias("seq"), (x0 + F.col("c_custkey") / F.lit(n) * 0.8).alias("x"),
         (y0 + 0.1 + (F.col("c_acctbal").cast("double") + 1000.0) / 11000.0 * 0.8).alias("y"))
     feet = tips.select("map_id", "poly_id").distinct().select("map_id", "poly_id", F.explode(F.array(
         F.struct(F.lit(-1).cast("long").alias("seq"), F.lit(0.0).alias("dx")),
