@@ -221,7 +221,8 @@ def co2_state_year(fuel: dict[int, DataFrame] | DataFrame, factors: DataFrame, l
     fact = fuel_fact(fuel) if isinstance(fuel, dict) else fuel
     if rules is None:
         rules = fact.sparkSession.createDataFrame(SOURCE_RULES, "src int, factor string, keep_null boolean")
-    tagged = fact.join(rules, "src").filter(F.col("esource").isNotNull() | F.col("keep_null"))
+    # a rule per source is a handful of rows: a shuffle by source would put a source's whole fact into one task
+    tagged = fact.join(F.broadcast(rules), "src").filter(F.col("esource").isNotNull() | F.col("keep_null"))
     con = tagged.groupBy("factor", "year", "plant_id", "esource").agg(F.sum(F.col("con").cast("double")).alias("con"))
     # one row per fuel and kind of factor, so that the rule is part of the join
     kinds = ["kg_co2_per_mmbtu", "kg_co2_per_unit"]
