@@ -183,23 +183,27 @@ def scorecard_votes(pages: DataFrame, detail: DataFrame, base_url: str, kind_cla
                  F.trim(drop_last_char(F.col("z.k"))).alias("lcv_type") if kind_class.endswith("FULL")
                  else F.trim(F.col("z.k")).alias("lcv_type"),
                  R.strip_tags(F.col("z.l.text")).alias("lcv_dscr"))
-    pos = detail.select(F.col("url").alias("href"), strip_controls(R.strip_tags(F.regexp_extract(
-        "html", r"(?s)<div id=['\"]roll-call-vote-pro-env-choice['\"]>(.*?)</div>", 1))).alias("_pro"))
-    d = d.join(pos, "href", "left").withColumn("lcv_vote", F.when(F.col("_pro") == "No", 0.0).otherwise(1.0)).drop("_pro")
     if drop_year is not None:
         d = d.filter(F.col("year") != drop_year)
-    d = d.withColumns({"lcv_note": F.lit("scorecard"), "not_in_lcv": F.lit(0.0),
-                       "double_count": F.when(F.col("lcv_dscr").contains("2x Score"), 1.0).otherwise(0.0)})
     if n_senate is not None:
-        return d.withColumn("chamber", F.when(F.col("idx") < n_senate, "Senate").otherwise("House"))
-    # the list restarts at the latest year when the House block begins
-    latest = d.groupBy("page_id").agg(F.max("year").alias("_ly"))
-    top = d.join(latest, "page_id").filter(F.col("year") == F.col("_ly")).select("page_id", "idx")
-    top = W.islands(top, ["page_id"], "idx", gap=1, out="_isl")
-    cut = top.filter(F.col("_isl") == 1).groupBy("page_id").agg(F.min("idx").alias("_cut"))
-    d = d.join(cut, "page_id", "left")
-    return d.withColumn("chamber", F.when(F.col("_cut").isNull() | (F.col("idx") < F.col("_cut")), "Senate")
-                        .otherwise("House")).drop("_cut")
+        chamber = F.when(F.col("idx") < n_senate, "Senate").otherwise("House")
+    else:
+        # the list restarts at the latest year when the House block begins; found page by page, so that pages are cut up once
+        page = Window.partitionBy("page_id")
+        top = F.coalesce(F.col("page_id").isNotNull() & (F.col("year") == F.max("year").over(page)), F.lit(False))
+        d = d.withColumn("_top", F.when(top, F.col("idx")))
+        before = F.last("_top", ignorenulls=True).over(page.orderBy("idx").rowsBetween(Window.unboundedPreceding, -1))
+        d = d.withColumn("_jump", F.when(F.col("_top") > before + 1, F.col("idx")))
+        d = d.withColumn("_cut", F.min("_jump").over(page))
+        chamber = F.when(F.col("_cut").isNull() | (F.col("idx") < F.col("_cut")), "Senate").otherwise("House")
+    d = d.withColumn("chamber", chamber).drop("_top", "_jump", "_cut")
+    pos = detail.select(F.col("url").alias("href"), strip_controls(R.strip_tags(F.regexp_extract(
+        "html", r"(?s)<div id=['\"]roll-call-vote-pro-env-choice['\"]>(.*?)</div>", 1))).alias("_pro"))
+    d = d.join(pos, "href", "left").withColumns({
+        "lcv_vote": F.when(F.col("_pro") == "No", 0.0).otherwise(1.0), "lcv_note": F.lit("scorecard"), "not_in_lcv": F.lit(0.0),
+        "double_count": F.when(F.col("lcv_dscr").contains("2x Score"), 1.0).otherwise(0.0)})
+    columns = ["href", "page_id", "idx", "rollnumber", "year", "lcv_type", "lcv_dscr", "lcv_vote", "lcv_note", "not_in_lcv", "double_count", "chamber"]
+    return d.select(*(columns if n_senate is not None else ["page_id", "href", *columns[2:]]))
 
 
 def scorecard(recent: DataFrame, scored: DataFrame) -> DataFrame:
