@@ -189,7 +189,8 @@ def nearest_polygon(points: DataFrame, edges: DataFrame, group: list[str], poly_
             .filter(close <= F.col("_far") * (1 + 1e-9) + 10 * PAD * g).drop("_far")
     # points times edges: a minimum of numbers is kept in a hash table as they are made, one of structs would sort them all
     best = near.join(held, [*group, "cx", "cy"]).withColumn("dist", seg_distance(F.col(x), F.col(y))) \
-        .groupBy(pid, poly_key).agg(F.min("dist").alias("dist")).groupBy(pid).agg(F.min(F.struct("dist", poly_key)).alias("b"))
+        .groupBy(pid, poly_key).agg(F.min("dist").alias("dist"), F.max(F.isnull("dist")).alias("_open")) \
+        .withColumn("dist", F.when(~F.col("_open"), F.col("dist"))).groupBy(pid).agg(F.min(F.struct("dist", poly_key)).alias("b"))
     return best.select(pid, F.col(f"b.{poly_key}").alias(poly_key), F.col("b.dist").alias("dist"))
 
 

@@ -25,6 +25,9 @@ def test_nearest_polygon_sorts_no_pairs(spark):
     near = G.nearest_polygon(points, edges, ["g"], "poly", 0.5)
     assert "partial_min(dist" in plan(near)
     assert sorted((r.pid, r.poly, r.dist) for r in near.collect()) == [(1, "a", 1.0), (2, "b", 0.5), (3, "a", 0.25)]
+    # an edge of unknown place leaves the distance open, as before
+    torn = edges.selectExpr("g", "poly", "ring", "seq", "x1", "y1", "if(poly = 'b' and seq = 0, null, x2) AS x2", "y2")
+    assert [(r.pid, r.poly, r.dist) for r in G.nearest_polygon(points.filter("pid = 2"), torn, ["g"], "poly", 0.5).collect()] == [(2, "b", None)]
 
 
 def test_list_pages_are_cut_up_once(spark):
