@@ -37,6 +37,8 @@ FIRST_HUBS, MORE_HUBS = 1, 8
 BROADCAST_ROWS = 400_000
 #: Cells of the smallest sketch that bounds the difference of two sets from below.
 LEAST_CELLS = 256
+#: So many longs of a sketch, and then so many, are compared by plain expressions, which Spark compiles; the rest in a loop.
+LEADING_LONGS = 6, 16
 #: Texts that are sent to a copy of their hub's text.
 PARTNERS = 256
 
@@ -157,10 +159,22 @@ def differing_bits(a: str, b: str) -> Column:
     return F.coalesce(F.aggregate(bits, F.lit(0), lambda total, x: total + x), F.lit(0))
 
 
+def leading_bits(a: str, b: str, longs: int) -> Column:
+    """How many bits differ in the first longs of two sketch columns of one size; 0 for those of two sizes."""
+    each = [F.coalesce(F.bit_count(F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i)))), F.lit(0)) for i in range(longs)]
+    return F.when(F.size(a) == F.size(b), sum(each[1:], each[0])).otherwise(F.lit(0))
+
+
 def within_reach(n_a: str, sketch_a: str, n_b: str, sketch_b: str, num: int, den: int) -> Column:
-    """Whether sets of these sizes and sketches may reach num / den: their sketches show few enough differences."""
+    """Whether sets of these sizes and sketches may reach num / den: their sketches show few enough differences.
+
+    The first longs already show too many of most pairs; of short sketches of one size they are all.
+    """
     least, most = F.least(n_a, n_b), F.greatest(n_a, n_b)
-    return (den * least >= num * most) & ((den + num) * differing_bits(sketch_a, sketch_b) <= (den - num) * (least + most))
+    few = lambda bits: (den + num) * bits <= (den - num) * (least + most)
+    whole = (F.size(sketch_a) == F.size(sketch_b)) & (F.size(sketch_a) <= LEADING_LONGS[-1])
+    early = [few(leading_bits(sketch_a, sketch_b, n)) for n in LEADING_LONGS]
+    return (den * least >= num * most) & early[0] & early[1] & (whole | few(differing_bits(sketch_a, sketch_b)))
 
 
 # ---- Spark jobs -------------------------------------------------------------------------------------------------

@@ -117,3 +117,29 @@ def test_one_per_group(shipped, odd, no_docs):
     rows = near_copies()
     docs = shipped.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r["doc_id"] for r in J.one_per_group(docs).collect()) == sorted({c for _, _, c in brute(rows, 5, 80)})
+
+
+def test_bound_in_compiled_steps_is_the_whole_bound(shipped):
+    """within_reach by the leading longs says what all bits of the folded sketches say, for sketches of all sizes."""
+    r, rows = np.random.default_rng(6), []
+    for n in (3, 40, 120, 130, 250, 260, 500, 700, 1100, 2100):
+        base = r.integers(0, 2 ** 63, n).astype(np.uint64)
+        for changed in (0, 1, n // 12, n // 9, n // 4, n):
+            rows.append(np.unique(np.concatenate([base[changed:], r.integers(0, 2 ** 63, changed + n % 5).astype(np.uint64)])))
+    table = shipped.createDataFrame([(i, len(e), J.sketch(e).tolist()) for i, e in enumerate(rows)], "i int, n long, s array<long>")
+    a, b = (table.toDF(f"i_{x}", f"n_{x}", f"s_{x}") for x in "ab")
+    found = a.crossJoin(b).where(J.within_reach("n_a", "s_a", "n_b", "s_b", 80, 100)).select("i_a", "i_b").collect()
+
+    def bits(e, size):
+        return np.unpackbits(J.sketch(e).view(np.uint8)).reshape(-1, size).sum(0) & 1
+
+    want = set()
+    for i, x in enumerate(rows):
+        for j, y in enumerate(rows):
+            size_x, size_y = len(J.sketch(x)) * 64, len(J.sketch(y)) * 64
+            size = min(size_x, size_y)
+            apart = int((bits(x, size) != bits(y, size)).sum()) if max(size_x, size_y) <= 2 * size else 0
+            if 100 * min(len(x), len(y)) >= 80 * max(len(x), len(y)) and 180 * apart <= 20 * (len(x) + len(y)):
+                want.add((i, j))
+    assert len(want) > len(rows) and {tuple(p) for p in found} == want
+    assert all("lambda" not in str(J.leading_bits("a", "b", n)) for n in J.LEADING_LONGS)
