@@ -113,3 +113,15 @@ def test_an_id_of_many_rows_is_one_row_of_the_sample(shipped):
     kept = [i for i in (1, 2, 3) if not held_out(i)]
     rows = labelled_sample(docs, labels, "quality", 10).collect()
     assert len(kept) > 1 and 1 in kept and sorted(r["doc_id"] for r in rows) == kept
+
+
+def test_quality_learns_from_every_labelled_row(shipped):
+    """With far more rows than a shard's, a change in any labelled row changes the model; one in the held-out fold does not."""
+    r = np.random.default_rng(5)
+    rows = [(i, " ".join("".join(r.choice(list("abcdef"), 5)) for _ in range(12)), int(i % 3 > 0)) for i in range(260)]
+    labels = shipped.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    train = lambda changed: quality.train_quality(shipped.createDataFrame([(i, "X#" * 30 if i == changed else t) for i, t, _ in rows], "doc_id long, text string"), labels, 40).p
+    plain, inside = train(None), [i for i, *_ in rows if not held_out(i)]
+    assert all(np.array_equal(x, plain[k]) for k, x in train(next(i for i, *_ in rows if held_out(i))).items())
+    for i in (inside[0], inside[len(inside) // 2], inside[-1]):
+        assert any(not np.array_equal(x, plain[k]) for k, x in train(i).items())
