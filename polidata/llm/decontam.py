@@ -1,14 +1,14 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-TF-IDF vectors of passages, over the benchmark's words, are projected on the leading right singular vectors of a passage matrix,
-found by a distributed randomised SVD (range finder with power iterations).  Windows of every document
+TF-IDF vectors of passages, over the benchmark's words, are projected on the leading right singular vectors of the matrix of the
+passages of the benchmark and of all documents, found by a distributed randomised SVD (range finder with power iterations) on its
+normal matrix, which one pass over the documents sums up.  Windows of every document
 whose cosine with a benchmark passage reaches CANDIDATE_COSINE are candidates, and so are those that hold
 GRAM words of an item in a row, whatever their cosine; each is then checked on the words themselves: the longest common subsequence with the item, and that of the item's answer (its
 last sentence), so that paraphrases count and mere similarity of topic does not.
 
 Document frequencies come from all documents, without the words of such runs, so that a widely copied item
-does not lower its own weight; all windows are searched; only the SVD is fitted on
-the benchmark and a bounded sample of documents.
+does not lower its own weight; all windows are searched.
 """
 
 from __future__ import annotations
@@ -25,10 +25,12 @@ from pyspark.sql import functions as F
 from polidata.llm.common import lower_words, written
 
 RANK, OVERSAMPLING, POWER_PASSES, SEED = 256, 8, 2, 5
-#: Tasks of each product with the passage matrix (its size is bounded).
-SVD_TASKS = 4
-#: Documents (lowest hashes of their ids) whose passages join the benchmark's in the SVD, and by how much the benchmark's weigh more.
-SVD_DOCUMENTS, ITEM_WEIGHT = 400, 8.0
+#: The passages of all documents together weigh in the SVD as those of so many would (of fewer, as they are), and how much more one of the benchmark does.
+DOCUMENTS_WEIGHT, ITEM_WEIGHT = 400, 8.0
+#: Cells of the normal matrix that a task sums up at once, and about how many words it goes through.
+CELLS, TASK_WORDS = 1 << 24, 16_000_000
+#: Rows of the normal matrix that are one part.
+PART_ROWS = 64
 WINDOW, STRIDE = 32, 16
 CANDIDATE_COSINE = 0.25
 #: A match holds this share of the item in order; or the smaller one together with this share of the answer.
@@ -138,22 +140,43 @@ class GramIndex:
 
 # ---- statistics and latent space -----------------------------------------------------------------------------
 
+def stored_ids(docs: DataFrame, features: dict[bytes, int]) -> DataFrame:
+    """doc_id and ids (int32, little-endian): the features of all words of each row's text, written once for the passes over them."""
+    shared = docs.sparkSession.sparkContext.broadcast(features)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = FeatureIds(shared.value)
+        for batch in batches:
+            ids = [feature_ids(lower_words(t.as_py()), cache).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return written(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary"), "feature-ids")
+
+
+def from_binary(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.int32)
+
+
 def document_frequencies(docs: DataFrame, features: dict[bytes, int], grams: GramIndex) -> tuple[np.ndarray, int]:
     """Documents per feature that have it outside the items' runs, and documents, over all rows; a sum per benchmark word reaches the driver."""
-    shared = docs.sparkSession.sparkContext.broadcast((features, grams))
-    size = len(features) + 1
+    return id_frequencies(stored_ids(docs.withColumn("doc_id", F.lit(0)), features), len(features) + 1, grams)
+
+
+def id_frequencies(stored: DataFrame, size: int, grams: GramIndex) -> tuple[np.ndarray, int]:
+    """document_frequencies from stored ids."""
+    shared = stored.sparkSession.sparkContext.broadcast(grams)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, index = shared.value
-        cache, total = FeatureIds(names), np.zeros(size + 1, np.int64)
+        index, total = shared.value, np.zeros(size + 1, np.int64)
         for batch in batches:
-            for text in batch.column(0):
-                total[:size] += np.bincount(index.outside(feature_ids(lower_words(text.as_py()), cache)), minlength=size) > 0
+            for ids in batch.column(0):
+                total[:size] += np.bincount(index.outside(from_binary(ids)), minlength=size) > 0
             total[size] += len(batch)
         cell = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], ["feature", "n"])
 
-    sums = docs.select("text").mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    sums = stored.select("ids").mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(size + 1, np.int64)
     counts[sums.column("feature").to_numpy()] = sums.column("n").to_numpy()
     return counts[:size], int(counts[size])
@@ -166,64 +189,110 @@ def inverse_frequencies(df: np.ndarray, n_docs: int) -> np.ndarray:
     return idf
 
 
-def passage_matrix(texts: list[tuple[str | None, float]], idf: np.ndarray, cache: FeatureIds):
-    """Rows of the TF-IDF matrix, of length 1 times their weight: features, values and starts."""
-    features, values, starts, at = [], [], [], 0
-    for text, weight in texts:
-        ids = feature_ids(lower_words(text), cache)
-        for i in range(0, len(ids), WINDOW):
-            f, tf = np.unique(ids[i: i + WINDOW], return_counts=True)
-            x = tf * idf[f]
-            x[f == 0] = np.sqrt(tf[f == 0]) * idf[0]  # as many different words
-            norm = np.linalg.norm(x)
-            f, x = f[f > 0], x[f > 0]
-            if len(f):
-                features.append(f)
-                values.append(x * (weight / norm))
-                starts.append(at)
-                at += len(f)
-    if not starts:
-        return None
-    return np.concatenate(features), np.concatenate(values), np.array(starts)
-
-
-def normal_product(texts: DataFrame, features: dict[bytes, int], idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """transpose(A) A basis for the passage matrix A of texts(text, weight), summed over tasks by blocks of rows."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast((features, idf, basis.astype(np.float32)))
+def passage_rows(texts: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries of the texts' rows in the TF-IDF matrix, of length 1: row, feature (not 0) and value, by row."""
+    lengths = np.array([len(ids) for ids in texts])
+    passages = -(-lengths // WINDOW)
+    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    row = place // WINDOW + np.repeat(np.cumsum(passages) - passages, lengths)
+    cell, tf = np.unique(row * len(idf) + np.concatenate(texts), return_counts=True)
+    row, f = np.divmod(cell, len(idf))
+    x = np.where(f == 0, np.sqrt(tf), tf) * idf[f]  # words beside the benchmark's: as many different ones
+    norm = np.sqrt(np.bincount(row, x * x))
+    on = f > 0
+    return row[on], f[on], x[on] / norm[row[on]]
+
+
+def text_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The texts of batches(ids), several together and long ones in parts of whole passages: at most about SLICE_WORDS words."""
+    most = SLICE_WORDS // WINDOW * WINDOW
+    held, size = [], 0
+    for batch in batches:
+        for ids in map(from_binary, batch.column(0)):
+            for at in range(0, len(ids), most):
+                held.append(ids[at: at + most])
+                size += len(held[-1])
+                if size >= most:
+                    yield held
+                    held, size = [], 0
+    if held:
+        yield held
+
+
+def normal_matrix(stored: DataFrame, idf: np.ndarray, n_words: int) -> DataFrame:
+    """(part, sums): the normal matrix transpose(A) A of the passage matrix A of all rows, PART_ROWS rows of it a part (float64).
+
+    A task sums up at most CELLS cells; a larger matrix is gone through in bands of its rows.
+    """
+    shared = stored.sparkSession.sparkContext.broadcast(idf)
+    size = len(idf)
+    band = max(PART_ROWS, CELLS // size // PART_ROWS * PART_ROWS)
+    bands = -(-size // band)
+
+    def sums(low: int):
+        high = min(size, low + band)
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            weights, total = shared.value, np.zeros((high - low) * size, np.float32)
+            for texts in text_groups(batches):
+                row, f, x = passage_rows(texts, weights)
+                # each entry with all of its row: first and number of a row's entries, by entry
+                count = np.bincount(row)
+                first = (np.cumsum(count) - count)[row]
+                count = count[row]
+                own = (f >= low) & (f < high)
+                left = np.repeat(np.flatnonzero(own), count[own])
+                right = np.arange(len(left)) - np.repeat(np.cumsum(count[own]) - count[own], count[own]) + first[left]
+                np.add.at(total, (f[left] - low) * size + f[right], (x[left] * x[right]).astype(np.float32))
+            total = total.reshape(-1, size)
+            for i in range(0, len(total), PART_ROWS):
+                if total[i: i + PART_ROWS].any():
+                    yield pa.RecordBatch.from_arrays([pa.array([(low + i) // PART_ROWS], pa.int32()), pa.array([total[i: i + PART_ROWS].tobytes()], pa.binary())], ["part", "sums"])
+
+        return run
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, part = np.zeros(1), None
+        for batch in batches:
+            for part, held in zip(batch.column("part"), batch.column("sums")):
+                total = total + np.frombuffer(held.as_buffer(), np.float32).astype(np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array([part.as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["part", "sums"])
+
+    few = stored.select("ids").coalesce(1 + n_words // TASK_WORDS)
+    found = None
+    for i in range(bands):
+        own = few.mapInArrow(sums(i * band), "part int, sums binary")
+        found = own if found is None else found.union(own)
+
+    return written(found.groupBy("part").applyInArrow(add, "part int, sums binary"), "svd-normal")
+
+
+def normal_product(parts: list[tuple[DataFrame, float]], basis: np.ndarray) -> np.ndarray:
+    """The sum of normal matrices, each times its weight, times basis; a row of it for each feature reaches the driver."""
     size, width = basis.shape
-    step = 1 << 10
+    shared = parts[0][0].sparkSession.sparkContext.broadcast(basis)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, weights, q = shared.value
-        cache, total = FeatureIds(names), np.zeros((size, width), np.float32)
         for batch in batches:
-            rows = passage_matrix(list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())), weights, cache)
-            if rows is not None:
-                f, x, starts = rows
-                y = np.add.reduceat(x[:, None] * q[f], starts)
-                np.add.at(total, f, (x[:, None] * np.repeat(y, np.diff(np.append(starts, len(f))), 0)).astype(np.float32))
-        parts = [(i, total[i * step: (i + 1) * step].tobytes()) for i in range(-(-size // step)) if total[i * step: (i + 1) * step].any()]
-        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([b for _, b in parts], pa.binary())], ["part", "sums"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(b.as_py(), np.float32).astype(np.float64) for b in table.column("sums"))
-        return pa.table({"part": table.column("part")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
-
-    sums = texts.mapInArrow(run, "part int, sums binary").groupBy("part").applyInArrow(add, "part int, sums binary").collect()
+            for part, held in zip(batch.column(0), batch.column(1)):
+                product = np.frombuffer(held.as_buffer()).reshape(-1, size) @ shared.value
+                yield pa.RecordBatch.from_arrays([pa.array([part.as_py()], pa.int32()), pa.array([product.tobytes()], pa.binary())], ["part", "sums"])
+
     product = np.zeros((size, width))
-    for row in sums:
-        product[row["part"] * step: (row["part"] + 1) * step] = np.frombuffer(bytes(row["sums"])).reshape(-1, width)
+    for matrix, weight in parts:
+        for row in matrix.mapInArrow(run, "part int, sums binary").collect():
+            own = np.frombuffer(bytes(row["sums"])).reshape(-1, width)
+            product[row["part"] * PART_ROWS:][: len(own)] += weight * own
     return product
 
 
-def singular_vectors(texts: DataFrame, features: dict[bytes, int], idf: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """Leading right singular vectors (features x rank) of the passage matrix, by randomised SVD."""
-    width = min(rank + OVERSAMPLING, len(idf))
-    basis = np.linalg.qr(np.random.default_rng(SEED).normal(size=(len(idf), width)))[0]
+def singular_vectors(parts: list[tuple[DataFrame, float]], size: int, rank: int = RANK) -> np.ndarray:
+    """Leading right singular vectors (features x rank) of the passage matrix, by randomised SVD on its normal matrix."""
+    width = min(rank + OVERSAMPLING, size)
+    basis = np.linalg.qr(np.random.default_rng(SEED).normal(size=(size, width)))[0]
     for _ in range(POWER_PASSES):
-        basis = np.linalg.qr(normal_product(texts, features, idf, basis))[0]
-    values, inner = np.linalg.eigh(basis.T @ normal_product(texts, features, idf, basis))
+        basis = np.linalg.qr(normal_product(parts, basis))[0]
+    values, inner = np.linalg.eigh(basis.T @ normal_product(parts, basis))
     best = np.argsort(values)[::-1][:rank]
     return basis @ inner[:, best[values[best] > 1e-9]]
 
@@ -328,11 +397,13 @@ class Searcher:
 
     def leaks(self, text: str | None, cache: FeatureIds) -> list[tuple[int | None, int, float, float, float]]:
         """(item_id, first word of the window, cosine, share of the item, share of its answer), the best window per item."""
-        raw = lower_words(text)
-        if not raw or not self.items:
+        return self.leaks_of(feature_ids(lower_words(text), cache))
+
+    def leaks_of(self, ids: np.ndarray) -> list[tuple[int | None, int, float, float, float]]:
+        """leaks of a text by the features of its words."""
+        if not len(ids) or not self.items:
             return []
         best: dict[int, tuple] = {}
-        ids = feature_ids(raw, cache)
         for (n, at), cosine in self.windows(ids).items():
             own, answer_words = self.words[n], self.answers[n]
             region = ids[max(0, at - len(own)): at + WINDOW + len(own)].tolist()
@@ -370,28 +441,34 @@ def benchmark_grams(items: DataFrame, features: dict[bytes, int]) -> GramIndex:
 
 def searchers(docs: DataFrame, benchmark: DataFrame) -> list:
     """Broadcast searchers, each for a block of at most about BLOCK_ITEMS benchmark rows."""
+    return fitted_searchers(docs, benchmark)[0]
+
+
+def fitted_searchers(docs: DataFrame, benchmark: DataFrame) -> tuple[list, DataFrame | None]:
+    """searchers, and the stored features of all documents' words (none without items)."""
     spark = docs.sparkSession
     items = benchmark.select("item_id", "text").where(F.length(F.trim("text")) > 0)
     n_items = items.count()
     if n_items == 0:
-        return []
+        return [], None
     names = items.mapInArrow(distinct_words, "word binary").distinct().orderBy("word").toArrow().column("word").to_pylist()
     features = {w: i + 1 for i, w in enumerate(names)}
-    df, n_docs = document_frequencies(docs, features, benchmark_grams(items, features))
+    stored = stored_ids(docs, features)
+    df, n_docs = id_frequencies(stored, len(features) + 1, benchmark_grams(items, features))
     idf = inverse_frequencies(df, n_docs)
-    chosen = docs.select(F.col("doc_id").alias("chosen_id")).where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("chosen_id"), "chosen_id").limit(SVD_DOCUMENTS)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id"), "left_semi").select("text", F.lit(1.0).alias("weight"))
-    sample = written(sample, "svd-sample")
+    words = lambda rows: (rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0) // 4
+    everywhere = normal_matrix(stored, idf, words(stored)), min(1.0, DOCUMENTS_WEIGHT / max(1, n_docs))
     blocks = -(-n_items // BLOCK_ITEMS)
     found = []
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else items
-        texts = written(sample.union(own.select("text", F.lit(ITEM_WEIGHT).alias("weight"))).repartition(SVD_TASKS), "svd-texts")
         rows = sorted((benchmark_item(r["item_id"], r["text"]) for r in own.collect()), key=lambda i: (i.item_id is None, i.item_id or 0, i.words))
         rows = [i for i in rows if i.words]
         if rows:
-            found.append(spark.sparkContext.broadcast(Searcher(rows, features, idf, singular_vectors(texts, features, idf))))
-    return found
+            own_ids = stored_ids(own.select(F.col("item_id").alias("doc_id"), "text"), features)
+            vectors = singular_vectors([everywhere, (normal_matrix(own_ids, idf, words(own_ids)), ITEM_WEIGHT ** 2)], len(idf))
+            found.append(spark.sparkContext.broadcast(Searcher(rows, features, idf, vectors)))
+    return found, stored
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -402,23 +479,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     nothing; an empty table on either side gives no rows; repeated rows match alike, each on its own.
     Other columns are not read.
     """
-    fitted = searchers(docs, benchmark)
+    fitted, stored = fitted_searchers(docs, benchmark)
     kind, item_kind = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
     fields = [("item_id", pa.int64()), ("first_word", pa.int64()), ("cosine", pa.float64()), ("item_share", pa.float64()), ("answer_share", pa.float64())]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = FeatureIds(fitted[0].value.features if fitted else {})
         for batch in batches:
             places, rows = [], []
-            for i, text in enumerate(batch.column(1)):
-                own = [leak for s in fitted for leak in s.value.leaks(text.as_py(), cache)]
+            for i, ids in enumerate(batch.column(1)):
+                own = [leak for s in fitted for leak in s.value.leaks_of(from_binary(ids))]
                 places += [i] * len(own)
                 rows += own
             columns = list(zip(*rows)) if rows else [()] * len(fields)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(places, pa.int64())), *(pa.array(c, t) for c, (_, t) in zip(columns, fields))],
                                              ["doc_id", *(f for f, _ in fields)])
 
-    found = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, item_id long, first_word long, cosine double, item_share double, answer_share double")
+    if stored is None:
+        stored = docs.limit(0).select("doc_id", F.lit(b"").alias("ids"))
+    found = stored.mapInArrow(run, f"doc_id {kind}, item_id long, first_word long, cosine double, item_share double, answer_share double")
     return found.withColumn("item_id", F.col("item_id").cast(item_kind))
 
 

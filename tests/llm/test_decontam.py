@@ -98,3 +98,27 @@ def test_copies_leave_the_weights_of_an_item_alone(shipped):
     docs = shipped.createDataFrame([(i, "some words " + " ".join(item) * (i > 0) + " and more") for i in range(10)] + [(10, "zeta alone")], "doc_id long, text string")
     df, n = D.document_frequencies(docs, features, D.benchmark_grams(benchmark, features))
     assert n == 11 and df[1:].sum() == df[features[b"zeta"]] == 1
+
+
+def test_the_normal_matrix_sums_up_all_documents(shipped, monkeypatch):
+    """transpose(A) A by definition over every passage of more documents than weigh in full, in one band of rows and in several."""
+    import numpy as np
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(r.choice(words + ["other", "more"]) for _ in range(r.randint(0, 90)))) for i in range(D.DOCUMENTS_WEIGHT + 60)] + [(None, None)]
+    features = {w.encode(): i + 1 for i, w in enumerate(words)}
+    idf = np.random.default_rng(0).uniform(0.5, 3, len(words) + 1)
+    want = np.zeros((len(idf), len(idf)))
+    for _, text in rows:
+        own = (text or "").split()
+        for at in range(0, len(own), D.WINDOW):
+            x = np.bincount([features.get(w.encode(), 0) for w in own[at: at + D.WINDOW]], minlength=len(idf)) * idf
+            x[0] = x[0] / max(1, (x[0] / idf[0]) ** 0.5)
+            x /= np.linalg.norm(x)
+            x[0] = 0
+            want += np.outer(x, x)
+    stored = D.stored_ids(shipped.createDataFrame(rows, "doc_id long, text string"), features)
+    basis = np.random.default_rng(1).normal(size=(len(idf), 5))
+    for cells in (D.CELLS, 70 * len(idf)):
+        monkeypatch.setattr(D, "CELLS", cells)
+        assert np.allclose(D.normal_product([(D.normal_matrix(stored, idf, 10), 0.5)], basis), 0.5 * want @ basis, atol=1e-3)
