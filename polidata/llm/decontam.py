@@ -29,8 +29,10 @@ RANK, OVERSAMPLING, POWER_PASSES, SEED = 256, 8, 2, 5
 DOCUMENTS_WEIGHT, ITEM_WEIGHT = 400, 8.0
 #: Cells of the normal matrix that a task sums up at once, and about how many words it goes through.
 CELLS, TASK_WORDS = 1 << 24, 16_000_000
-#: Rows of the normal matrix that are one part.
-PART_ROWS = 64
+#: Bytes of the rows of the normal matrix that are one part (one row, if that is larger), and of the parts that are about one file: a task reads a file at once.
+PART_BYTES, FILE_BYTES = 1 << 18, 1 << 22
+#: Words whose passages are multiplied at once.
+GROUP_WORDS = 8_192
 WINDOW, STRIDE = 32, 16
 CANDIDATE_COSINE = 0.25
 #: A match holds this share of the item in order; or the smaller one together with this share of the answer.
@@ -59,7 +61,7 @@ class FeatureIds(dict):
         self.features = features
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         f = self[word] = self.features.get(word.strip(MARKS) or word, 0)
         return f
@@ -147,8 +149,10 @@ def stored_ids(docs: DataFrame, features: dict[bytes, int]) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = FeatureIds(shared.value)
         for batch in batches:
-            ids = [feature_ids(lower_words(t.as_py()), cache).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for at in range(0, len(batch), 1_000):
+                part = batch.slice(at, 1_000)
+                ids = [feature_ids(lower_words(t.as_py()), cache).tobytes() for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return written(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary"), "feature-ids")
@@ -204,8 +208,8 @@ def passage_rows(texts: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray,
 
 
 def text_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """The texts of batches(ids), several together and long ones in parts of whole passages: at most about SLICE_WORDS words."""
-    most = SLICE_WORDS // WINDOW * WINDOW
+    """The texts of batches(ids), several together and long ones in parts of whole passages: at most about twice GROUP_WORDS words."""
+    most = max(1, GROUP_WORDS // WINDOW) * WINDOW
     held, size = [], 0
     for batch in batches:
         for ids in map(from_binary, batch.column(0)):
@@ -219,14 +223,21 @@ def text_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[list[np.ndarray]]
         yield held
 
 
+def part_rows(size: int) -> int:
+    """Rows of a normal matrix of this size that are one part."""
+    return max(1, PART_BYTES // (8 * size))
+
+
 def normal_matrix(stored: DataFrame, idf: np.ndarray, n_words: int) -> DataFrame:
-    """(part, sums): the normal matrix transpose(A) A of the passage matrix A of all rows, PART_ROWS rows of it a part (float64).
+    """(part, sums): the normal matrix transpose(A) A of the passage matrix A of all rows, part_rows of it a part (float64).
 
-    A task sums up at most CELLS cells; a larger matrix is gone through in bands of its rows.
+    A task sums up at most CELLS cells; a larger matrix is gone through in bands of its rows.  Parts are small and
+    dealt over many files, since a task holds all rows of a batch, and those of a file, at once.
     """
     shared = stored.sparkSession.sparkContext.broadcast(idf)
     size = len(idf)
-    band = max(PART_ROWS, CELLS // size // PART_ROWS * PART_ROWS)
+    rows = part_rows(size)
+    band = max(rows, CELLS // size // rows * rows)
     bands = -(-size // band)
 
     def sums(low: int):
@@ -245,9 +256,9 @@ def normal_matrix(stored: DataFrame, idf: np.ndarray, n_words: int) -> DataFrame
                 right = np.arange(len(left)) - np.repeat(np.cumsum(count[own]) - count[own], count[own]) + first[left]
                 np.add.at(total, (f[left] - low) * size + f[right], (x[left] * x[right]).astype(np.float32))
             total = total.reshape(-1, size)
-            for i in range(0, len(total), PART_ROWS):
-                if total[i: i + PART_ROWS].any():
-                    yield pa.RecordBatch.from_arrays([pa.array([(low + i) // PART_ROWS], pa.int32()), pa.array([total[i: i + PART_ROWS].tobytes()], pa.binary())], ["part", "sums"])
+            for i in range(0, len(total), rows):
+                if total[i: i + rows].any():
+                    yield pa.RecordBatch.from_arrays([pa.array([(low + i) // rows], pa.int32()), pa.array([total[i: i + rows].tobytes()], pa.binary())], ["part", "sums"])
 
         return run
 
@@ -264,7 +275,8 @@ def normal_matrix(stored: DataFrame, idf: np.ndarray, n_words: int) -> DataFrame
         own = few.mapInArrow(sums(i * band), "part int, sums binary")
         found = own if found is None else found.union(own)
 
-    return written(found.groupBy("part").applyInArrow(add, "part int, sums binary"), "svd-normal")
+    files = -(-8 * size * size // FILE_BYTES)
+    return written(found.repartition(files, "part").groupBy("part").applyInArrow(add, "part int, sums binary"), "svd-normal")
 
 
 def normal_product(parts: list[tuple[DataFrame, float]], basis: np.ndarray) -> np.ndarray:
@@ -282,7 +294,7 @@ def normal_product(parts: list[tuple[DataFrame, float]], basis: np.ndarray) -> n
     for matrix, weight in parts:
         for row in matrix.mapInArrow(run, "part int, sums binary").collect():
             own = np.frombuffer(bytes(row["sums"])).reshape(-1, width)
-            product[row["part"] * PART_ROWS:][: len(own)] += weight * own
+            product[row["part"] * part_rows(size):][: len(own)] += weight * own
     return product
 
 

@@ -122,3 +122,20 @@ def test_the_normal_matrix_sums_up_all_documents(shipped, monkeypatch):
     for cells in (D.CELLS, 70 * len(idf)):
         monkeypatch.setattr(D, "CELLS", cells)
         assert np.allclose(D.normal_product([(D.normal_matrix(stored, idf, 10), 0.5)], basis), 0.5 * want @ basis, atol=1e-3)
+
+
+def test_no_task_holds_much_of_the_normal_matrix(shipped):
+    """Parts of the matrix are small and dealt over files of bounded size, and hold all of it."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    r = random.Random(6)
+    words = [f"w{i}" for i in range(1_999)]
+    rows = [(i, " ".join(r.sample(words, 64))) for i in range(200)]
+    stored = D.stored_ids(shipped.createDataFrame(rows, "doc_id long, text string"), {w.encode(): i + 1 for i, w in enumerate(words)})
+    size = len(words) + 1
+    found = D.normal_matrix(stored, np.ones(size), 200 * 64)
+    files = found.groupBy(F.input_file_name()).agg(F.sum(F.octet_length("sums")).alias("n"), F.max(F.octet_length("sums")).alias("part")).collect()
+    assert max(f["part"] for f in files) <= 1 << 18 and max(f["n"] for f in files) <= 16 << 20
+    # each word of a passage of 32 different ones weighs 1 / 32 with itself
+    trace = np.einsum("ij,ij->", np.eye(size), D.normal_product([(found, 1.0)], np.eye(size)))
+    assert abs(trace - 400) < 1e-3
