@@ -8,7 +8,8 @@ signatures are its contents of every part of every partition, so similar sets sh
 Signatures propose candidates, the texts decide.  Exact copies are one node.  Inside a bucket of equal
 signatures, members are first compared with its best connected member only, and buckets whose members
 are in one class by then are done; the others go on with more hubs each round until none is left.  A sketch of
-each set bounds the difference of two from below, so that texts are only compared where they may be linked.
+each set bounds the difference of two from below, so that texts are only compared where they may be linked; the
+sketches of a bucket's members are held against those of its hubs many at once in numpy.
 So no link between different classes is lost, and no bucket is expanded into all its pairs.
 """
 
@@ -32,13 +33,15 @@ SPARE, DIFFERENCES_PER_SPARE = 1, 16
 #: Upper end of a band of sizes over its lower end, at least.
 BAND_RATIO = 1.5
 #: Hubs of a bucket in the first round, and how many times more in each further one.
-FIRST_HUBS, MORE_HUBS = 1, 8
+FIRST_HUBS, MORE_HUBS = 1, 64
 #: Up to so many rows (four longs and a flag each at most) a table of keys to look up is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 400_000
 #: Cells of the smallest sketch that bounds the difference of two sets from below.
 LEAST_CELLS = 256
 #: So many longs of a sketch, and then so many, are compared by plain expressions, which Spark compiles; the rest in a loop.
 LEADING_LONGS = 6, 16
+#: Longs of two sketches that are compared for all pairs of a block, and cells of such a block; the rest only where these allow it.
+BLOCK_LONGS, BLOCK_CELLS = 6, 1 << 16
 #: Texts that are sent to a copy of their hub's text.
 PARTNERS = 256
 
@@ -177,6 +180,53 @@ def within_reach(n_a: str, sketch_a: str, n_b: str, sketch_b: str, num: int, den
     return (den * least >= num * most) & early[0] & early[1] & (whole | few(differing_bits(sketch_a, sketch_b)))
 
 
+class Members:
+    """Members of a bucket whose sketches have one length: node, label, n, place in the bucket, and a row of longs for each place of the sketch."""
+
+    def __init__(self, node: np.ndarray, label: np.ndarray, n: np.ndarray, place: np.ndarray, longs: np.ndarray):
+        self.node, self.label, self.n, self.place, self.longs = node, label, n, place, longs
+
+    def first(self, places: int) -> Members:
+        """Those before a place; members are in the order of their places."""
+        k = int(np.searchsorted(self.place, places))
+        return Members(self.node[:k], self.label[:k], self.n[:k], self.place[:k], self.longs[:, :k])
+
+    def and_later(self, other: Members) -> Members:
+        return Members(*(np.concatenate([getattr(self, c), getattr(other, c)], -1) for c in ("node", "label", "n", "place", "longs")))
+
+    def folded_to(self, size: int) -> np.ndarray:
+        """The sketches at a size that is theirs divided by a power of two: halves, one over the other."""
+        longs = self.longs
+        while len(longs) > size:
+            longs = longs[: len(longs) // 2] ^ longs[len(longs) // 2:]
+        return longs
+
+
+def block_within_reach(hubs: Members, others: Members, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in hubs and others of the pairs that `within_reach` holds for, of unlike labels, the hub before the other in its bucket."""
+    size = min(len(hubs.longs), len(others.longs))
+    a, b = hubs.folded_to(size), others.folded_to(size)
+    least, most, room = den * others.n, num * others.n, (den - num) * others.n
+    found = []
+    at, later = 0, 0
+    while at < len(hubs.n) and (later := int(np.searchsorted(others.place, hubs.place[at], "right"))) < len(others.n):
+        h, o = slice(at, at + max(1, BLOCK_CELLS // (len(others.n) - later))), slice(later, None)
+        n = hubs.n[h, None]
+        near = (den * n >= most[o]) & (least[o] >= num * n) & (hubs.label[h, None] != others.label[o]) & (hubs.place[h, None] < others.place[o])
+        bits = np.zeros(near.shape, np.uint16)
+        for x, y in zip(a[:BLOCK_LONGS], b):
+            bits += np.bitwise_count(x[h, None] ^ y[o])
+        i, j = np.nonzero(near & (bits * np.int64(den + num) <= (den - num) * n + room[o]))
+        i, j, seen = at + i, later + j, bits[i, j].astype(np.int64)
+        if len(i) and size > BLOCK_LONGS:
+            seen += np.bitwise_count(a[BLOCK_LONGS:, i] ^ b[BLOCK_LONGS:, j]).sum(0, dtype=np.int64)
+            few = (den + num) * seen <= (den - num) * hubs.n[i] + room[j]
+            i, j = i[few], j[few]
+        found.append((i, j))
+        at = h.stop
+    return tuple(np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in (0, 1))
+
+
 # ---- Spark jobs -------------------------------------------------------------------------------------------------
 
 def signed_sets(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
@@ -297,35 +347,69 @@ def merge_classes(classes: DataFrame, links: DataFrame, tables: Tables) -> DataF
     return classes
 
 
+def near_pairs(rows: DataFrame, hubs_each: int, num: int, den: int) -> DataFrame:
+    """(node, hub) of rows(signature, node, weight, label, n, sketch): members of one bucket, the hub one of its
+    hubs_each best connected and better connected than the node, that have unlike labels and whose sketches may reach num / den.
+
+    A task goes through its buckets in the order of their members and holds no more of one than its hubs.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, place, hubs = None, 0, {}
+        for batch in batches:
+            signature, node, label, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("signature", "node", "label", "n"))
+            sketches = batch.column("sketch")
+            begin, values = sketches.offsets.to_numpy(), sketches.values.to_numpy(zero_copy_only=False).view(U)
+            sizes, found = np.diff(begin), []
+            starts = np.flatnonzero(np.r_[True, signature[1:] != signature[:-1]]) if len(signature) else []
+            for s, e in zip(starts, [*starts[1:], len(signature)]):
+                if signature[s] != at:
+                    at, place, hubs = signature[s], 0, {}
+                here = {}
+                for size in set(sizes[s:e].tolist()):
+                    own = s + np.flatnonzero(sizes[s:e] == size)
+                    here[size] = Members(node[own], label[own], n[own], place + own - s, values[begin[own] + np.arange(size)[:, None]])
+                for size, members in here.items():
+                    if place < hubs_each:
+                        more = members.first(hubs_each)
+                        hubs[size] = hubs[size].and_later(more) if size in hubs else more
+                place += int(e - s)
+                for hub in hubs.values():
+                    for members in here.values():
+                        i, j = block_within_reach(hub, members, num, den)
+                        if len(i):
+                            found.append((members.node[j], hub.node[i]))
+            pairs = [pa.array(np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64), pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(pairs, ["node", "hub"])
+
+    dealt = rows.repartition("signature").sortWithinPartitions("signature", F.desc("weight"), "node")
+    return dealt.mapInArrow(run, "node long, hub long")
+
+
 def node_classes(docs: DataFrame, left: DataFrame, nodes: DataFrame, tables: Tables, width: int, num: int, den: int) -> DataFrame:
     """(node, label) for the nodes of left(signature, node, weight), the shared signatures; label is the class."""
     classes = tables.write(left.select("node").distinct().withColumn("label", F.col("node")), "classes")
     sketch_of = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+    best = Window.partitionBy("signature").orderBy(F.desc("weight"), "node")
     hubs_each = FIRST_HUBS
     while not left.isEmpty():
-        labelled = left.join(classes, "node")
-        may_link = F.lit(True)
-        if hubs_each > FIRST_HUBS:  # what the first hubs left may have many near misses, which are dropped where they meet
-            labelled = labelled.join(nodes.select("node", "n", "sketch"), "node")
-            may_link = within_reach("n", "sketch", "hub_n", "hub_sketch", num, den)
-        labelled = tables.write(labelled, "labelled")
-        best = Window.partitionBy("signature").orderBy(F.desc("weight"), "node")
-        hubs = labelled.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= hubs_each)
-        hub = hubs.drop("rank", "weight").withColumnsRenamed({"node": "hub", "label": "hub_label", "n": "hub_n", "sketch": "hub_sketch"})
-        met = labelled.join(hub, "signature").where((F.col("label") != F.col("hub_label")) & may_link)
+        ranked = left.withColumn("rank", F.row_number().over(best))
+        if hubs_each == FIRST_HUBS:  # one hub a bucket makes few pairs; classes are still the nodes
+            met = left.join(ranked.where(F.col("rank") <= hubs_each).select("signature", F.col("node").alias("hub")), "signature").where("node <> hub")
+        else:  # what the first hubs left may have many near misses, which are dropped where they meet
+            met = near_pairs(left.join(classes, "node").join(nodes.select("node", "n", "sketch"), "node"), hubs_each, num, den)
         # a pair is looked at once, not in every bucket and not from both ends
         pairs = met.groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).agg(F.min("hub").alias("hub"))
-        if hubs_each == FIRST_HUBS:  # one hub a bucket makes few pairs
+        if hubs_each == FIRST_HUBS:
             pairs = pairs.join(sketch_of("a"), "a").join(sketch_of("b"), "b").where(within_reach("n_a", "sketch_a", "n_b", "sketch_b", num, den))
         pairs = pairs.select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node"))
         pairs = tables.write(pairs, "pairs")
         links = tables.write(linked_pairs(docs, nodes, pairs, tables, width, num, den), "links")
         classes = merge_classes(classes, links, tables)
-        rest = left.join(hubs.select("signature", "node"), ["signature", "node"], "left_anti")
+        rest = ranked.where(F.col("rank") > hubs_each).drop("rank")
         apart = rest.join(classes, "node").groupBy("signature").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
         left = tables.write(rest.join(apart.select("signature"), "signature", "left_semi"), "members")
         hubs_each *= MORE_HUBS
-    for name in ("members", "labelled", "pairs", "wanted", "links", "edges", "hooks"):
+    for name in ("members", "pairs", "wanted", "links", "edges", "hooks"):
         tables.drop(name)
     return classes
 

@@ -143,3 +143,41 @@ def test_bound_in_compiled_steps_is_the_whole_bound(shipped):
                 want.add((i, j))
     assert len(want) > len(rows) and {tuple(p) for p in found} == want
     assert all("lambda" not in str(J.leading_bits("a", "b", n)) for n in J.LEADING_LONGS)
+
+
+def test_buckets_are_compared_in_blocks(shipped, monkeypatch):
+    """near_pairs gives the pairs that within_reach holds for, over batches and blocks of few rows."""
+    r, rows = np.random.default_rng(8), []
+    for signature, n in ((5, 100), (6, 125), (7, 700)):
+        base = np.unique(r.integers(0, 2 ** 63, n).astype(np.uint64))
+        for i in range(40):
+            keep = base[r.random(n) > r.choice([0.01, 0.1, 0.5])]
+            e = np.unique(np.concatenate([keep, r.integers(0, 2 ** 63, int(r.integers(1, n // 5))).astype(np.uint64)]))
+            rows.append((signature, 100 * signature + i, int(r.integers(0, 4)), int(r.integers(0, 5)), len(e), J.sketch(e).tolist()))
+    monkeypatch.setattr(J, "BLOCK_CELLS", 64)
+    shipped.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        table = shipped.createDataFrame(rows, "signature long, node long, weight long, label long, n long, sketch array<long>")
+        got = {k: sorted(tuple(p) for p in J.near_pairs(table, k, 80, 100).collect()) for k in (1, 10, 1000)}
+    finally:
+        shipped.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    a, b = (table.toDF("signature", *(f"{c}_{x}" for c in ("node", "weight", "label", "n", "s"))) for x in "ab")
+    reach = {tuple(p) for p in a.join(b, "signature").where(J.within_reach("n_a", "s_a", "n_b", "s_b", 80, 100)).select("node_a", "node_b").collect()}
+    for hubs_each, found in got.items():
+        want = []
+        for signature in (5, 6, 7):
+            order = sorted((x for x in rows if x[0] == signature), key=lambda x: (-x[2], x[1]))
+            want += [(x[1], h[1]) for k, h in enumerate(order[:hubs_each]) for x in order[k + 1:] if h[3] != x[3] and (x[1], h[1]) in reach]
+        assert found == sorted(want) and found
+
+
+def test_later_rounds_join_no_bucket_with_itself(shipped, monkeypatch):
+    """Unlike members of one bucket are held against each other in blocks: no join makes a row of each pair."""
+    plans = []
+    write = J.Tables.write
+    monkeypatch.setattr(J.Tables, "write", lambda self, df, name: (plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())), write(self, df, name))[1])
+    docs = shipped.createDataFrame(near_copies(), "doc_id long, text string")
+    J.jaccard_components(docs, 3, 90, 100).collect()
+    rounds = [p for name, p in plans if name == "pairs"]
+    assert len(rounds) > 1 and all("MapInArrow" in p and "node" in p for p in rounds[1:])
+    assert all("sketch" not in line for p in rounds[1:] for line in p.splitlines() if "Join" in line)
