@@ -125,3 +125,28 @@ def test_quality_learns_from_every_labelled_row(shipped):
     assert all(np.array_equal(x, plain[k]) for k, x in train(next(i for i, *_ in rows if held_out(i))).items())
     for i in (inside[0], inside[len(inside) // 2], inside[-1]):
         assert any(not np.array_equal(x, plain[k]) for k, x in train(i).items())
+
+
+def test_more_rows_are_gone_through_as_often(shipped, monkeypatch):
+    """All EPOCHS whatever the number of shards, over rows that are dealt out once."""
+    rows = [(i, f"w{i % 3} " * 20) for i in range(60)]
+    docs, labels = shipped.createDataFrame(rows, "doc_id long, text string"), shipped.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    seen, epoch = [], quality.mixed_epoch
+    monkeypatch.setattr(quality, "mixed_epoch", lambda *a: (seen.append((a[0], a[-2], a[-1])), epoch(*a))[1])
+    quality.train_quality(docs, labels, 6)
+    assert [(e, of) for _, e, of in seen] == [(e, quality.EPOCHS) for e in range(quality.EPOCHS)]
+    dealt = seen[0][0]
+    assert all(d is dealt for d, _, _ in seen) and dealt.getNumPartitions() > 1
+
+
+def test_features_in_blocks_are_those_of_single_chunks(monkeypatch):
+    texts = ["abab" * 300, "x", None, "word and word " * 90, "a\0b" * 200]
+    chunks = np.concatenate([quality.chunks_of(t) for t in texts])
+    plain = [[((c[k:] == c[:-k]) & (c[k:] > 0)).sum() / max((c > 0).sum() - k, 8) for k in quality.LAGS] for c in chunks]
+    want = np.array([[*np.sort(m[1:])[-2:], m[0], (c > 0).mean()] for m, c in zip(plain, chunks)], np.float32)
+    monkeypatch.setattr(quality, "LAGS_IN_CACHE", 3)
+    monkeypatch.setattr(quality, "IN_CACHE", 2)
+    assert np.array_equal(quality.lag_features(chunks), want) and np.array_equal(quality.stored_chunks(iter(texts))[1], want)
+    net = quality.Network(3)
+    _, act, n = net.activations(chunks)
+    assert np.array_equal(net.pooled(chunks), np.concatenate([act.max(1), act.sum(1) / n], 1))
